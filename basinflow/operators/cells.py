@@ -101,6 +101,7 @@ def hyperslab(
             (F.col("y0") > bounds.jmin - max_chunk[0]) & (F.col("x0") > bounds.imin - max_chunk[1])
         )
     kept = kept.filter(_overlaps(bounds, imax, jmax))
+    # every new name gets its own step: a name assigned and read in one step could mean either
     cut = kept.withColumns({
         "_j0": F.greatest("y0", F.lit(bounds.jmin)),
         "_j1": F.least(F.col("y0") + F.col("ny") - 1, jmax),
@@ -117,12 +118,12 @@ def hyperslab(
         ),
     )
     shift_j, shift_i = (bounds.jmin - 1, bounds.imin - 1) if reorigin else (0, 0)
-    cut = cut.withColumns({
-        "data": F.flatten(rows), "ny": F.col("_j1") - F.col("_j0") + 1, "nx": width,
-    })
-    return cut.withColumns({
+    cut = cut.withColumn("_data", F.flatten(rows))
+    layout = {
         "y0": F.col("_j0") - shift_j, "x0": F.col("_i0") - shift_i,
-    }).drop("_j0", "_j1", "_i0", "_i1")
+        "ny": F.col("_j1") - F.col("_j0") + 1, "nx": width, "data": F.col("_data"),
+    }
+    return cut.select(*[layout[c].alias(c) if c in layout else c for c in chunks.columns])
 
 
 def clip_forcing(
@@ -147,8 +148,10 @@ def clip_forcing(
 def explode_cells(chunks: DataFrame) -> DataFrame:
     """One row per cell; all columns other than the block layout are kept."""
     keep = [c for c in chunks.columns if c not in {"y0", "x0", "ny", "nx", "data"}]
-    flat = chunks.select(*keep, "y0", "x0", "nx", F.posexplode("data").alias("_p", "value"))
-    return flat.select(
+    # the outer form with a filter behind it: for the plain form Spark adds a filter on the array in
+    # front, which would compute a cut block twice
+    flat = chunks.select(*keep, "y0", "x0", "nx", F.posexplode_outer("data").alias("_p", "value"))
+    return flat.filter("_p IS NOT NULL").select(
         *keep,
         (F.col("y0") + F.call_function("div", F.col("_p"), F.col("nx"))).cast("int").alias("j"),
         (F.col("x0") + F.col("_p") % F.col("nx")).cast("int").alias("i"),

@@ -48,13 +48,17 @@ def cut_dangling(links: DataFrame) -> DataFrame:
     return found.withColumn("to", kept).select(*links.columns)
 
 
+def _rerank(df: DataFrame, **sizes: int) -> DataFrame:
+    ranked = average_rank(df, "ascendingIndex", "_rank", **sizes)
+    return ranked.drop("ascendingIndex").withColumnRenamed("_rank", "ascendingIndex")
+
+
 def subset_links(links: DataFrame, keep: DataFrame, **sizes: int) -> DataFrame:
     """Links whose id is in ``keep(link)``, with dangling ends cut and the order index re-ranked."""
     sub = cut_dangling(links.join(keep.select("link").distinct(), "link", "left_semi"))
     if "ascendingIndex" not in sub.columns:
         return sub
-    ranked = average_rank(sub, "ascendingIndex", "_rank", **sizes)
-    return ranked.drop("ascendingIndex").withColumnRenamed("_rank", "ascendingIndex")
+    return _rerank(sub, **sizes)
 
 
 def subset_buckets(
@@ -107,8 +111,7 @@ def retain_lakes(
     ).distinct()
     kept = lakes.join(present, "lake_id", "left_semi").join(removed, "lake_id", "left_anti")
     if "ascendingIndex" in kept.columns:
-        ranked = average_rank(kept, "ascendingIndex", "_rank", **sizes)
-        kept = ranked.drop("ascendingIndex").withColumnRenamed("_rank", "ascendingIndex")
+        kept = _rerank(kept, **sizes)
     gone = removed.select(F.col("lake_id").alias("NHDWaterbodyComID"), F.lit(True).alias("_gone"))
     marked = links.join(gone, "NHDWaterbodyComID", "left").withColumn(
         "NHDWaterbodyComID",

@@ -77,7 +77,7 @@ def average_rank(df: DataFrame, column: str, out: str, **sizes: int) -> DataFram
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
     ranks = running_before(counts, column, "_n", "_before", **sizes).select(
-        F.col(column).alias("_value"), (F.col("_before") + (F.col("_n") - 1) / 2).alias("_rank")
+        F.col(column).alias("_value"), (F.col("_before") + (F.col("_n") - 1) / 2).alias("_mid")
     )
     joined = df.join(ranks, F.col(column) == F.col("_value"), "left")
-    return joined.withColumn(out, F.col("_rank").cast("double")).drop("_value", "_rank")
+    return joined.select(*df.columns, F.col("_mid").cast("double").alias(out))

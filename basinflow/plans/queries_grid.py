@@ -455,8 +455,8 @@ def pyramid(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(with_views("chunks cells", f""", {LEVELS},
     means AS (
-        SELECT var, time, level, CAST((j - 1) // pow(2, level) AS INTEGER) AS "row",
-               CAST((i - 1) // pow(2, level) AS INTEGER) AS col, round(avg(value), 6) AS value
+        SELECT var, time, level, CAST(floor((j - 1) / pow(2, level)) AS INTEGER) AS "row",
+               CAST(floor((i - 1) / pow(2, level)) AS INTEGER) AS col, round(avg(value), 6) AS value
         FROM cells, lv GROUP BY ALL)
     SELECT var, time, {TILED} FROM means"""))
 def pyramid_mean(spark: SparkSession, sf: str) -> DataFrame:
@@ -509,10 +509,10 @@ def zorder_features(spark: SparkSession, sf: str) -> DataFrame:
            min(time), max(time) FROM cells GROUP BY var
     UNION ALL
     SELECT 'lineitem', 'l_quantity', count(l_quantity), min(l_quantity), max(l_quantity),
-           NULL, NULL, NULL, NULL, NULL, NULL FROM lineitem
+           -1, -1, -1, -1, NULL, NULL FROM lineitem
     UNION ALL
     SELECT 'lineitem', 'l_discount', count(l_discount), min(l_discount), max(l_discount),
-           NULL, NULL, NULL, NULL, NULL, NULL FROM lineitem"""))
+           -1, -1, -1, -1, NULL, NULL FROM lineitem"""))
 def dataset_metadata(spark: SparkSession, sf: str) -> DataFrame:
     """Variables of an event table, a block store and a plain table."""
     events = V.series(spark, sf).select(
@@ -520,7 +520,9 @@ def dataset_metadata(spark: SparkSession, sf: str) -> DataFrame:
     )
     forcing = describe_chunks(V.chunks(spark, sf), "forcing")
     plain = describe_table(V.table(spark, sf, "lineitem"), "lineitem", ["l_quantity", "l_discount"])
-    return (
+    described = (
         describe_cells(events, "events").unionByName(forcing)
         .unionByName(plain, allowMissingColumns=True)
     )
+    # a plain table has no index extent
+    return described.fillna(-1, ["j_min", "j_max", "i_min", "i_max"])

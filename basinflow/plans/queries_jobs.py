@@ -97,13 +97,13 @@ BOUNDS = {
            round(weight / sum(weight) OVER (PARTITION BY IDmask), 9) AS v
     FROM rect WHERE IDmask IN (SELECT IDmask FROM full_basins)
     UNION ALL
-    SELECT 'polys', IDmask, count(*), NULL, NULL FROM rect
+    SELECT 'polys', IDmask, count(*), -1, NULL FROM rect
     WHERE IDmask IN (SELECT IDmask FROM full_basins) AND IDmask IN (SELECT p_partkey FROM part)
     GROUP BY IDmask
     UNION ALL
     SELECT 'links', link, "to", NHDWaterbodyComID, ascendingIndex FROM newlinks
     UNION ALL
-    SELECT 'buckets', c_custkey, row_number() OVER (ORDER BY c_custkey), NULL, c_acctbal
+    SELECT 'buckets', c_custkey, row_number() OVER (ORDER BY c_custkey), -1, c_acctbal
     FROM customer WHERE c_custkey IN (SELECT IDmask FROM full_basins)
     UNION ALL
     SELECT 'soil', epoch(time)::BIGINT, j - 2, i - 9, value FROM cells
@@ -119,7 +119,7 @@ def static_job(spark: SparkSession, sf: str) -> DataFrame:
     soil = explode_cells(parts["soil"]).withColumn(
         "epoch", F.unix_seconds(F.col("time").cast("timestamp"))
     )
-    none = F.lit(None).cast("bigint")
+    none = F.lit(-1)
 
     def rows(name: str, df: DataFrame, ident: str, a, b, v) -> DataFrame:
         return df.select(
@@ -131,7 +131,7 @@ def static_job(spark: SparkSession, sf: str) -> DataFrame:
     return (
         rows("weights", parts["weights"], "IDmask", c("i_index"), c("j_index"),
              F.round("weight", 9))
-        .unionByName(rows("polys", parts["polys"], "polyid", c("overlaps"), none, none))
+        .unionByName(rows("polys", parts["polys"], "polyid", c("overlaps"), none, F.lit(None)))
         .unionByName(rows("links", parts["links"], "link", c("to"), c("NHDWaterbodyComID"),
                           c("ascendingIndex")))
         .unionByName(rows("buckets", parts["buckets"], "ComID", c("Basin"), none, c("c_acctbal")))
