@@ -177,7 +177,10 @@ def forcing_clip(spark: SparkSession, sf: str) -> DataFrame:
 @query(CLIPPED)
 def stream_clip(spark: SparkSession, sf: str) -> DataFrame:
     """The same as a stream over the folder the blocks arrive in."""
-    schema = PT.StructType.fromDDL("vec_id BIGINT, embedding ARRAY<FLOAT>, label INT")
+    schema = PT.StructType([
+        PT.StructField("vec_id", PT.LongType()),
+        PT.StructField("embedding", PT.ArrayType(PT.FloatType())),
+    ])
     arriving = stream_chunks(spark, sf, schema, pattern="embeddings.parquet")
     v = F.col("vec_id")
     tile = V.div(v, 24)

@@ -2,32 +2,33 @@
 
 from pyspark.sql import types as T
 
+TEXT, INT, LONG, FLOAT, DOUBLE = (
+    T.StringType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType(),
+)
+TIME = T.TimestampNTZType()
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
 
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-CHUNKS = _struct(
-    "var STRING, time TIMESTAMP_NTZ, y0 INT, x0 INT, ny INT, nx INT, data ARRAY<FLOAT>"
-)
-CELLS = _struct("var STRING, time TIMESTAMP_NTZ, j INT, i INT, value FLOAT")
-GRID_CELLS = _struct("grid_id STRING, j INT, i INT, x DOUBLE, y DOUBLE, lon DOUBLE, lat DOUBLE")
-ATTRS = _struct("dataset STRING, variable STRING, name STRING, type STRING, value ARRAY<STRING>")
-POLYGONS = _struct("poly_id STRING, part INT, ring INT, seq INT, x DOUBLE, y DOUBLE")
-WEIGHTS = _struct(
-    "i_index INT, j_index INT, IDmask BIGINT, weight DOUBLE, regridweight DOUBLE"
-)
-POLYS = _struct("polyid BIGINT, overlaps INT")
+
+CHUNKS = _struct(var=TEXT, time=TIME, y0=INT, x0=INT, ny=INT, nx=INT, data=T.ArrayType(FLOAT))
+CELLS = _struct(var=TEXT, time=TIME, j=INT, i=INT, value=FLOAT)
+GRID_CELLS = _struct(grid_id=TEXT, j=INT, i=INT, x=DOUBLE, y=DOUBLE, lon=DOUBLE, lat=DOUBLE)
+ATTRS = _struct(dataset=TEXT, variable=TEXT, name=TEXT, type=TEXT, value=T.ArrayType(TEXT))
+POLYGONS = _struct(poly_id=TEXT, part=INT, ring=INT, seq=INT, x=DOUBLE, y=DOUBLE)
+WEIGHTS = _struct(i_index=INT, j_index=INT, IDmask=LONG, weight=DOUBLE, regridweight=DOUBLE)
+POLYS = _struct(polyid=LONG, overlaps=INT)
 LINKS = _struct(
-    "link BIGINT, to BIGINT, lon DOUBLE, lat DOUBLE, gages STRING, `order` INT,"
-    " ascendingIndex INT, NHDWaterbodyComID BIGINT, ind BIGINT"
+    link=LONG, to=LONG, lon=DOUBLE, lat=DOUBLE, gages=TEXT, order=INT, ascendingIndex=INT,
+    NHDWaterbodyComID=LONG, ind=LONG,
 )
-BUCKETS = _struct("ComID BIGINT, Basin INT, ind BIGINT")
-LAKES = _struct("lake_id BIGINT, ascendingIndex INT")
-LAKE_TYPES = _struct("LINKID BIGINT, TYPEL INT")
+BUCKETS = _struct(ComID=LONG, Basin=INT, ind=LONG)
+LAKES = _struct(lake_id=LONG, ascendingIndex=INT)
+LAKE_TYPES = _struct(LINKID=LONG, TYPEL=INT)
 STATIONS = _struct(
-    "stationId STRING, R DOUBLE, G DOUBLE, tau DOUBLE, qThresh ARRAY<DOUBLE>,"
-    " expCoeff ARRAY<ARRAY<DOUBLE>>"
+    stationId=TEXT, R=DOUBLE, G=DOUBLE, tau=DOUBLE, qThresh=T.ArrayType(DOUBLE),
+    expCoeff=T.ArrayType(T.ArrayType(DOUBLE)),
 )
-MANIFEST = _struct("path STRING, year INT")
-WINDOWS = _struct("window_id STRING, start TIMESTAMP_NTZ, end TIMESTAMP_NTZ")
+MANIFEST = _struct(path=TEXT, year=INT)
+WINDOWS = _struct(window_id=TEXT, start=TIME, end=TIME)
