@@ -138,12 +138,12 @@ def hourly_parts(spark: SparkSession, sf: str) -> DataFrame:
            'archive/forcing/' || year(t) || '/' || strftime(t, '%Y%m%d%H') || '.LDASIN_DOMAIN1.json' AS path,
            'https://archive.s3.amazonaws.com/forcing/' || year(t) || '/' || strftime(t, '%Y%m%d%H')
              || '.LDASIN_DOMAIN1.json' AS url
-    FROM (SELECT TIMESTAMP '2009-12-28' + to_hours(page_id) AS t FROM pages)
-    WHERE t BETWEEN TIMESTAMP '2009-12-30 06:00:00' AND TIMESTAMP '2010-01-05 12:00:00'""")
+    FROM (SELECT TIMESTAMP '2009-12-31' + to_hours(page_id) AS t FROM pages)
+    WHERE t BETWEEN TIMESTAMP '2009-12-31 06:00:00' AND TIMESTAMP '2010-01-05 12:00:00'""")
 def file_listing(spark: SparkSession, sf: str) -> DataFrame:
     """Archive files of a period across the turn of the year."""
     return list_forcing(
-        V.listing(spark, sf), datetime(2009, 12, 30, 6), datetime(2010, 1, 5, 12)
+        V.listing(spark, sf), datetime(2009, 12, 31, 6), datetime(2010, 1, 5, 12)
     )
 
 

@@ -22,7 +22,7 @@ LAND = Grid(xmin=-2_800_000.0, ymax=2_000_000.0, res=1000.0, ncol=5600, nrow=400
 BLOCK = (4, 16)
 WIDTH = 48
 BASE_TIME = datetime(2024, 1, 1)
-LISTING_BASE = datetime(2009, 12, 28)
+LISTING_BASE = datetime(2009, 12, 31)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from basinflow import schemas
 from basinflow.functions.gridindex import Grid
 from basinflow.operators import clip as P
 from basinflow.operators import joins
-from conftest import rows
+from conftest import plan_of, rows
 from test_cells import blocks
 
 
@@ -108,7 +108,7 @@ def test_joins_are_equi_joins(spark, monkeypatch):
     for limit in (10**6, 0):
         monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
         for mode in ("mask", "drop"):
-            plan = P.clip(grid, runs, mode)._jdf.queryExecution().executedPlan().toString()
+            plan = plan_of(P.clip(grid, runs, mode))
             assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 

@@ -11,7 +11,7 @@ from basinflow.functions.gridindex import (
     corner_lonlat, flip_row, geotransform,
 )
 from basinflow.sources.sinks import bounds_lines, write_bounds
-from conftest import rows
+from conftest import plan_of, rows
 
 NATIONAL = Grid(xmin=-2304000.0, ymax=1920000.0, res=1000.0, ncol=4608, nrow=3840)
 SOUTH, NORTH = 382582.18746, 367584.87840
@@ -140,5 +140,5 @@ def test_meshgrid(spark):
     assert rows(mesh, "j", "i", "x", "y") == [
         (j, i, x, float(j)) for j in (1, 2) for i, x in ((1, 10.0), (2, 20.0), (3, 35.0))
     ]
-    plan = mesh._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(mesh)
     assert "Cartesian" not in plan and "NestedLoop" not in plan
