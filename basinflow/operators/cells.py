@@ -14,8 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basinflow.functions.crs import NWM_LCC, LambertConformal, with_lonlat
 from basinflow.functions.gridindex import IndexBounds
 from basinflow.functions.timestamps import ntz, slice_bounds
+from basinflow.operators.joins import lookup_join
 
 
 def time_slice(
@@ -63,8 +65,23 @@ def rechunk(df: DataFrame, by: str = "time") -> DataFrame:
 
 
 def with_coords(cells: DataFrame, grid_cells: DataFrame) -> DataFrame:
-    """Attach ``x, y, lon, lat`` of each cell."""
-    return cells.join(grid_cells.select("j", "i", "x", "y", "lon", "lat"), ["j", "i"])
+    """Attach the stored ``x, y, lon, lat`` of each cell of a grid template."""
+    template = grid_cells.select("j", "i", "x", "y", "lon", "lat")
+    spread = [c for c in cells.columns if c not in {"j", "i", "value"}]
+    return lookup_join(cells, template, ["j", "i"], salt_by=spread)
+
+
+def with_axis_coords(
+    cells: DataFrame, xs: DataFrame, ys: DataFrame, crs: LambertConformal = NWM_LCC
+) -> DataFrame:
+    """Attach ``x, y`` from the axis tables ``(i, x)`` and ``(j, y)`` and the ``lon, lat`` they give.
+
+    Axes are as long as a grid side and are broadcast after a check; lon and lat are calculated in
+    place, so a 2-D coordinate table is neither stored nor joined.
+    """
+    placed = lookup_join(cells, xs.select("i", "x"), ["i"], salt_by=["j"])
+    placed = lookup_join(placed, ys.select("j", "y"), ["j"], salt_by=["i"])
+    return with_lonlat(placed, crs)
 
 
 def _overlaps(b: IndexBounds, imax: Column, jmax: Column) -> Column:
@@ -180,8 +197,9 @@ def grid_corners(cells: DataFrame, by: Sequence[str] = ("dataset",)) -> DataFram
 
     A variable the dataset lacks contributes zeros.
     """
-    sn = F.struct("j", "i")
-    ns = F.struct("j", (-F.col("i")).alias("i"))
+    # one number instead of a pair of columns, so that Spark can aggregate by hashing
+    row = F.col("j").cast("bigint") * 2**32
+    sn, ns = row + F.col("i"), row - F.col("i")
     names = [*CORNER_LATS, *CORNER_LONS]
     wanted = cells.filter(F.col("var").isin(names))
     corners = wanted.groupBy(*by, "var").agg(

@@ -9,6 +9,7 @@ grid row (``row, lo, hi``, ``lo <= i < hi``) and runs are joined to grid rows by
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from basinflow.functions.gridindex import Grid, IndexBounds
 from basinflow.operators.cells import chunk_rows, explode_cells, hyperslab
 from basinflow.operators.joins import lookup_join
+from basinflow.session import cut
 
 # Width of the column strips used as second join key.
 STRIP = 256
@@ -94,13 +96,24 @@ def union_runs(runs: DataFrame) -> DataFrame:
     )
 
 
-def run_window(runs: DataFrame) -> tuple[int, IndexBounds | None]:
-    """Number of runs and the index range holding them (one aggregate row)."""
-    e = runs.agg(
-        F.count("*").alias("n"), F.min("lo").alias("i0"), F.max("hi").alias("i1"),
-        F.min("row").alias("j0"), F.max("row").alias("j1"),
-    ).first()
-    return (e.n, IndexBounds(e.i0, e.i1 - 1, e.j0, e.j1)) if e.n else (0, None)
+@dataclass(frozen=True)
+class Mask:
+    """Runs written to the shared folder, their number, and the index range holding them."""
+
+    runs: DataFrame
+    count: int
+    window: IndexBounds | None
+
+    @classmethod
+    def of(cls, runs: DataFrame) -> Mask:
+        """Materialise runs once, for any number of grids to be clipped."""
+        runs = cut(runs, "runs")
+        e = runs.agg(
+            F.count("*").alias("n"), F.min("lo").alias("i0"), F.max("hi").alias("i1"),
+            F.min("row").alias("j0"), F.max("row").alias("j1"),
+        ).first()
+        window = IndexBounds(e.i0, e.i1 - 1, e.j0, e.j1) if e.n else None
+        return cls(runs, e.n, window)
 
 
 def _strips(lo: str, hi: str):
@@ -110,7 +123,7 @@ def _strips(lo: str, hi: str):
 
 def clip(
     chunks: DataFrame,
-    runs: DataFrame,
+    runs: DataFrame | Mask,
     mode: str = "mask",
     keys: Sequence[str] = (),
     max_chunk: tuple[int, int] | None = None,
@@ -121,17 +134,18 @@ def clip(
     cells of the window with NULL outside. With ``mask``, and with ``drop`` unless ``keys`` names
     run columns to carry along, runs must be disjoint (``union_runs``).
     """
-    n, window = run_window(runs)
+    mask = runs if isinstance(runs, Mask) else Mask.of(runs)
+    window = mask.window
     if window is None:
         return explode_cells(chunks.filter(F.lit(False)))
     blocks = hyperslab(chunks, window, max_chunk=max_chunk)
-    side = runs.select(*keys, F.col("row").alias("j"), "lo", "hi").withColumn(
+    side = mask.runs.select(*keys, F.col("row").alias("j"), "lo", "hi").withColumn(
         "_strip", F.explode(_strips("lo", "(hi - 1)"))
     )
     keep = [c for c in chunks.columns if c not in {"y0", "x0", "ny", "nx", "data"}]
     spread = [c for c in keep if c in {"time", "var"}] or keep
     # a run of w columns becomes at most w / STRIP + 2 join rows
-    side_rows = n * (window.width // STRIP + 2)
+    side_rows = mask.count * (window.width // STRIP + 2)
     if mode == "drop":
         rows = chunk_rows(blocks).withColumn("_x1", F.col("x0") + F.col("nx") - 1)
         rows = rows.withColumn("_strip", F.explode(_strips("x0", "_x1")))
@@ -170,5 +184,5 @@ def subset_domain_by_ids(
 ) -> dict[str, DataFrame]:
     """Clip every grid of a domain to the polygons whose id is in ``ids(poly_id)``."""
     chosen = polygons.join(ids.select("poly_id").distinct(), "poly_id", "left_semi")
-    runs = union_runs(polygon_runs(chosen, nrow, ncol))
-    return {name: clip(grid, runs, mode) for name, grid in grids.items()}
+    mask = Mask.of(union_runs(polygon_runs(chosen, nrow, ncol)))
+    return {name: clip(grid, mask, mode) for name, grid in grids.items()}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basinflow.operators.closure import downstream, upstream
 from basinflow.operators.ordering import average_rank, sequential_id
+from basinflow.session import cut
 
 # Fixed values: ``to`` of a link that leaves the subset, and the lake id of a link whose lake went.
 NO_LINK = 0
@@ -49,7 +50,8 @@ def cut_dangling(links: DataFrame) -> DataFrame:
 
 
 def _rerank(df: DataFrame, **sizes: int) -> DataFrame:
-    ranked = average_rank(df, "ascendingIndex", "_rank", **sizes)
+    # the subset is read several times below: counted, ordered, joined
+    ranked = average_rank(cut(df, "ranked"), "ascendingIndex", "_rank", **sizes)
     return ranked.drop("ascendingIndex").withColumnRenamed("_rank", "ascendingIndex")
 
 
@@ -67,7 +69,7 @@ def subset_buckets(
     """Buckets of kept basins, numbered ``1..n`` in file order (the unique column ``order_by``)."""
     ids = basins.select(F.col("IDmask").alias("ComID")).distinct()
     sub = buckets.drop("Basin").join(ids, "ComID", "left_semi")
-    return sequential_id(sub, order_by, "Basin", **sizes)
+    return sequential_id(cut(sub, "buckets"), order_by, "Basin", **sizes)
 
 
 def lake_outlets(full_links: DataFrame, lake_types: DataFrame) -> DataFrame:
@@ -94,24 +96,19 @@ def lakes_to_remove(links: DataFrame, full_links: DataFrame, outlets: DataFrame)
     return broken.join(present, "lake_id", "left_semi")
 
 
-def retain_lakes(
-    lakes: DataFrame,
-    lake_types: DataFrame,
-    links: DataFrame,
-    full_links: DataFrame,
-    **sizes: int,
-) -> tuple[DataFrame, DataFrame]:
-    """Lakes whose whole drainage area is in the subset, and the links without the other lakes.
-
-    A lake without outlet is kept. Links of removed lakes get the lake id -9999.
-    """
-    removed = lakes_to_remove(links, full_links, lake_outlets(full_links, lake_types))
+def keep_lakes(lakes: DataFrame, links: DataFrame, removed: DataFrame, **sizes: int) -> DataFrame:
+    """Lakes of the subset's links but for the removed ones, order index re-ranked."""
     present = links.filter("NHDWaterbodyComID > 0").select(
         F.col("NHDWaterbodyComID").alias("lake_id")
     ).distinct()
     kept = lakes.join(present, "lake_id", "left_semi").join(removed, "lake_id", "left_anti")
     if "ascendingIndex" in kept.columns:
         kept = _rerank(kept, **sizes)
+    return kept
+
+
+def mark_removed_lakes(links: DataFrame, removed: DataFrame) -> DataFrame:
+    """Give links of removed lakes the lake id -9999."""
     gone = removed.select(F.col("lake_id").alias("NHDWaterbodyComID"), F.lit(True).alias("_gone"))
     marked = links.join(gone, "NHDWaterbodyComID", "left").withColumn(
         "NHDWaterbodyComID",
@@ -119,7 +116,23 @@ def retain_lakes(
             F.col("NHDWaterbodyComID")
         ),
     )
-    return kept, marked.select(*links.columns)
+    return marked.select(*links.columns)
+
+
+def retain_lakes(
+    lakes: DataFrame,
+    lake_types: DataFrame,
+    links: DataFrame,
+    full_links: DataFrame,
+    **sizes: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Lakes whose whole drainage area is in the subset, and the links without the other lakes.
+
+    A lake without outlet is kept.
+    """
+    outlets = lake_outlets(full_links, lake_types)
+    removed = cut(lakes_to_remove(links, full_links, outlets), "lakes")
+    return keep_lakes(lakes, links, removed, **sizes), mark_removed_lakes(links, removed)
 
 
 def subset_stations(stations: DataFrame, links: DataFrame) -> DataFrame:

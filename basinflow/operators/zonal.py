@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basinflow.operators.joins import lookup_join
+from basinflow.session import cut
 
 
 def zone_weights(weights: DataFrame) -> DataFrame:
@@ -34,6 +35,7 @@ def zonal_mean(
     cells: DataFrame, zones: DataFrame, by: Sequence[str] = ("id", "time", "var")
 ) -> DataFrame:
     """Mean of cell values weighted by ``zones(id, j, i, w)``."""
+    zones = cut(zones, "zones")
     return _mean(lookup_join(cells, zones, ["j", "i"], salt_by=["time", "var"]), by)
 
 
@@ -46,7 +48,8 @@ def zonal_mean_chunks(
     """The same straight from stored blocks on a regular ``(ny, nx)`` block grid.
 
     Weights meet blocks on the block origin and pick their value out of the array, so cells outside
-    all zones are never unfolded and blocks outside are dropped by the join.
+    all zones are never unfolded and blocks outside are dropped by the join. The placed weights are
+    written once, then counted and joined.
     """
     ny, nx = chunk_shape
     placed = zones.select(
@@ -55,6 +58,7 @@ def zonal_mean_chunks(
         (F.expr(f"(i - 1) div {nx}") * nx + 1).cast("int").alias("x0"),
         F.expr(f"(j - 1) % {ny}").alias("_dj"), F.expr(f"(i - 1) % {nx}").alias("_di"),
     )
+    placed = cut(placed, "zones")
     hit = lookup_join(
         chunks, placed, ["y0", "x0"], "inner",
         (F.col("_dj") < F.col("ny")) & (F.col("_di") < F.col("nx")),

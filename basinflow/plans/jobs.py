@@ -15,12 +15,13 @@ from basinflow.functions.gridindex import (
 from basinflow.functions.timestamps import ntz
 from basinflow.operators import network
 from basinflow.operators.catchments import configure_catchments
-from basinflow.operators.cells import explode_cells, hyperslab, rechunk, time_slice, with_coords
+from basinflow.operators.cells import explode_cells, hyperslab, time_slice, with_axis_coords
 from basinflow.operators.clip import clip, polygon_runs, subset_domain_by_ids, union_runs
 from basinflow.operators.metadata import describe_cells
 from basinflow.operators.timebins import assign_bins, group_status, require_complete, time_bins
 from basinflow.operators.weights import full_basins, subset_weights
 from basinflow.operators.zonal import zonal_mean_chunks, zone_weights
+from basinflow.session import cut
 from basinflow.sources.manifest import list_forcing
 from basinflow.sources.sinks import (
     RunLayout, hourly_parts, write_bounds, write_dataset, write_hourly, write_metadata,
@@ -40,23 +41,24 @@ class ForcingGrid:
 def forcing_hourly(
     manifest: DataFrame,
     chunks: DataFrame,
-    grid_cells: DataFrame,
+    axes: tuple[DataFrame, DataFrame],
     polygons: DataFrame,
     grid: ForcingGrid,
     start: datetime,
     end: datetime,
 ) -> DataFrame:
-    """Listed hours of the forcing, with coordinates, clipped, as named hourly parts.
+    """Listed hours of the forcing, clipped, with coordinates, as named hourly parts.
 
-    ``polygons`` are in index space. Cells of the window outside the polygons are NULL.
+    ``axes`` are the x and y axis tables, ``polygons`` are in index space. Cells of the window
+    outside the polygons are NULL.
     """
     listed = list_forcing(manifest, start, end).select(F.col("valid_time").alias("time")).distinct()
     hours = chunks.filter(F.col("time").between(ntz(start), ntz(end))).join(
         listed, "time", "left_semi"
     )
     runs = union_runs(polygon_runs(polygons, grid.nrow, grid.ncol))
-    cells = clip(rechunk(hours), runs, "mask", max_chunk=grid.block)
-    return hourly_parts(with_coords(cells, grid_cells))
+    cells = clip(hours, runs, "mask", max_chunk=grid.block)
+    return hourly_parts(with_axis_coords(cells, *axes))
 
 
 def forcing_groups(
@@ -138,7 +140,8 @@ def static_subset(
     if inputs.weights is None or inputs.links is None:
         return out
     rect = bounds["hyd_sn"]
-    basins = full_basins(inputs.weights, rect).select("IDmask")
+    # four tables depend on the kept basins: find them once
+    basins = cut(full_basins(inputs.weights, rect).select("IDmask"), "basins")
     out["weights"], out["polys"] = subset_weights(inputs.weights, inputs.polys, basins, rect)
     keep = network.kept_ids(basins, network.links_in_envelope(inputs.links, envelope))
     out["links"] = network.subset_links(inputs.links, keep)

@@ -52,7 +52,7 @@ MASKED = f"""chosen AS (SELECT * FROM vertices), {V.SQL["edges"]},
 def forcing_job_hourly(spark: SparkSession, sf: str) -> DataFrame:
     """List, open, place, clip and name hourly outputs."""
     out = jobs.forcing_hourly(
-        forcing_manifest(spark, sf), V.chunks(spark, sf), V.grid_cells(spark, sf),
+        forcing_manifest(spark, sf), V.chunks(spark, sf), V.axis_tables(spark, sf),
         V.polygons(spark, sf), grid(spark, sf), START, END,
     )
     return out.withColumns({
@@ -60,16 +60,20 @@ def forcing_job_hourly(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
-@query("""SELECT * FROM (VALUES
-        (0, TIMESTAMP '2024-01-01 03:00:00', TIMESTAMP '2024-01-01 12:00:00', 10::BIGINT, 10::BIGINT, true),
-        (1, TIMESTAMP '2024-01-01 13:00:00', TIMESTAMP '2024-01-01 20:00:00', 8::BIGINT, 8::BIGINT, true))
-    AS t(bin, bin_start, bin_end, expected, written, ok)""")
+@query(with_views("chunks", """,
+    bins(bin, bin_start, bin_end, expected) AS (VALUES
+        (0, TIMESTAMP '2024-01-01 03:00:00', TIMESTAMP '2024-01-01 12:00:00', 10::BIGINT),
+        (1, TIMESTAMP '2024-01-01 13:00:00', TIMESTAMP '2024-01-01 20:00:00', 8::BIGINT))
+    SELECT bin, bin_start, bin_end, expected, count(DISTINCT time) AS written,
+           expected = count(DISTINCT time) AS ok
+    FROM bins LEFT JOIN chunks ON time BETWEEN bin_start AND bin_end
+    GROUP BY bin, bin_start, bin_end, expected"""))
 def forcing_job_status(spark: SparkSession, sf: str) -> DataFrame:
     """The same job written out hour by hour, with the status of each group as read back."""
     return jobs.run_forcing_hourly(
         spark, scratch_path(spark, "hourly"), START, END,
         manifest=forcing_manifest(spark, sf), chunks=V.chunks(spark, sf),
-        grid_cells=V.grid_cells(spark, sf), polygons=V.polygons(spark, sf), grid=grid(spark, sf),
+        axes=V.axis_tables(spark, sf), polygons=V.polygons(spark, sf), grid=grid(spark, sf),
     )
 
 

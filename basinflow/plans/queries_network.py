@@ -140,11 +140,12 @@ LAKES = """sub AS (SELECT * FROM links WHERE lat < 49.5),
           AND lake_id IN (SELECT NHDWaterbodyComID FROM sub))"""
 
 
-def lake_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def removed_lakes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """``(kept links, removed lakes)``."""
     full = V.links(spark, sf)
-    return network.retain_lakes(
-        V.lakes(spark, sf), V.lake_types(spark, sf), full.filter("lat < 49.5"), full
-    )
+    sub = full.filter("lat < 49.5")
+    outlets = network.lake_outlets(full, V.lake_types(spark, sf))
+    return sub, network.lakes_to_remove(sub, full, outlets)
 
 
 @query(with_views("links", f""", {LAKES},
@@ -157,7 +158,8 @@ def lake_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     FROM kept""", recursive=True))
 def lake_retention(spark: SparkSession, sf: str) -> DataFrame:
     """Lakes whose whole drainage area is kept."""
-    return lake_tables(spark, sf)[0]
+    sub, removed = removed_lakes(spark, sf)
+    return network.keep_lakes(V.lakes(spark, sf), sub, removed)
 
 
 @query(with_views("links", f""", {LAKES}
@@ -166,7 +168,8 @@ def lake_retention(spark: SparkSession, sf: str) -> DataFrame:
     FROM sub""", recursive=True))
 def lake_links(spark: SparkSession, sf: str) -> DataFrame:
     """Links with the removed lakes marked."""
-    return lake_tables(spark, sf)[1].select("link", "to", "NHDWaterbodyComID")
+    sub, removed = removed_lakes(spark, sf)
+    return network.mark_removed_lakes(sub, removed).select("link", "to", "NHDWaterbodyComID")
 
 
 @query(with_views("links", """,

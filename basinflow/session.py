@@ -40,8 +40,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="basinflow-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -50,7 +48,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder and return it without its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` to the shared folder and return it as read back, without its lineage.
+
+    Lost executors re-read files instead of repeating the steps before, and Spark knows the size of
+    what it joins next.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,7 +16,8 @@ def spark(tmp_path_factory):
 
     session = get_session(
         "tests", "local[4]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__driver__memory="4g",
     )

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basinflow import schemas
+from basinflow.functions.crs import meshgrid, with_lonlat
 from basinflow.functions.gridindex import IndexBounds
 from basinflow.operators import attrs as A
 from basinflow.operators import cells as C
@@ -142,3 +143,12 @@ def test_set_attrs_is_an_upsert(spark):
     assert got[("x", "axis")] == ["X"] and got[("x", "other")] == ["1"]
     assert got[("spatial_ref", "spatial_ref")] == ["EPSG:4326"]
     assert len(got) == len(A.COORDINATE_ATTRS) + 1 + 4
+
+
+def test_coordinates_agree(spark):
+    xs = spark.range(1, 11).select(F.col("id").cast("int").alias("i"), (F.col("id") * 1000.0).alias("x"))
+    ys = spark.range(1, 8).select(F.col("id").cast("int").alias("j"), (F.col("id") * 500.0).alias("y"))
+    template = with_lonlat(meshgrid(xs, ys))
+    cells = C.explode_cells(blocks(spark, hours=2))
+    cols = ["time", "j", "i", "value", "x", "y", "lon", "lat"]
+    assert rows(C.with_coords(cells, template), *cols) == rows(C.with_axis_coords(cells, xs, ys), *cols)

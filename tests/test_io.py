@@ -306,12 +306,11 @@ def test_stream_counts_each_file_once(spark, tmp_path):
 def test_hourly_job(spark, tmp_path):
     grid = blocks(spark, nrow=20, ncol=20, hours=5)
     paths = [(f"b/f/2024/2024010{1}{h:02d}.x", 2024) for h in range(5)]
-    coords = explode_cells(blocks(spark, nrow=20, ncol=20)).select(
-        "j", "i", *[F.col("value").cast("double").alias(c) for c in ("x", "y", "lon", "lat")]
-    )
+    xs = spark.range(1, 21).select(F.col("id").cast("int").alias("i"), (F.col("id") * 1000.0).alias("x"))
+    ys = xs.select(F.col("i").alias("j"), F.col("x").alias("y"))
     parts = dict(
         manifest=spark.createDataFrame(paths, "path string, year int"), chunks=grid,
-        grid_cells=coords, polygons=spark.createDataFrame(concave(), schemas.POLYGONS),
+        axes=(xs, ys), polygons=spark.createDataFrame(concave(), schemas.POLYGONS),
         grid=jobs.ForcingGrid(20, 20, (3, 4)),
     )
     status = jobs.run_forcing_hourly(
