@@ -80,9 +80,9 @@ def meshgrid(xs: DataFrame, ys: DataFrame, x: str = "x", y: str = "y") -> DataFr
     Every row of the y axis is unfolded over the index range of the x axis, and the x coordinate is
     looked up by index, so the pairing is an equi-join.
     """
-    last = xs.agg(F.max("i").alias("last")).scalar()
-    first = xs.agg(F.min("i").alias("first")).scalar()
-    rows = ys.select("j", y, F.explode(F.sequence(first, last)).alias("i"))
+    span = xs.agg(F.struct(F.min("i").alias("first"), F.max("i").alias("last"))).scalar()
+    indices = F.sequence(span.getField("first"), span.getField("last"))
+    rows = ys.select("j", y, F.explode(indices).alias("i"))
     return rows.join(xs.select("i", x), "i").select("j", "i", x, y)
 
 

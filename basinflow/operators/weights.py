@@ -39,15 +39,19 @@ def subset_weights(
 ) -> tuple[DataFrame, DataFrame]:
     """Weights and polys of the kept basins, cut to the rectangle.
 
-    ``keep(IDmask)`` lists the basins. Indices restart at 1, weights are divided by their basin's
+    ``keep(IDmask)`` lists the basins; when it is the result of ``full_basins`` for the same
+    rectangle, the sums it carries are used instead of being calculated again. Indices restart at 1, weights are divided by their basin's
     sum inside the rectangle (``regridweight`` is not), ``overlaps`` is counted again and is 0 for a
     kept basin without cells inside.
 
     Sums are aggregated before the rows are joined back, so a basin owning most rows reaches the
     join as one summed row, and its rows stay splittable.
     """
-    kept = keep.select("IDmask").distinct()
-    sums = basin_sums(weights, bounds).join(kept, "IDmask", "left_semi")
+    if {"sum_weight", "overlaps"} <= set(keep.columns):
+        kept, sums = keep.select("IDmask"), keep
+    else:
+        kept = keep.select("IDmask").distinct()
+        sums = basin_sums(weights, bounds).join(kept, "IDmask", "left_semi")
     rows = (
         weights.filter(in_rectangle(bounds))
         .join(sums.select("IDmask", "sum_weight"), "IDmask")

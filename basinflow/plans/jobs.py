@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinflow.functions.gridindex import (
-    Grid, IndexBounds, as_bounds, bbox_bounds, buffered_envelope,
+    Grid, IndexBounds, as_bounds, bbox_bounds, buffered_envelope, geotransform,
 )
 from basinflow.functions.timestamps import ntz
 from basinflow.operators import network
+from basinflow.operators.attrs import grid_attrs, set_attrs
 from basinflow.operators.catchments import configure_catchments
-from basinflow.operators.cells import explode_cells, hyperslab, time_slice, with_axis_coords
+from basinflow.operators.cells import (
+    explode_cells, grid_corners, hyperslab, time_slice, with_axis_coords,
+)
 from basinflow.operators.clip import clip, polygon_runs, subset_domain_by_ids, union_runs
 from basinflow.operators.metadata import describe_cells
 from basinflow.operators.timebins import assign_bins, group_status, require_complete, time_bins
@@ -96,7 +99,12 @@ def run_forcing_dataset(out: str, **parts) -> None:
 
 @dataclass(frozen=True)
 class StaticInputs:
-    """Tables of the full domain. Grids are block tables by name; others may be left out."""
+    """Tables of the full domain. Grids are block tables by name; others may be left out.
+
+    ``attrs`` are rewritten for every land grid; this needs a land grid named ``geogrid`` which holds
+    the corner variables. ``axes`` give ``(xs, ys, resolution)`` by grid name, in the grid's own row
+    order, for grids whose GeoTransform is to be rewritten.
+    """
 
     weights: DataFrame | None = None
     polys: DataFrame | None = None
@@ -107,6 +115,8 @@ class StaticInputs:
     stations: DataFrame | None = None
     land_grids: Mapping[str, DataFrame] | None = None
     routing_grids: Mapping[str, DataFrame] | None = None
+    attrs: DataFrame | None = None
+    axes: Mapping[str, tuple[DataFrame, DataFrame, float]] | None = None
 
     def check(self) -> None:
         """Options that need others are refused before any work starts."""
@@ -118,6 +128,49 @@ class StaticInputs:
                 raise ValueError(f"{name} need weights and links")
         if self.lakes is not None and self.lake_types is None:
             raise ValueError("lakes need lake_types")
+        if self.attrs is not None and "geogrid" not in (self.land_grids or {}):
+            raise ValueError("attrs need a land grid named geogrid")
+        if self.axes and self.attrs is None:
+            raise ValueError("axes need attrs")
+        unknown = set(self.axes or {}) - set(self.land_grids or {}) - set(self.routing_grids or {})
+        if unknown:
+            raise ValueError(f"axes of unknown grids: {sorted(unknown)}")
+
+
+def window_geotransform(
+    xs: DataFrame, ys: DataFrame, res: float, window: IndexBounds, dataset: str
+) -> DataFrame:
+    """GeoTransform attribute of a grid cut to ``window``, from its first column and row."""
+    x = xs.filter(F.col("i") == window.imin).select(F.lit(dataset).alias("dataset"), "i", "x")
+    y = ys.filter(F.col("j") == window.jmin).select(F.lit(dataset).alias("dataset"), "j", "y")
+    text = geotransform(x.join(y, "dataset"), res, res, by=["dataset"])
+    return text.select(
+        "dataset", F.lit("crs").alias("variable"), F.lit("GeoTransform").alias("name"),
+        F.lit("c").alias("type"), F.array("GeoTransform").alias("value"),
+    )
+
+
+def static_attrs(
+    inputs: StaticInputs, bounds: Mapping[str, IndexBounds], geogrid: DataFrame, row_order: str
+) -> DataFrame:
+    """Attributes of the cut grids: sizes and corners of land grids, GeoTransforms where asked for.
+
+    The corners are those of the cut ``geogrid``; all land grids get the same.
+    """
+    geo = bounds["geo_sn"]
+    names = F.array(*[F.lit(n) for n in inputs.land_grids])
+    corners = grid_corners(explode_cells(geogrid).withColumn("dataset", F.lit("geogrid")))
+    corners = corners.select(F.explode(names).alias("dataset"), "corner_lats", "corner_lons")
+    sizes = inputs.attrs.sparkSession.createDataFrame(
+        [(n, geo.imin, geo.imax, geo.jmin, geo.jmax) for n in inputs.land_grids],
+        "dataset STRING, w INT, e INT, s INT, n INT",
+    )
+    attrs = grid_attrs(inputs.attrs, sizes, corners)
+    for name, (xs, ys, res) in (inputs.axes or {}).items():
+        land = name in inputs.land_grids
+        window = bounds[f"geo_{row_order}"] if land else bounds[f"hyd_{row_order}"]
+        attrs = set_attrs(attrs, window_geotransform(xs, ys, res, window, name))
+    return attrs
 
 
 def static_subset(
@@ -137,11 +190,13 @@ def static_subset(
         out[name] = hyperslab(grid, bounds["geo_sn"], stag="stag_x" in grid.columns, reorigin=True)
     for name, grid in (inputs.routing_grids or {}).items():
         out[name] = hyperslab(grid, bounds[f"hyd_{row_order}"], reorigin=True)
+    if inputs.attrs is not None:
+        out["attrs"] = static_attrs(inputs, bounds, out["geogrid"], row_order)
     if inputs.weights is None or inputs.links is None:
         return out
     rect = bounds["hyd_sn"]
     # four tables depend on the kept basins: find them once
-    basins = cut(full_basins(inputs.weights, rect).select("IDmask"), "basins")
+    basins = cut(full_basins(inputs.weights, rect), "basins")
     out["weights"], out["polys"] = subset_weights(inputs.weights, inputs.polys, basins, rect)
     keep = network.kept_ids(basins, network.links_in_envelope(inputs.links, envelope))
     out["links"] = network.subset_links(inputs.links, keep)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinflow.functions.timestamps import hour_of
@@ -40,6 +40,12 @@ def whole_span(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def span_bounds(span: DataFrame) -> tuple[Column, Column]:
+    """Both ends from one scalar subquery."""
+    both = span.select(F.struct("start", "end")).scalar()
+    return both.getField("start"), both.getField("end")
+
+
 def bins_sql(spans: str, keys: str = "") -> str:
     """Time groups of every row of ``spans``, as a common table expression."""
     part = f"PARTITION BY {keys}" if keys else ""
@@ -73,10 +79,8 @@ def time_bins(spark: SparkSession, sf: str) -> DataFrame:
     FROM series s JOIN bins b ON s.time BETWEEN b.bin_start AND b.bin_end GROUP BY b.bin, s.var"""))
 def binned_series(spark: SparkSession, sf: str) -> DataFrame:
     """The series summed per time group."""
-    span = whole_span(spark, sf)
-    binned = T.assign_bins(
-        V.series(spark, sf), span.select("start").scalar(), span.select("end").scalar(), STEP
-    )
+    start, end = span_bounds(whole_span(spark, sf))
+    binned = T.assign_bins(V.series(spark, sf), start, end, STEP)
     return binned.groupBy("bin", "var").agg(
         F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")
     )
@@ -94,9 +98,7 @@ def group_status(spark: SparkSession, sf: str) -> DataFrame:
     """Which time groups have an error event in every hour."""
     span = whole_span(spark, sf)
     errors = V.series(spark, sf).filter("var = 'error'")
-    written = T.assign_bins(
-        errors, span.select("start").scalar(), span.select("end").scalar(), STEP
-    )
+    written = T.assign_bins(errors, *span_bounds(span), STEP)
     return T.group_status(T.time_bins(span, STEP), written)
 
 

@@ -61,10 +61,10 @@ def test_runs_equal_brute_force(spark, shapes):
     assert set(got) == {(j, i) for _, j, i in expected}
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("limit", [10**8, -1])
 @pytest.mark.parametrize("strip", [256, 4])
 def test_clip_modes(spark, monkeypatch, limit, strip):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
     monkeypatch.setattr(P, "STRIP", strip)
     shapes = concave() + noise(5, 3)
     runs = P.union_runs(P.polygon_runs(spark.createDataFrame(shapes, schemas.POLYGONS), 20, 20))
@@ -105,8 +105,8 @@ def test_index_space(spark):
 def test_joins_are_equi_joins(spark, monkeypatch):
     runs = P.union_runs(P.polygon_runs(spark.createDataFrame(concave(), schemas.POLYGONS), 20, 20))
     grid = blocks(spark, nrow=20, ncol=20)
-    for limit in (10**6, 0):
-        monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    for limit in (10**8, -1):
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
         for mode in ("mask", "drop"):
             plan = plan_of(P.clip(grid, runs, mode))
             assert "NestedLoop" not in plan and "Cartesian" not in plan

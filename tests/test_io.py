@@ -358,8 +358,12 @@ def test_static_job(spark, tmp_path):
     assert rows(read("buckets"), "ComID", "Basin") == [(1, 1)]
     soil = rows(explode_cells(read("soil")), "j", "i", "value")
     assert soil[0] == (1, 1, 909.0) and soil[-1] == (4, 3, 1211.0) and len(soil) == 12
-    with pytest.raises(ValueError):
-        jobs.StaticInputs(buckets=inputs.buckets).check()
+    for wrong in (
+        dict(buckets=inputs.buckets), dict(attrs=inputs.links), dict(axes={"q": None}),
+        dict(weights=inputs.weights, polys=inputs.polys, links=inputs.links, lakes=inputs.links),
+    ):
+        with pytest.raises(ValueError):
+            jobs.StaticInputs(**wrong).check()
     with pytest.raises(ValueError):
         jobs.StaticInputs(weights=inputs.weights).check()
 
@@ -381,3 +385,28 @@ def test_shared_folder(spark):
     df = cut(spark.range(10).withColumn("b", F.col("id") * 2))
     assert "Range" not in plan_of(df)
     assert df.count() == 10
+
+
+def test_static_attrs(spark):
+    xs = spark.range(1, 81).select(F.col("id").cast("int").alias("i"), (F.col("id") * 250.0).alias("x"))
+    ys = spark.range(1, 81).select(F.col("id").cast("int").alias("j"), (F.col("id") * 250.0).alias("y"))
+    land_xs = xs.filter("i <= 20").withColumn("x", F.col("i") * 1000.0)
+    land_ys = ys.filter("j <= 20").withColumn("y", F.col("j") * 1000.0)
+    grids = {"geogrid": blocks(spark, nrow=20, ncol=20, var="XLAT_M"), "soil": blocks(spark, nrow=20, ncol=20)}
+    inputs = jobs.StaticInputs(
+        land_grids=grids, routing_grids={"routing": blocks(spark, nrow=80, ncol=80)},
+        attrs=spark.createDataFrame([("soil", "", "i_parent_end", "l", ["9"])], schemas.ATTRS),
+        axes={"soil": (land_xs, land_ys, 1000.0), "routing": (xs, ys, 250.0)},
+    )
+    bounds = {
+        "geo_sn": IndexBounds(2, 4, 3, 6), "geo_ns": IndexBounds(2, 4, 15, 18),
+        "hyd_sn": IndexBounds(5, 16, 9, 24), "hyd_ns": IndexBounds(5, 16, 57, 72),
+    }
+    out = jobs.static_subset(inputs, bounds, spark.createDataFrame([(1,)], "unused int"))
+    got = {(r.dataset, r.name): r.value for r in out["attrs"].collect()}
+    assert got["soil", "i_parent_end"] == got["geogrid", "i_parent_end"] == ["4"]
+    assert got["soil", "j_parent_end"] == ["5"]
+    assert got["soil", "corner_lats"] == ["302", "602", "604", "304"] + ["0"] * 12
+    assert got["soil", "GeoTransform"] == ["1500 1000 0 15500 0 1000"]
+    assert got["routing", "GeoTransform"] == ["1125 250 0 14375 0 250"]
+    assert len(got) == 2 * 8 + 2

@@ -73,9 +73,9 @@ def test_group_status(spark):
         timebins.require_complete(status)
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("limit", [10**8, -1])
 def test_batch_windows_overlap(spark, monkeypatch, limit):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
     df = spark.createDataFrame([(T0 + timedelta(hours=h),) for h in range(72)], "time timestamp_ntz")
     w = [("a", T0, T0 + timedelta(hours=47)), ("b", T0 + timedelta(hours=40), T0 + timedelta(hours=50))]
     win = spark.createDataFrame(w, "window_id string, start timestamp_ntz, end timestamp_ntz")
@@ -304,9 +304,9 @@ def test_hydrofabric(spark):
 
 # -- zones, overviews, descriptions ------------------------------------------------------------------
 
-@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("limit", [10**8, -1])
 def test_zonal_mean(spark, monkeypatch, limit):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
     zones = spark.createDataFrame(
         [(1, 2, 2, 1.0), (1, 7, 10, 3.0), (2, 4, 4, 0.5), (3, 50, 50, 1.0)],
         "id long, j int, i int, w double",
@@ -382,9 +382,9 @@ def test_lookup_join_refuses_side_rows(spark):
 
 
 @pytest.mark.parametrize("how, want", [("inner", 400), ("left", 401), ("left_semi", 400), ("left_anti", 1)])
-@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("limit", [10**8, -1])
 def test_lookup_join_on_a_hot_key(spark, monkeypatch, how, want, limit):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
     large = spark.range(400).select(F.lit(1).alias("k"), "id").union(
         spark.createDataFrame([(2, 900)], "k int, id long")
     )
