@@ -36,14 +36,21 @@ class Grid:
     @classmethod
     def from_cells(cls, grid_cells: DataFrame, res: float) -> Grid:
         """Measure the extent of a grid template from its cell centres (one aggregate row)."""
-        e = grid_cells.agg(
-            F.min("x").alias("x0"), F.max("x").alias("x1"),
-            F.min("y").alias("y0"), F.max("y").alias("y1"),
-        ).first()
-        return cls(
-            xmin=e.x0 - res / 2, ymax=e.y1 + res / 2, res=res,
-            ncol=round((e.x1 - e.x0) / res) + 1, nrow=round((e.y1 - e.y0) / res) + 1,
-        )
+        e = grid_extent(grid_cells, res).first()
+        return cls(xmin=e.xmin, ymax=e.ymax, res=res, ncol=e.ncol, nrow=e.nrow)
+
+
+def grid_extent(grid_cells: DataFrame, res: float, by: Sequence[str] = ()) -> DataFrame:
+    """Outer edges and size ``(xmin, xmax, ymin, ymax, ncol, nrow)`` of grids of cell centres."""
+    sides = [
+        (F.min("x") - res / 2).alias("xmin"), (F.max("x") + res / 2).alias("xmax"),
+        (F.min("y") - res / 2).alias("ymin"), (F.max("y") + res / 2).alias("ymax"),
+    ]
+    edges = grid_cells.groupBy(*by).agg(*sides) if by else grid_cells.agg(*sides)
+    return edges.withColumns({
+        "ncol": F.round((F.col("xmax") - F.col("xmin")) / res).cast("int"),
+        "nrow": F.round((F.col("ymax") - F.col("ymin")) / res).cast("int"),
+    })
 
 
 @dataclass(frozen=True)

@@ -26,7 +26,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     """All queries and their SQL."""
     from basinflow.plans import (  # noqa: F401
-        queries_grid, queries_jobs, queries_network, queries_time, queries_weights,
+        queries_grid, queries_io, queries_jobs, queries_network, queries_time, queries_weights,
     )
 
     return QUERIES, ORACLE

@@ -192,32 +192,58 @@ def grid_height(spark: SparkSession, sf: str) -> int:
     return row.h
 
 
-def polygons(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers as concave polygons in index space; every second one has a hole."""
-    k, r = F.col("s_suppkey"), F.col("r")
-    shape = table(spark, sf, "supplier").select(
+# Vertices of the test polygons and of their holes, in radii from the centre.
+OUTER = [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (0.0, 0.0), (-1.0, 1.0), (-1.0, -1.0)]
+HOLE = [(-0.25, -0.75), (0.25, -0.75), (0.25, -0.375), (-0.25, -0.375), (-0.25, -0.75)]
+
+
+def shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Centre and radius of each supplier's polygon in index space."""
+    k = F.col("s_suppkey")
+    return table(spark, sf, "supplier").select(
         "s_suppkey", "s_nationkey",
-        (k * 7 % 44 + 3).cast("double").alias("a"), (k * 13 % 25 + 2).cast("double").alias("b"),
+        ((k * 7 % 44 + 3).cast("double") + 0.35).alias("cx"),
+        ((k * 13 % 25 + 2).cast("double") + 0.7).alias("cy"),
         (k % 6 + 3).cast("double").alias("r"),
-    ).withColumns({"cx": F.col("a") + 0.35, "cy": F.col("b") + 0.7})
+    )
+
+
+def polygons(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers as concave polygons in index space; every second one has a hole."""
 
     def point(ring: int, seq: int, dx: float, dy: float) -> Column:
         return F.struct(
             F.lit(ring).alias("ring"), F.lit(seq).alias("seq"),
-            (F.col("cx") + r * dx).alias("x"), (F.col("cy") + r * dy).alias("y"),
+            (F.col("cx") + F.col("r") * dx).alias("x"), (F.col("cy") + F.col("r") * dy).alias("y"),
         )
 
-    outer = [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (0.0, 0.0), (-1.0, 1.0), (-1.0, -1.0)]
-    hole = [(-0.25, -0.75), (0.25, -0.75), (0.25, -0.375), (-0.25, -0.375), (-0.25, -0.75)]
-    points = F.array(*[point(0, s, *p) for s, p in enumerate(outer)])
-    with_hole = F.concat(points, F.array(*[point(1, s, *p) for s, p in enumerate(hole)]))
-    vertices = F.when(k % 2 == 0, with_hole).otherwise(points)
-    return shape.select(
-        k.cast("string").alias("poly_id"), "s_nationkey", F.lit(0).alias("part"),
+    points = F.array(*[point(0, s, *p) for s, p in enumerate(OUTER)])
+    with_hole = F.concat(points, F.array(*[point(1, s, *p) for s, p in enumerate(HOLE)]))
+    vertices = F.when(F.col("s_suppkey") % 2 == 0, with_hole).otherwise(points)
+    return shapes(spark, sf).select(
+        F.col("s_suppkey").cast("string").alias("poly_id"), "s_nationkey", F.lit(0).alias("part"),
         F.inline(vertices),
     )
 
 
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    """The same polygons as GeoJSON features, one text per polygon."""
+
+    def ring(points: list[tuple[float, float]]) -> Column:
+        return F.array(*[
+            F.array(F.col("cx") + F.col("r") * dx, F.col("cy") + F.col("r") * dy) for dx, dy in points
+        ])
+
+    rings = F.when(F.col("s_suppkey") % 2 == 0, F.array(ring(OUTER), ring(HOLE))).otherwise(
+        F.array(ring(OUTER))
+    )
+    return shapes(spark, sf).select(F.to_json(F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(F.col("s_suppkey").alias("ID"), F.col("s_nationkey").alias("nation")).alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates")).alias("geometry"),
+    )).alias("value"))
+
+
 def lonlat_polygons(spark: SparkSession, sf: str) -> DataFrame:
     """The same shapes as small lon/lat polygons."""
     return polygons(spark, sf).withColumns({

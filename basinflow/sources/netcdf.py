@@ -11,11 +11,13 @@ import json
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinflow.functions.names import last_stem
+from basinflow.functions.timestamps import stamp
 from basinflow.sources.manifest import list_folder
 
 REFERENCES = "path STRING, key STRING, inline STRING, `offset` BIGINT, length BIGINT"
@@ -155,6 +157,48 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["path", "key", "inline", "offset", "length"])
 
 
+def _file_bytes(var: str, ny: int, nx: int, data) -> bytes:
+    """One block as a classic NetCDF file: a float variable over (y, x)."""
+
+    def name(text: str) -> bytes:
+        raw = text.encode("utf-8")
+        return struct.pack(">i", len(raw)) + raw + b"\0" * (-len(raw) % 4)
+
+    absent = struct.pack(">ii", 0, 0)
+    dims = struct.pack(">ii", DIMENSIONS, 2) + name("y") + struct.pack(">i", ny) + name("x")
+    dims += struct.pack(">i", nx)
+    variable = struct.pack(">ii", VARIABLES, 1) + name(var) + struct.pack(">iii", 2, 0, 1) + absent
+    head = b"CDF\x01" + struct.pack(">i", 0) + dims + absent + variable
+    values = np.asarray(data, dtype=">f4").tobytes()
+    return head + struct.pack(">iii", 5, len(values), len(head) + 12) + values
+
+
+def write_blocks(chunks: DataFrame, out: str) -> None:
+    """Every block as a small classic NetCDF file ``{hour}.{var}.{y0}.{x0}.nc``.
+
+    Files are named by content, so a task that runs again overwrites what it wrote before.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        uri = out if "://" in out or out.startswith("file:") else f"file://{out}"
+        system, root = fs.FileSystem.from_uri(uri)
+        system.create_dir(root, recursive=True)
+        for batch in batches:
+            for row in batch.itertuples():
+                with system.open_output_stream(f"{root}/{row.name}") as stream:
+                    stream.write(_file_bytes(row.var, row.ny, row.nx, row.data))
+            yield pd.DataFrame({"files": [len(batch)]})
+
+    name = F.concat_ws(
+        ".", stamp(F.col("time"), minutes=False), "var", F.col("y0").cast("string"),
+        F.col("x0").cast("string"), F.lit("nc"),
+    )
+    named = chunks.select(name.alias("name"), "var", "ny", "nx", "data")
+    named.mapInPandas(write, "files BIGINT").agg(F.sum("files")).collect()
+
+
 def scan_headers(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """References ``(path, key, inline, offset, length)`` of every file in a folder.
 

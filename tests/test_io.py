@@ -120,6 +120,18 @@ def test_refs_with_one_stem_are_refused(spark, tmp_path):
         netcdf.write_refs(netcdf.scan_headers(spark, str(tmp_path)), str(tmp_path / "out"))
 
 
+def test_written_blocks_are_found(spark, tmp_path):
+    out = str(tmp_path / "b")
+    netcdf.write_blocks(blocks(spark), out)
+    refs = netcdf.scan_headers(spark, out).filter("key = 'v/0.0' AND path LIKE '%.v.4.5.nc'").collect()
+    assert len(refs) == 1
+    data = (tmp_path / "b" / "2024010100.v.4.5.nc").read_bytes()
+    at, n = refs[0].offset, refs[0].length
+    assert struct.unpack(">12f", data[at:at + n]) == tuple(
+        100.0 * j + i for j in (4, 5, 6) for i in (5, 6, 7, 8)
+    )
+
+
 def test_not_a_netcdf_file(spark, tmp_path):
     (tmp_path / "x.nc").write_bytes(b"\x89HDF\r\n\x1a\n" + b"\0" * 64)
     with pytest.raises(Exception, match="not a classic NetCDF"):
