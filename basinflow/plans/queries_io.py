@@ -240,13 +240,13 @@ ARRAY = (
 
 
 @query(with_views("chunks", f""", {FILES},
-    entries(key, inline, at, length) AS (VALUES
+    entries(key, inline, pos, length) AS (VALUES
         ('.zgroup', '{{"zarr_format": 2}}', 0::BIGINT, 0::BIGINT),
         ('.zattrs', '{{}}', 0, 0),
         ('T2D/.zarray', '{ARRAY}', 0, 0),
         ('T2D/.zattrs', '{{"_ARRAY_DIMENSIONS": ["y", "x"]}}', 0, 0),
         ('T2D/0.0', '', {HEADER_BYTES}, 256))
-    SELECT name, key, inline, at AS "offset", length FROM files, entries"""))
+    SELECT name, key, inline, pos AS "offset", length FROM files, entries"""))
 def header_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks written as classic NetCDF files, and the references found in their headers."""
     out = scratch_path(spark, "netcdf")

@@ -9,17 +9,23 @@ from __future__ import annotations
 
 import json
 import struct
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinflow.functions.names import last_stem
 from basinflow.functions.timestamps import stamp
+from basinflow.session import cut
 from basinflow.sources.manifest import list_folder
 
+# tasks get this module's functions with the job, so executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 REFERENCES = "path STRING, key STRING, inline STRING, `offset` BIGINT, length BIGINT"
 
 # Type codes of the format, with Zarr type names and sizes in bytes.
@@ -223,19 +229,16 @@ def reference_lines(refs: DataFrame) -> DataFrame:
     entry = F.concat(F.lit('"'), F.col("key"), F.lit('":'),
                      F.when(F.col("inline").isNull(), chunk).otherwise(text))
     first = F.col("key") == ".zgroup"
-    line = F.when(first, F.concat(F.lit('{"version":1,"refs":{'), entry)).otherwise(
-        F.concat(F.lit(","), entry)
-    )
+
+    def row(order: int, key: Column, line: Column) -> Column:
+        return F.struct(F.lit(order).alias("ord"), key.alias("key"), line.alias("line"))
+
+    opening = row(0, F.col("key"), F.concat(F.lit('{"version":1,"refs":{'), entry))
+    middle = row(1, F.col("key"), F.concat(F.lit(","), entry))
+    ending = row(2, F.lit(""), F.lit("}}"))
+    lines = F.when(first, F.array(opening, ending)).otherwise(F.array(middle))
     name = F.concat(last_stem(F.col("path")), F.lit(".json"))
-    body = refs.select(
-        "path", name.alias("name"), F.when(first, 0).otherwise(1).alias("ord"), "key",
-        line.alias("line"),
-    )
-    ends = refs.filter(first).select(
-        "path", name.alias("name"), F.lit(2).alias("ord"), F.lit("").alias("key"),
-        F.lit("}}").alias("line"),
-    )
-    return body.unionByName(ends)
+    return refs.select("path", name.alias("name"), F.inline(lines))
 
 
 def write_refs(refs: DataFrame, out: str) -> None:
@@ -243,13 +246,13 @@ def write_refs(refs: DataFrame, out: str) -> None:
 
     Inputs sharing a stem would overwrite each other's document; that is an error here.
     """
-    docs = reference_lines(refs)
+    docs = cut(reference_lines(refs), "refs")  # headers are read once
     clash = (
-        refs.filter("key = '.zgroup'").select("path", last_stem(F.col("path")).alias("stem"))
-        .groupBy("stem").agg(F.count("*").alias("n")).filter("n > 1").limit(5).collect()
+        docs.filter("ord = 0").groupBy("name").agg(F.count("*").alias("n")).filter("n > 1")
+        .limit(5).collect()
     )
     if clash:
-        raise ValueError(f"several inputs are named {[r.stem for r in clash]}")
+        raise ValueError(f"several inputs share the documents {[r.name for r in clash]}")
     # rows of a document stay together and are sorted on disk, not in memory
     (
         docs.repartition("name").sortWithinPartitions("name", "ord", "key")
