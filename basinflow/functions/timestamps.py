@@ -43,9 +43,20 @@ def stamp(ts: Column, minutes: bool = True) -> Column:
     return F.translate(text, "- :", "")
 
 
-def parse_stamp(text: Column, pattern: str = "yyyyMMddHH") -> Column:
-    """Zone-free timestamp from text, NULL when it does not parse."""
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+def parse_stamp(text: Column) -> Column:
+    """Zone-free timestamp from ``yyyyMMddHH`` or ``yyyyMMddHHmm``, NULL when it does not parse.
+
+    Put together from its digits, so no session time zone takes part.
+    """
+    digits = F.when(text.rlike(r"^\d{10}(\d{2})?$"), text)
+
+    def part(start: int, n: int) -> Column:
+        return F.substring(digits, start, n).cast("int")
+
+    minute = F.when(F.length(digits) == 12, F.substring(digits, 11, 2)).otherwise("00").cast("int")
+    return F.try_make_timestamp_ntz(
+        part(1, 4), part(5, 2), part(7, 2), part(9, 2), minute, F.lit(0).cast("decimal(16,6)")
+    )
 
 
 def from_epoch_ns(ns: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinflow.functions.gridindex import IndexBounds
-from basinflow.functions.timestamps import stamp
+from basinflow.functions.timestamps import hours_between, ntz, stamp
 from basinflow.operators.cells import explode_cells
 from basinflow.plans import jobs
 from basinflow.plans import views as V
@@ -121,7 +121,7 @@ def static_job(spark: SparkSession, sf: str) -> DataFrame:
     envelope = spark.createDataFrame([V.ENVELOPE])
     parts = jobs.static_subset(inputs, BOUNDS, envelope)
     soil = explode_cells(parts["soil"]).withColumn(
-        "epoch", F.unix_seconds(F.col("time").cast("timestamp"))
+        "epoch", hours_between(ntz(datetime(1970, 1, 1)), F.col("time")) * 3600
     )
     none = F.lit(-1)
 

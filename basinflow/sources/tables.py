@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basinflow import schemas
+from basinflow.functions.timestamps import ntz
 
 
 def read_chunks(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -28,7 +29,8 @@ def open_listed(spark: SparkSession, listing: DataFrame, root: str) -> DataFrame
     if span.a is None:
         return chunks.filter(F.lit(False))
     hours = listing.select(F.col("valid_time").alias("time")).distinct()
-    return chunks.filter(F.col("time").between(span.a, span.b)).join(hours, "time", "left_semi")
+    inside = F.col("time").between(ntz(span.a), ntz(span.b))
+    return chunks.filter(inside).join(hours, "time", "left_semi")
 
 
 def read_weights(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
