@@ -55,16 +55,16 @@ def polygon_runs(polygons: DataFrame, nrow: int, ncol: int) -> DataFrame:
     """
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     spans = edges(polygons).withColumns({
-        "_r0": F.greatest(F.ceil(low).cast("int"), F.lit(1)),
-        "_r1": F.least((F.ceil(high) - 1).cast("int"), F.lit(nrow)),
+        "_r0": F.greatest(F.ceil(low), F.lit(1)),
+        "_r1": F.least(F.ceil(high) - 1, F.lit(nrow)),
     }).filter("_r0 <= _r1")
-    crossings = spans.withColumn("row", F.explode(F.sequence("_r0", "_r1")))
+    crossings = spans.withColumn("row", F.explode(F.sequence(F.col("_r0").cast("int"), F.col("_r1").cast("int"))))
     cx = F.col("x1") + (F.col("row") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (
         F.col("y2") - F.col("y1")
     )
-    cut = F.least(F.greatest(F.ceil(cx).cast("int"), F.lit(1)), F.lit(ncol + 1))
+    first = F.least(F.greatest(F.ceil(cx), F.lit(1)), F.lit(ncol + 1)).cast("int")
     toggles = (
-        crossings.select("poly_id", "row", cut.alias("at"))
+        crossings.select("poly_id", "row", first.alias("at"))
         .groupBy("poly_id", "row", "at").agg(F.count("*").alias("n"))
         .filter("n % 2 = 1")
     )

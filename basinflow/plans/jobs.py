@@ -26,10 +26,12 @@ from basinflow.operators.weights import full_basins, subset_weights
 from basinflow.operators.zonal import zonal_mean_chunks, zone_weights
 from basinflow.session import cut
 from basinflow.sources.manifest import list_forcing
+from basinflow.sources.netcdf import scan_headers, write_refs
 from basinflow.sources.sinks import (
     RunLayout, hourly_parts, write_bounds, write_dataset, write_hourly, write_metadata,
     write_tables, write_weights,
 )
+from basinflow.sources.tables import read_hydrofabric
 
 
 @dataclass(frozen=True)
@@ -283,6 +285,46 @@ def catchment_inputs(
     return configure_catchments(catchments, attrs, forcing)
 
 
-def forcing_cells(chunks: DataFrame, bounds: IndexBounds) -> DataFrame:
-    """Cells of the same index range of every forcing file."""
-    return explode_cells(hyperslab(chunks, bounds, reorigin=True))
+def run_hydrofabric_subset(
+    spark: SparkSession, base: str, vpu_id: str, wb_id: str, layers: Sequence[str], layout: RunLayout
+) -> None:
+    """Cut the layers stored at ``base`` to what drains to ``wb_id`` and write them.
+
+    The unit's edges are the layer ``edges`` (``id, toid``); it is cut and written as well.
+    """
+    parts = read_hydrofabric(spark, base, vpu_id, [*layers, "edges"])
+    write_tables(network.subset_hydrofabric(parts, parts["edges"], wb_id), layout.domain)
+
+
+def run_chain(
+    spark: SparkSession,
+    base: str,
+    vpu_id: str,
+    wb_id: str,
+    chunks: DataFrame,
+    weights: DataFrame,
+    block: tuple[int, int],
+    start: str,
+    end: str,
+    layout: RunLayout,
+) -> None:
+    """Domain, forcing and configuration of the catchments above a flowpath, written step by step.
+
+    Each step reads what the one before has written.
+    """
+    run_hydrofabric_subset(spark, base, vpu_id, wb_id, ["catchments", "attributes"], layout)
+    number = F.substring("divide_id", 5, 40).cast("bigint").alias("id")
+    catchments = spark.read.parquet(f"{layout.domain}/catchments").select(number)
+    attributes = spark.read.parquet(f"{layout.domain}/attributes")
+    kept = [c for c in attributes.columns if c not in {"divide_id", "vpu_id"}]
+    zones = zone_weights(weights).join(catchments, "id", "left_semi")
+    write_dataset(zonal_mean_chunks(time_slice(chunks, start, end), zones, block), layout.forcing)
+    config, _ = configure_catchments(
+        catchments, attributes.select(number, *kept), spark.read.parquet(layout.forcing)
+    )
+    config.write.mode("overwrite").json(layout.config)
+
+
+def run_references(spark: SparkSession, folder: str, out: str) -> None:
+    """A reference document for every classic NetCDF file of a folder."""
+    write_refs(scan_headers(spark, folder), out)

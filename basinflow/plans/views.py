@@ -7,6 +7,7 @@ for the SQL checks.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,9 @@ BASE_TIME = datetime(2024, 1, 1)
 LISTING_BASE = datetime(2009, 12, 31)
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A test table; its files are listed and its footer read once per session."""
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

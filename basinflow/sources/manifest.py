@@ -11,18 +11,21 @@ from basinflow.functions.names import bucket_url, first_stem
 from basinflow.functions.timestamps import ntz, parse_stamp
 
 
-def list_forcing(manifest: DataFrame, start: datetime, end: datetime) -> DataFrame:
+def list_forcing(
+    manifest: DataFrame, start: datetime, end: datetime, ordered: bool = False
+) -> DataFrame:
     """Files of ``manifest(path, year)`` whose name says a time in ``[start, end]``.
 
     The name up to its first dot is ``yyyyMMddHH``. Years outside are pruned as partitions. Returns
-    ``(valid_time, path, url)``.
+    ``(valid_time, path, url)``, with ``ordered`` in time order (not needed to read the files).
     """
     stamped = manifest.filter(F.col("year").between(start.year, end.year)).withColumn(
         "valid_time", parse_stamp(first_stem(F.col("path")))
     )
-    return stamped.filter(F.col("valid_time").between(ntz(start), ntz(end))).select(
+    listed = stamped.filter(F.col("valid_time").between(ntz(start), ntz(end))).select(
         "valid_time", "path", bucket_url(F.col("path")).alias("url")
     )
+    return listed.orderBy("valid_time", "path") if ordered else listed
 
 
 def list_folder(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:

@@ -422,3 +422,29 @@ def test_static_attrs(spark):
     assert got["soil", "GeoTransform"] == ["1500 1000 0 15500 0 1000"]
     assert got["routing", "GeoTransform"] == ["1125 250 0 14375 0 250"]
     assert len(got) == 2 * 8 + 2
+
+
+def test_chain(spark, tmp_path):
+    flow = [(f"wb-{k}", f"nex-{k // 2}", "7") for k in range(1, 8)]
+    flow += [(f"nex-{k}", f"wb-{k}", "7") for k in range(1, 4)] + [("wb-2", "nex-1", "8")]
+    edges = spark.createDataFrame(flow, "id string, toid string, vpu_id string")
+    cats = spark.createDataFrame([(f"cat-{k}", "7") for k in range(1, 8)], "divide_id string, vpu_id string")
+    attrs = cats.withColumn("slope", F.lit(0.5))
+    for name, df in {"edges": edges, "catchments": cats, "attributes": attrs}.items():
+        df.write.partitionBy("vpu_id").parquet(str(tmp_path / "hf" / name))
+    wts = spark.createDataFrame([(2, 3, 4, 1.0, 0.0), (4, 3, 4, 1.0, 0.0), (1, 1, 3, 1.0, 0.0)], schemas.WEIGHTS)
+    run = sinks.RunLayout.new(str(tmp_path))
+    jobs.run_chain(
+        spark, str(tmp_path / "hf"), "7", "wb-2", blocks(spark, hours=3), wts, (3, 4),
+        "2024-01-01", "2024-01-01", run,
+    )
+    assert rows(spark.read.parquet(run.forcing), "id", "mean", "n_cells") == [(4, 303.0, 2)] * 3
+    config = spark.read.json(run.config)
+    assert rows(config, "id", "slope", "n_steps") == [(2, 0.5, 0), (4, 0.5, 3), (5, 0.5, 0)]
+    assert spark.read.parquet(f"{run.domain}/edges").count() == 4
+
+
+def test_reference_job(spark, tmp_path):
+    netcdf.write_blocks(blocks(spark, nrow=3, ncol=4), str(tmp_path / "in"))
+    jobs.run_references(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert [p.name for p in (tmp_path / "out").glob("name=*")] == ["name=2024010100.v.1.1.json"]
