@@ -418,15 +418,16 @@ def polygon_clip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(with_views("chunks cells vertices", f"""
-    , chosen AS (SELECT * FROM vertices WHERE s_nationkey < 8), {V.SQL["edges"]},
+    , chosen AS (SELECT * FROM vertices), {V.SQL["edges"]},
     box AS (SELECT min(j) AS j0, max(j) AS j1, min(i) AS i0, max(i) AS i1 FROM covered)
     SELECT var, time, c.j, c.i, CASE WHEN m.j IS NOT NULL THEN value END AS value
     FROM cells c JOIN box ON c.j BETWEEN j0 AND j1 AND c.i BETWEEN i0 AND i1
     LEFT JOIN covered m ON m.j = c.j AND m.i = c.i"""))
 def polygon_mask(spark: SparkSession, sf: str) -> DataFrame:
-    """Forcing in the window around the polygons of some nations, blank outside them."""
-    chosen = V.polygons(spark, sf).filter("s_nationkey < 8")
-    runs = P.union_runs(P.polygon_runs(chosen, V.grid_height(spark, sf), V.WIDTH))
+    """Forcing in the window around all polygons, blank outside them."""
+    runs = P.union_runs(
+        P.polygon_runs(V.polygons(spark, sf), V.grid_height(spark, sf), V.WIDTH)
+    )
     return as_double(P.clip(V.chunks(spark, sf), runs, "mask", max_chunk=V.BLOCK))
 
 

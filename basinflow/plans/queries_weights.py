@@ -35,15 +35,11 @@ def weights_subset(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(with_views("wts rect full_basins", """
-    , kept AS (SELECT p_partkey AS IDmask FROM part WHERE p_size <= 25)
     SELECT p_partkey AS polyid, count(r.IDmask) AS overlaps
-    FROM part LEFT JOIN rect r ON r.IDmask = p_partkey
-    WHERE p_partkey IN (SELECT IDmask FROM kept) GROUP BY p_partkey"""))
+    FROM part LEFT JOIN rect r ON r.IDmask = p_partkey GROUP BY p_partkey"""))
 def weights_polys(spark: SparkSession, sf: str) -> DataFrame:
-    """Cell counts of small parts' basins; a basin with no cell inside counts 0."""
-    keep = V.table(spark, sf, "part").filter("p_size <= 25").select(
-        F.col("p_partkey").alias("IDmask")
-    )
+    """Cell counts of all basins; a basin with no cell inside counts 0."""
+    keep = V.table(spark, sf, "part").select(F.col("p_partkey").alias("IDmask"))
     _, polys = W.subset_weights(V.weights(spark, sf), V.polys(spark, sf), keep, V.RECT)
     return polys
 
