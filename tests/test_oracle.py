@@ -2,11 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from basinflow.plans.catalog import load
 from tools.check import compare, connect
 
-QUERIES = queries()
-SQL = oracle_sql()
+QUERIES, SQL = load()
 
 
 @pytest.fixture(scope="module")
