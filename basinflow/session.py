@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import hashlib
+import io
+import pathlib
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,17 +36,61 @@ def get_session(app: str = "basinflow", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only where the setting is absent and Spark runs in one process.
+    Where the setting is absent, as in tests, a folder below the warehouse stands in: the other place
+    that a session's executors share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="basinflow-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", folder)
+        atexit.register(_quietly, delete, spark, folder)
     return folder
 
 
+def _quietly(fn, *args) -> None:
+    """Tidying up at the end must not hide how a program ended; the session may be gone already."""
+    try:
+        fn(*args)
+    except Exception:  # noqa: BLE001
+        pass
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, with Spark's own file system."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per Spark context.
+
+    Functions that run there are then found by import, wherever the executors run.
+    """
+    context = spark.sparkContext
+    root = pathlib.Path(__file__).parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            entry = zipfile.ZipInfo(f"{root.name}/{source.relative_to(root).as_posix()}")
+            archive.writestr(entry, source.read_bytes())
+    name = f"{root.name}-{hashlib.sha256(held.getvalue()).hexdigest()[:16]}.zip"
+    if any(str(x).endswith(name) for x in context._python_includes):
+        return
+    path = f"{shared_dir(spark).rstrip('/')}/{name}"
+    files, where = _file_system(spark, path)
+    if not files.exists(where):
+        out = files.create(where, True)
+        out.write(bytearray(held.getvalue()))
+        out.close()
+    context.addPyFile(files.makeQualified(where).toString())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
