@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import chat, exact, mixing
+from basinflow.llm import bpe, chat, exact, mixing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,6 +29,30 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The file of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def held_out(id_col: str = "doc_id"):
+    """Rows that labels are never learned from; a null id is in no fold."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
+
+
+@query()
+def op2_bpe(spark, sf):
+    """Digests of every document's token ids and of the text they decode to."""
+    path = vocabulary()
+    tokens = bpe.encode(table(spark, sf, "documents"), path).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+    )
+    texts = bpe.decode(tokens, path, keep=("n_tokens", "ids_sha256"))
+    return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 @query(rf"""
 WITH t AS (
   SELECT conv_id, list({{'r': role, 'x': text}} ORDER BY turn, role, text) AS turns, count(*) AS n_turns,
@@ -46,6 +70,14 @@ def op4_chat(spark, sf):
     return chat.render(table(spark, sf, "conversations"))
 
 
+@query()
+def op5_toxicity(spark, sf):
+    """Every document's toxicity."""
+    docs = table(spark, sf, "documents")
+    model = toxicity.learn(docs, table(spark, sf, "labels"), ~held_out())
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 _HASH = "('0x' || substr(md5({0}), 1, 15))::BIGINT"
 
 
@@ -99,3 +131,11 @@ FROM t
 def op8_exact(spark, sf):
     """Every document with the one that stays of its group of equal texts."""
     return exact.mark(table(spark, sf, "documents"))
+
+
+@query()
+def op10_quality(spark, sf):
+    """Every document's quality."""
+    docs = table(spark, sf, "documents")
+    model = quality.learn(docs, table(spark, sf, "labels"), ~held_out())
+    return quality.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
