@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import bpe, chat, exact, mixing, quality, toxicity
+from basinflow.llm import bpe, chat, exact, minhash, mixing, quality, substring, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +41,33 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+@query(r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (
+  SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS p FROM w WHERE len(ws) >= 13)),
+m AS (SELECT doc_id, p, doc_id > min(doc_id) OVER (PARTITION BY g) AS hit FROM g),
+c AS (SELECT DISTINCT doc_id, p + i AS p FROM (SELECT doc_id, p FROM m WHERE hit), (SELECT unnest(range(13)) AS i)),
+k AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM c GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_transform(
+    list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(coalesce(ps, []), i)), lambda i: ws[i]), ' '))
+    AS kept_sha256
+FROM w LEFT JOIN k ON k.doc_id = w.doc_id
+""")
+def op1_substring(spark, sf):
+    """Every document with the words that repeat a passage of an earlier document counted and removed."""
+    docs = table(spark, sf, "documents")
+    left = substring.left_of_texts(docs)
+    left = left.select("key", "least", "gone", F.sha2("left", 256).alias("left"))
+    return substring.per_document(docs, left).select(
+        "doc_id", "n_words", "n_removed",
+        F.when(F.col("n_removed") == 0, F.col("digest")).when(F.col("n_removed") == F.col("n_words"), F.sha2(F.lit(""), 256))
+        .otherwise(F.col("left")).alias("kept_sha256"),
+    )
+
+
 @query()
 def op2_bpe(spark, sf):
     """Digests of every document's token ids and of the text they decode to."""
@@ -78,6 +105,31 @@ def op5_toxicity(spark, sf):
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+@query(r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh
+  FROM w),
+x AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x AS a JOIN x AS b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT doc_id AS id, doc_id AS c FROM s UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id AND r.c < e.b),
+c AS (SELECT id, min(c) AS component_id FROM r GROUP BY id)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN c ON c.id = s.doc_id
+""")
+def op6_minhash(spark, sf):
+    """Every document's group of near copies, on sets of four-word shingles."""
+    return minhash.groups(table(spark, sf, "documents"), minhash.Settings(shingle=4))
+
+
 _HASH = "('0x' || substr(md5({0}), 1, 15))::BIGINT"
 
 
