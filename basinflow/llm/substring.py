@@ -374,7 +374,9 @@ def texts(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame
     rows = docs.filter(word_count(text_col) >= s.window).select(
         F.col(id_col).cast("long").alias("id"), word_line(text_col).alias("line")
     )
-    return rows.select(_key(F.col("line")).alias("key"), "id", "line").groupBy("key").agg(
+    # The filter is what an inner join on the key would add: with it, all uses of this table share one shuffle.
+    keyed = rows.select(_key(F.col("line")).alias("key"), "id", "line").filter("key IS NOT NULL")
+    return keyed.groupBy("key").agg(
         F.min("id").alias("id"), F.min("line").alias("line")
     )
 
