@@ -96,6 +96,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system that Spark uses for it."""
+    files, where = _file_system(spark, path)
+    return files.makeQualified(where).toString()
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and return it as read back, without its lineage.
 
