@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import bpe, chat, exact, minhash, mixing, quality, substring, toxicity
+from basinflow.llm import bpe, chat, exact, minhash, mixing, quality, substring, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -191,3 +191,21 @@ def op10_quality(spark, sf):
     docs = table(spark, sf, "documents")
     model = quality.learn(docs, table(spark, sf, "labels"), ~held_out())
     return quality.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query(r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+         coalesce(html, '') AS x FROM pages),
+q AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY x) END AS k FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN k IS NULL OR k = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k <> page_id THEN k END AS refers_to
+FROM q
+""")
+def op9_warc(spark, sf):
+    """Every page after a way through ARC and WARC archives."""
+    return warc.page_records(table(spark, sf, "pages")).select(
+        F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), "refers_to",
+    )
