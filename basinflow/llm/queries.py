@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import bpe, chat, exact, minhash, mixing, quality, substring, toxicity, warc
+from basinflow.llm import bpe, chat, exact, minhash, mixing, quality, substring, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -209,3 +209,25 @@ def op9_warc(spark, sf):
         F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
         F.col("type").alias("record_type"), "refers_to",
     )
+
+
+@query(r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+      ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT vec_id AS id, vec_id AS c FROM embeddings UNION
+      SELECT e.b, r.c FROM r JOIN e ON e.a = r.id AND r.c < e.b),
+c AS (SELECT id, min(c) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT c.id AS vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, c.id = component_id AS kept
+FROM c LEFT JOIN n ON n.a = c.id
+""")
+def op3_vectors(spark, sf):
+    """Every vector with the number of its near copies and the group they make."""
+    return vectors.near_duplicates(table(spark, sf, "embeddings"))
