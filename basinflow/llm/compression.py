@@ -248,10 +248,13 @@ def score(
     With ``carry`` all columns of ``docs`` come first and the score is named ``_score``.
     """
     name = "_score" if carry else "score"
-    rows = docs if carry else docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    column = text_col if carry else "_text"
-    kept = docs.columns if carry else [id_col]
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(name, T.DoubleType())])
+    chosen = docs if carry else docs.select(id_col, text_col)
+    kept = list(range(len(docs.columns))) if carry else [0]
+    column = docs.columns.index(text_col) if carry else 1
+    # Columns go by place: names may hold dots, which Spark's Python functions cannot look up.
+    rows = chosen.toDF(*[f"_{i}" for i in range(len(chosen.columns))])
+    fields = [chosen.schema[i] for i in kept]
+    schema = T.StructType([*fields, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None if model.constant is not None else model.scorer()
@@ -261,10 +264,11 @@ def score(
             elif not batch.num_rows:
                 found = np.empty(0)
             else:
-                texts = batch.column(batch.schema.get_field_index(column))
+                texts = batch.column(column)
                 found = model.probabilities(np.array([scorer.features(t.as_py() or "") for t in texts]))
-            held = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*held, pa.array(found, pa.float64())], names=[*kept, name])
+            held = [batch.column(i) for i in kept]
+            names = [f.name for f in fields]
+            yield pa.RecordBatch.from_arrays([*held, pa.array(found, pa.float64())], names=[*names, name])
 
     ship_package(rows.sparkSession)
     return rows.mapInArrow(run, schema)

@@ -72,4 +72,4 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts
     again = stay.filter("_stay_rows > 1")
     if not again.isEmpty():
         out = out.unionByName(keyed.join(again, same, "left_semi").dropDuplicates([id_col, key]))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
