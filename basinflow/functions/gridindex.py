@@ -215,9 +215,18 @@ def corner_lonlat(
 
 
 def plain_number(value: Column) -> Column:
-    """A double as plain decimal text without trailing zeros."""
-    text = value.cast("decimal(28,9)").cast("string")
-    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+    """The shortest text that stands for a double, without exponent and trailing zeros."""
+    text = F.regexp_replace(value.cast("double").cast("string"), r"\.0(?=E|$)", "")
+    parts = [F.regexp_extract(text, r"^(-?)(\d)(?:\.(\d+))?E(-?\d+)$", i) for i in (1, 2, 3, 4)]
+    digits, power = F.concat(parts[1], parts[2]), F.coalesce(parts[3].try_cast("int"), F.lit(0))
+    zeros = F.repeat(F.lit("0"), F.abs(power))
+    padded = F.concat(digits, F.substring(zeros, F.length(parts[2]) + 1, F.length(zeros)))
+    point = F.when(F.length(parts[2]) > power, F.concat(
+        F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, F.length(digits))
+    )).otherwise(padded)
+    small = F.concat(F.lit("0."), F.substring(zeros, F.lit(2), F.length(zeros)), digits)
+    plain = F.concat(parts[0], F.when(power < 0, small).otherwise(point))
+    return F.when(text.contains("E"), plain).otherwise(text)
 
 
 def geotransform(

@@ -16,7 +16,7 @@ def configure_catchments(
     """
     spans = forcing.groupBy("id").agg(
         F.min("time").alias("time_first"), F.max("time").alias("time_last"),
-        F.count("*").alias("n_steps"),
+        F.count_distinct("time").alias("n_steps"),
     )
     config = (
         catchments.select("id").distinct()

@@ -67,8 +67,7 @@ def rechunk(df: DataFrame, by: str = "time") -> DataFrame:
 def with_coords(cells: DataFrame, grid_cells: DataFrame) -> DataFrame:
     """Attach the stored ``x, y, lon, lat`` of each cell of a grid template."""
     template = grid_cells.select("j", "i", "x", "y", "lon", "lat")
-    spread = [c for c in cells.columns if c not in {"j", "i", "value"}]
-    return lookup_join(cells, template, ["j", "i"], salt_by=spread)
+    return lookup_join(cells, template, ["j", "i"])
 
 
 def with_axis_coords(
@@ -76,11 +75,11 @@ def with_axis_coords(
 ) -> DataFrame:
     """Attach ``x, y`` from the axis tables ``(i, x)`` and ``(j, y)`` and the ``lon, lat`` they give.
 
-    Axes are as long as a grid side and are broadcast after a check; lon and lat are calculated in
-    place, so a 2-D coordinate table is neither stored nor joined.
+    Axes are as long as a grid side; lon and lat are calculated in place, so a 2-D coordinate table is
+    neither stored nor joined.
     """
-    placed = lookup_join(cells, xs.select("i", "x"), ["i"], salt_by=["j"])
-    placed = lookup_join(placed, ys.select("j", "y"), ["j"], salt_by=["i"])
+    placed = lookup_join(cells, xs.select("i", "x"), ["i"])
+    placed = lookup_join(placed, ys.select("j", "y"), ["j"])
     return with_lonlat(placed, crs)
 
 

@@ -143,16 +143,12 @@ def clip(
         "_strip", F.explode(_strips("lo", "(hi - 1)"))
     )
     keep = [c for c in chunks.columns if c not in {"y0", "x0", "ny", "nx", "data"}]
-    spread = [c for c in keep if c in {"time", "var"}] or keep
-    # a run of w columns becomes at most w / STRIP + 2 join rows
-    side_rows = mask.count * (window.width // STRIP + 2)
+    rows = chunk_rows(blocks).withColumn("_x1", F.col("x0") + F.col("nx") - 1)
+    rows = rows.withColumn("_strip", F.explode(_strips("x0", "_x1")))
     if mode == "drop":
-        rows = chunk_rows(blocks).withColumn("_x1", F.col("x0") + F.col("nx") - 1)
-        rows = rows.withColumn("_strip", F.explode(_strips("x0", "_x1")))
         hit = lookup_join(
             rows, side, ["j", "_strip"], "inner",
             (F.col("lo") <= F.col("_x1")) & (F.col("hi") > F.col("x0")),
-            salt_by=spread, side_rows=side_rows,
         )
         first = F.greatest(F.col("x0"), F.col("lo"), F.col("_strip") * STRIP)
         last = F.least(F.col("_x1"), F.col("hi") - 1, F.col("_strip") * STRIP + STRIP - 1)
@@ -165,13 +161,15 @@ def clip(
         raise ValueError(f"unknown clip mode {mode}")
     if keys:
         raise ValueError("mask mode works on one merged set of runs")
-    cells = explode_cells(blocks).withColumn("_strip", F.expr(f"i div {STRIP}"))
-    hit = lookup_join(
-        cells, side, ["j", "_strip"], "left",
-        (F.col("i") >= F.col("lo")) & (F.col("i") < F.col("hi")),
-        salt_by=[*spread, "i"], side_rows=side_rows,
-    )
-    return hit.select(*keep, "j", "i", F.when(F.col("lo").isNotNull(), F.col("value")).alias("value"))
+    # one row per grid row and strip, with the few runs that a strip can hold; cells unfold last
+    strips = side.groupBy("j", "_strip").agg(F.collect_list(F.struct("lo", "hi")).alias("_runs"))
+    hit = lookup_join(rows, strips, ["j", "_strip"], "left")
+    first = F.greatest(F.col("x0"), F.col("_strip") * STRIP)
+    last = F.least(F.col("_x1"), F.col("_strip") * STRIP + STRIP - 1)
+    hit = hit.withColumn("i", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    inside = F.exists("_runs", lambda r: (F.col("i") >= r["lo"]) & (F.col("i") < r["hi"]))
+    value = F.when(inside, F.element_at("data", F.col("i") - F.col("x0") + 1)).alias("value")
+    return hit.select(*keep, "j", "i", value)
 
 
 def subset_domain_by_ids(

@@ -14,15 +14,24 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basinflow.session import cut, scratch_path
+from basinflow.session import Rounds, cut, scratch_path
 
 
 def _pointers(links: DataFrame) -> DataFrame:
-    """``(link, jump)``; sinks, sentinels and self loops have no pointer."""
+    """``(link, jump)``, one row per link however often it is stored; sinks, sentinels and self loops have
+    no pointer. ``ways`` counts the different links that a link drains to."""
     to = F.col("to")
     # compared as text: ids are numbers in river tables and text in hydrofabrics
     known = F.when((to.cast("string") != "0") & (to != F.col("link")), to)
-    return links.select("link", known.alias("jump"))
+    return links.select("link", known.alias("jump")).groupBy("link").agg(
+        F.max("jump").alias("jump"), F.count_distinct("jump").alias("ways")
+    )
+
+
+def _single(links: DataFrame) -> tuple[DataFrame, bool]:
+    """The pointers, written once, and whether no link divides."""
+    pointers = cut(_pointers(links), "pointers")
+    return pointers.drop("ways"), pointers.filter("ways > 1").isEmpty()
 
 
 # Lookups per round.
@@ -39,15 +48,23 @@ def first_start_below(links: DataFrame, starts: DataFrame) -> DataFrame:
 
     ``first_start`` is the first member of ``starts(link)`` met on the way down, the link itself
     included. One row per link whatever the number of starts: the links above a start are those
-    labelled with it or with a start above it.
+    labelled with it or with a start above it. Rows that repeat a link count once; a link that drains to
+    two others has no single way down and is an error.
     """
+    pointers, single = _single(links)
+    if not single:
+        raise ValueError("a link drains to several others")
+    return _first_start_below(pointers, starts)
+
+
+def _first_start_below(pointers: DataFrame, starts: DataFrame) -> DataFrame:
     marked = starts.select("link", F.col("link").alias("hit")).distinct()
     # a start that is only ever drained into has no row of its own
-    lone = marked.join(links, "link", "left_anti").select("link", F.col("hit").alias("jump"))
-    state = cut(
-        _pointers(links).unionByName(lone).join(marked, "link", "left")
-        .select("link", "hit", F.when(F.col("hit").isNull(), F.col("jump")).alias("jump")),
-        "pointers",
+    lone = marked.join(pointers, "link", "left_anti").select("link", F.col("hit").alias("jump"))
+    rounds = Rounds(pointers.sparkSession, "ways-down")
+    state = rounds.put(
+        pointers.unionByName(lone).join(marked, "link", "left")
+        .select("link", "hit", F.when(F.col("hit").isNull(), F.col("jump")).alias("jump"))
     )
     for _ in range(_rounds(state.count())):
         moved = state.filter("jump IS NOT NULL")
@@ -61,33 +78,44 @@ def first_start_below(links: DataFrame, starts: DataFrame) -> DataFrame:
             moved = moved.join(ahead, F.col("jump") == F.col("_at"), "left").select(
                 "link", F.coalesce("hit", "_hit").alias("hit"), F.col("_jump").alias("jump")
             )
-        state = cut(state.filter("jump IS NULL").unionByName(moved), "pointers")
+        state = rounds.put(state.filter("jump IS NULL").unionByName(moved))
     # pointers left now can only run in circles that hold no start
     return state.filter("hit IS NOT NULL").select("link", F.col("hit").alias("first_start"))
 
 
 def upstream(links: DataFrame, starts: DataFrame) -> DataFrame:
-    """Links draining to any of ``starts(link)``, the starts included, as ``(link)``."""
-    return first_start_below(links, starts).select("link")
+    """Links draining to any of ``starts(link)``, the starts included, as ``(link)``.
+
+    Where links divide, the closure goes level by level instead.
+    """
+    pointers, single = _single(links)
+    if single:
+        return _first_start_below(pointers, starts).select("link")
+    return upstream_any(links.select("link", "to").distinct(), starts)
 
 
 def downstream(links: DataFrame, starts: DataFrame) -> DataFrame:
     """Links reached on the way down from any of ``starts(link)``, the starts included."""
     steps = ["_s1", "_s2", "_s3", "_s4"]
-    pointers = _pointers(links).filter("jump IS NOT NULL")
-    reached = cut(starts.select("link").distinct(), "reached")
+    pointers, single = _single(links)
+    if not single:
+        turned = links.select(F.col("to").alias("link"), F.col("link").alias("to")).distinct()
+        found = upstream_any(turned, starts)
+        return found.join(links.select("link").distinct(), "link", "left_semi")
+    pointers = pointers.filter("jump IS NOT NULL")
+    ways, found = Rounds(links.sparkSession, "paths"), Rounds(links.sparkSession, "reached")
+    reached = found.put(starts.select("link").distinct())
     size = reached.count()
     while True:
         path = pointers.select("link", F.col("jump").alias(steps[0]))
         for here, there in zip(steps, steps[1:]):
             ahead = pointers.select(F.col("link").alias("_at"), F.col("jump").alias(there))
             path = path.join(ahead, F.col(here) == F.col("_at"), "left").drop("_at")
-        path = cut(path, "paths")
+        path = ways.put(path)
         # the fourth step is the first of the next round
         visited = F.array_compact(F.array("link", *steps[:3]))
-        reached = cut(
-            reached.join(path, "link", "left").select(F.explode(visited).alias("link")).distinct(),
-            "reached",
+        reached = found.put(
+            reached.join(path, "link", "left").select(F.explode(visited).alias("link")).distinct()
         )
         grown = reached.count()
         if grown == size:  # nothing new at this distance, so nothing further on either

@@ -6,28 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Largest side that is sent to every executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def side_bytes(side: DataFrame, rows: int | None = None) -> int | None:
-    """Size of a table in Spark's row format, None when it holds nested values.
-
-    Numbers and times take one word each. Texts are measured, in the same pass that counts the rows;
-    pass ``rows`` when the count is known.
-    """
-    fields = side.schema.fields
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in fields):
-        return None
-    texts = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    row = 16 + 8 * len(fields)
-    if rows is not None and not texts:
-        return rows * row
-    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(f"_{c}") for c in texts]
-    found = side.agg(F.count("*").alias("_rows"), *lengths).first()
-    return found["_rows"] * row + sum(found[f"_{c}"] + 8 * found["_rows"] for c in texts)
 
 
 def lookup_join(
@@ -36,37 +14,19 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     condition: Column | None = None,
-    salt_by: Sequence[str] = (),
-    side_rows: int | None = None,
-    salts: int = 16,
 ) -> DataFrame:
     """Equi-join ``large`` with a ``side`` that is usually small.
 
-    The side is measured first (pass ``side_rows`` when the count is known). Up to
-    ``BROADCAST_BYTES`` it is broadcast and ``large`` is not shuffled. Beyond that both sides are
-    shuffled; with ``salt_by`` each key of ``large`` is spread over ``salts`` partitions by a hash of
-    those columns and the side is repeated once per salt, so a key holding most of ``large`` is
-    split. ``how``
-    must not keep unmatched rows of the side.
+    No side is measured beforehand and nothing is repeated: Spark broadcasts the side if what it has
+    seen at run time fits ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits partitions that
+    a frequent key makes large. ``how`` must not keep unmatched rows of the side.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"unsupported join type {how}")
-    size = side_bytes(side, side_rows)
     keys = list(on)
-    drop = [f"_r_{k}" for k in keys]
-    if size is not None and size <= BROADCAST_BYTES:
-        side = F.broadcast(side)
-    elif salt_by:
-        large = large.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys.append("_salt")
-        drop.append("_r__salt")
-    for k in keys:
-        side = side.withColumnRenamed(k, f"_r_{k}")
     match = F.lit(True) if condition is None else condition
     for k in keys:
+        side = side.withColumnRenamed(k, f"_r_{k}")
         match = match & (F.col(k) == F.col(f"_r_{k}"))
     joined = large.join(side, match, how)
-    if how in {"inner", "left"}:
-        joined = joined.drop(*drop)
-    return joined.drop("_salt")
+    return joined.drop(*[f"_r_{k}" for k in keys]) if how in {"inner", "left"} else joined

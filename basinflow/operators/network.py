@@ -49,27 +49,27 @@ def cut_dangling(links: DataFrame) -> DataFrame:
     return found.withColumn("to", kept).select(*links.columns)
 
 
-def _rerank(df: DataFrame, **sizes: int) -> DataFrame:
+def _rerank(df: DataFrame) -> DataFrame:
     # the subset is read several times below: counted, ordered, joined
-    ranked = average_rank(cut(df, "ranked"), "ascendingIndex", "_rank", **sizes)
+    ranked = average_rank(cut(df, "ranked"), "ascendingIndex", "_rank")
     return ranked.drop("ascendingIndex").withColumnRenamed("_rank", "ascendingIndex")
 
 
-def subset_links(links: DataFrame, keep: DataFrame, **sizes: int) -> DataFrame:
+def subset_links(links: DataFrame, keep: DataFrame) -> DataFrame:
     """Links whose id is in ``keep(link)``, with dangling ends cut and the order index re-ranked."""
     sub = cut_dangling(links.join(keep.select("link").distinct(), "link", "left_semi"))
     if "ascendingIndex" not in sub.columns:
         return sub
-    return _rerank(sub, **sizes)
+    return _rerank(sub)
 
 
 def subset_buckets(
-    buckets: DataFrame, basins: DataFrame, order_by: str = "ind", **sizes: int
+    buckets: DataFrame, basins: DataFrame, order_by: str = "ind"
 ) -> DataFrame:
     """Buckets of kept basins, numbered ``1..n`` in file order (the unique column ``order_by``)."""
     ids = basins.select(F.col("IDmask").alias("ComID")).distinct()
     sub = buckets.drop("Basin").join(ids, "ComID", "left_semi")
-    return sequential_id(cut(sub, "buckets"), order_by, "Basin", **sizes)
+    return sequential_id(cut(sub, "buckets"), order_by, "Basin")
 
 
 def lake_outlets(full_links: DataFrame, lake_types: DataFrame) -> DataFrame:
@@ -96,19 +96,25 @@ def lakes_to_remove(links: DataFrame, full_links: DataFrame, outlets: DataFrame)
     return broken.join(present, "lake_id", "left_semi")
 
 
-def keep_lakes(lakes: DataFrame, links: DataFrame, removed: DataFrame, **sizes: int) -> DataFrame:
+def keep_lakes(lakes: DataFrame, links: DataFrame, removed: DataFrame) -> DataFrame:
     """Lakes of the subset's links but for the removed ones, order index re-ranked."""
     present = links.filter("NHDWaterbodyComID > 0").select(
         F.col("NHDWaterbodyComID").alias("lake_id")
     ).distinct()
     kept = lakes.join(present, "lake_id", "left_semi").join(removed, "lake_id", "left_anti")
     if "ascendingIndex" in kept.columns:
-        kept = _rerank(kept, **sizes)
+        kept = _rerank(kept)
     return kept
 
 
 def mark_removed_lakes(links: DataFrame, removed: DataFrame) -> DataFrame:
-    """Give links of removed lakes the lake id -9999."""
+    """Give links of removed lakes the lake id -9999.
+
+    Most links belong to no lake. They cannot match and do not take part in the join.
+    """
+    in_lake = F.coalesce(F.col("NHDWaterbodyComID") > 0, F.lit(False))
+    others = links.filter(~in_lake)
+    links = links.filter(in_lake)
     gone = removed.select(F.col("lake_id").alias("NHDWaterbodyComID"), F.lit(True).alias("_gone"))
     marked = links.join(gone, "NHDWaterbodyComID", "left").withColumn(
         "NHDWaterbodyComID",
@@ -116,7 +122,7 @@ def mark_removed_lakes(links: DataFrame, removed: DataFrame) -> DataFrame:
             F.col("NHDWaterbodyComID")
         ),
     )
-    return marked.select(*links.columns)
+    return marked.select(*links.columns).unionByName(others)
 
 
 def retain_lakes(
@@ -124,7 +130,6 @@ def retain_lakes(
     lake_types: DataFrame,
     links: DataFrame,
     full_links: DataFrame,
-    **sizes: int,
 ) -> tuple[DataFrame, DataFrame]:
     """Lakes whose whole drainage area is in the subset, and the links without the other lakes.
 
@@ -132,7 +137,7 @@ def retain_lakes(
     """
     outlets = lake_outlets(full_links, lake_types)
     removed = cut(lakes_to_remove(links, full_links, outlets), "lakes")
-    return keep_lakes(lakes, links, removed, **sizes), mark_removed_lakes(links, removed)
+    return keep_lakes(lakes, links, removed), mark_removed_lakes(links, removed)
 
 
 def subset_stations(stations: DataFrame, links: DataFrame) -> DataFrame:
@@ -153,7 +158,7 @@ def subset_hydrofabric(
     pointers = edges.select(F.col("id").alias("link"), F.col("toid").alias("to"))
     ids = upstream(pointers, start).withColumnRenamed("link", "id")
     catchments = ids.filter(F.col("id").startswith("wb-")).select(
-        F.concat(F.lit("cat-"), F.substring("id", 4, 40)).alias("divide_id")
+        F.regexp_replace("id", "^wb-", "cat-").alias("divide_id")
     )
     out = {}
     for name, layer in layers.items():

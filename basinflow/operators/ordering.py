@@ -1,8 +1,8 @@
 """Running totals, ranks and sequence numbers over a whole table without a one-task sort.
 
-A global window sends every row to one task. Here the ordered column is cut at quantiles into
-buckets; each bucket is summed and sorted on its own, and the totals of the preceding buckets are
-added as an offset. Only the bucket totals (a few hundred rows) are ever ordered in one place.
+A global window sends every row to one task. Here the rows are dealt into ranges of the ordered
+column; each range is summed and sorted on its own, and the totals of the preceding ranges are added
+as an offset. Only the totals, one row per range, are ever ordered in one place.
 """
 
 from __future__ import annotations
@@ -11,72 +11,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Below this many rows a single sorted window is cheaper than cutting into buckets.
-SINGLE_WINDOW_ROWS = 100_000
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 1000
+from basinflow.session import cut
 
 
-def _bucket_edges(
-    df: DataFrame, key: str, single_window_rows: int, rows_per_bucket: int
-) -> list | None:
-    """Quantile edges of ``key`` (at most ``MAX_BUCKETS`` values), None when one window will do."""
-    n = df.count()
-    if n <= single_window_rows:
-        return None
-    buckets = min(MAX_BUCKETS, max(2, n // rows_per_bucket))
-    points = [k / buckets for k in range(1, buckets)]
-    found = df.agg(F.percentile_approx(key, points, 10 * MAX_BUCKETS).alias("edges")).first().edges
-    return sorted(set(found or []))
-
-
-def running_before(
-    df: DataFrame,
-    key: str,
-    amount: str,
-    out: str,
-    single_window_rows: int = SINGLE_WINDOW_ROWS,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
+def running_before(df: DataFrame, key: str, amount: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``amount`` over all rows with a smaller ``key``.
 
     ``key`` must be unique and not NULL; pre-aggregate ties first.
     """
-    edges = _bucket_edges(df, key, single_window_rows, rows_per_bucket)
-    if edges is None:
-        w = W.orderBy(key).rowsBetween(W.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)).cast("bigint"))
-    # literal edges: both uses below put every row in the same bucket, also when a task is re-run
-    bounds = F.array(*[F.lit(e) for e in edges])
-    bucket = F.size(F.filter(bounds, lambda b: b < F.col(key)))
-    parts = df.withColumn("_bucket", bucket)
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    # written once: the ranges are found by sampling, and both uses below must see the same ones
+    ranged = df.repartitionByRange(key).withColumn("_range", F.spark_partition_id())
+    parts = cut(ranged, "ranges")
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        parts.groupBy("_bucket").agg(F.sum(amount).alias("_total"))
-        .select("_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+        parts.groupBy("_range").agg(F.sum(amount).alias("_total"))
+        .select(
+            F.col("_range").alias("_of"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset")
+        )
     )
-    inner = W.partitionBy("_bucket").orderBy(key).rowsBetween(W.unboundedPreceding, -1)
+    inner = W.partitionBy("_range").orderBy(key).rowsBetween(W.unboundedPreceding, -1)
+    within = parts.withColumn("_within", F.coalesce(F.sum(amount).over(inner), F.lit(0)))
     return (
-        parts.withColumn("_within", F.coalesce(F.sum(amount).over(inner), F.lit(0)))
-        .join(F.broadcast(offsets), "_bucket")  # at most MAX_BUCKETS rows
+        within.join(offsets, F.col("_range") == F.col("_of"))
         .withColumn(out, (F.col("_within") + F.col("_offset")).cast("bigint"))
-        .drop("_bucket", "_within", "_offset")
+        .drop("_range", "_of", "_within", "_offset")
     )
 
 
-def sequential_id(df: DataFrame, order_by: str, out: str, **sizes: int) -> DataFrame:
+def sequential_id(df: DataFrame, order_by: str, out: str) -> DataFrame:
     """Number the rows ``1..n`` by the unique column ``order_by``."""
-    numbered = running_before(df.withColumn("_one", F.lit(1)), order_by, "_one", "_before", **sizes)
+    numbered = running_before(df.withColumn("_one", F.lit(1)), order_by, "_one", "_before")
     return numbered.withColumn(out, F.col("_before") + 1).drop("_one", "_before")
 
 
-def average_rank(df: DataFrame, column: str, out: str, **sizes: int) -> DataFrame:
+def average_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     """Zero-based rank of ``column``; ties share the mean of their positions, NULL stays NULL.
 
     Ties are counted before anything is ordered, so a value held by most rows is one row here.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    ranks = running_before(counts, column, "_n", "_before", **sizes).select(
+    ranks = running_before(counts, column, "_n", "_before").select(
         F.col(column).alias("_value"), (F.col("_before") + (F.col("_n") - 1) / 2).alias("_mid")
     )
     joined = df.join(ranks, F.col(column) == F.col("_value"), "left")

@@ -87,6 +87,5 @@ def batch_windows(df: DataFrame, windows: DataFrame) -> DataFrame:
     dated = df.withColumn("_day", F.col("time").cast("date"))
     hit = lookup_join(
         dated, days, ["_day"], "inner", F.col("time").between(F.col("start"), F.col("end")),
-        salt_by=df.columns,
     )
     return hit.drop("_day", "start", "end")

@@ -36,7 +36,7 @@ def zonal_mean(
 ) -> DataFrame:
     """Mean of cell values weighted by ``zones(id, j, i, w)``."""
     zones = cut(zones, "zones")
-    return _mean(lookup_join(cells, zones, ["j", "i"], salt_by=["time", "var"]), by)
+    return _mean(lookup_join(cells, zones, ["j", "i"]), by)
 
 
 def zonal_mean_chunks(
@@ -62,7 +62,6 @@ def zonal_mean_chunks(
     hit = lookup_join(
         chunks, placed, ["y0", "x0"], "inner",
         (F.col("_dj") < F.col("ny")) & (F.col("_di") < F.col("nx")),
-        salt_by=["time", "var"],
     )
     value = F.element_at("data", F.col("_dj") * F.col("nx") + F.col("_di") + 1)
     return _mean(hit.withColumn("value", value), by)

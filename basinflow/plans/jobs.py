@@ -104,8 +104,10 @@ class StaticInputs:
     """Tables of the full domain. Grids are block tables by name; others may be left out.
 
     ``attrs`` are rewritten for every land grid; this needs a land grid named ``geogrid`` which holds
-    the corner variables. ``axes`` give ``(xs, ys, resolution)`` by grid name, in the grid's own row
-    order, for grids whose GeoTransform is to be rewritten.
+    the corner variables. ``axes`` give ``(xs, ys, x resolution, y resolution)`` by grid name, for grids
+    whose GeoTransform is to be rewritten. ``row_orders`` say by grid name which way its rows count,
+    ``sn`` or ``ns``; the grid and its GeoTransform are cut by the same rows. By default land grids count
+    from the south and routing grids from the north.
     """
 
     weights: DataFrame | None = None
@@ -118,12 +120,21 @@ class StaticInputs:
     land_grids: Mapping[str, DataFrame] | None = None
     routing_grids: Mapping[str, DataFrame] | None = None
     attrs: DataFrame | None = None
-    axes: Mapping[str, tuple[DataFrame, DataFrame, float]] | None = None
+    axes: Mapping[str, tuple[DataFrame, DataFrame, float, float]] | None = None
+    row_orders: Mapping[str, str] | None = None
+
+    def window(self, name: str, bounds: Mapping[str, IndexBounds]) -> IndexBounds:
+        """The rectangle a grid is cut to, in its own row order."""
+        land = name in (self.land_grids or {})
+        order = (self.row_orders or {}).get(name, "sn" if land else "ns")
+        return bounds[f"{'geo' if land else 'hyd'}_{order}"]
 
     def check(self) -> None:
         """Options that need others are refused before any work starts."""
         if (self.weights is None) != (self.polys is None):
             raise ValueError("weights and polys belong together")
+        if self.weights is not None and self.links is None:
+            raise ValueError("weights need links")
         network_ready = self.weights is not None and self.links is not None
         for name in ("buckets", "lakes", "stations"):
             if getattr(self, name) is not None and not network_ready:
@@ -134,18 +145,22 @@ class StaticInputs:
             raise ValueError("attrs need a land grid named geogrid")
         if self.axes and self.attrs is None:
             raise ValueError("axes need attrs")
-        unknown = set(self.axes or {}) - set(self.land_grids or {}) - set(self.routing_grids or {})
-        if unknown:
-            raise ValueError(f"axes of unknown grids: {sorted(unknown)}")
+        grids = set(self.land_grids or {}) | set(self.routing_grids or {})
+        for what in ("axes", "row_orders"):
+            unknown = set(getattr(self, what) or {}) - grids
+            if unknown:
+                raise ValueError(f"{what} of unknown grids: {sorted(unknown)}")
+        if set((self.row_orders or {}).values()) - {"sn", "ns"}:
+            raise ValueError("row orders are sn or ns")
 
 
 def window_geotransform(
-    xs: DataFrame, ys: DataFrame, res: float, window: IndexBounds, dataset: str
+    xs: DataFrame, ys: DataFrame, x_res: float, y_res: float, window: IndexBounds, dataset: str
 ) -> DataFrame:
     """GeoTransform attribute of a grid cut to ``window``, from its first column and row."""
     x = xs.filter(F.col("i") == window.imin).select(F.lit(dataset).alias("dataset"), "i", "x")
     y = ys.filter(F.col("j") == window.jmin).select(F.lit(dataset).alias("dataset"), "j", "y")
-    text = geotransform(x.join(y, "dataset"), res, res, by=["dataset"])
+    text = geotransform(x.join(y, "dataset"), x_res, y_res, by=["dataset"])
     return text.select(
         "dataset", F.lit("crs").alias("variable"), F.lit("GeoTransform").alias("name"),
         F.lit("c").alias("type"), F.array("GeoTransform").alias("value"),
@@ -153,13 +168,13 @@ def window_geotransform(
 
 
 def static_attrs(
-    inputs: StaticInputs, bounds: Mapping[str, IndexBounds], geogrid: DataFrame, row_order: str
+    inputs: StaticInputs, bounds: Mapping[str, IndexBounds], geogrid: DataFrame
 ) -> DataFrame:
     """Attributes of the cut grids: sizes and corners of land grids, GeoTransforms where asked for.
 
     The corners are those of the cut ``geogrid``; all land grids get the same.
     """
-    geo = bounds["geo_sn"]
+    geo = inputs.window("geogrid", bounds)
     names = F.array(*[F.lit(n) for n in inputs.land_grids])
     corners = grid_corners(explode_cells(geogrid).withColumn("dataset", F.lit("geogrid")))
     corners = corners.select(F.explode(names).alias("dataset"), "corner_lats", "corner_lons")
@@ -168,10 +183,9 @@ def static_attrs(
         "dataset STRING, w INT, e INT, s INT, n INT",
     )
     attrs = grid_attrs(inputs.attrs, sizes, corners)
-    for name, (xs, ys, res) in (inputs.axes or {}).items():
-        land = name in inputs.land_grids
-        window = bounds[f"geo_{row_order}"] if land else bounds[f"hyd_{row_order}"]
-        attrs = set_attrs(attrs, window_geotransform(xs, ys, res, window, name))
+    for name, (xs, ys, x_res, y_res) in (inputs.axes or {}).items():
+        window = inputs.window(name, bounds)
+        attrs = set_attrs(attrs, window_geotransform(xs, ys, x_res, y_res, window, name))
     return attrs
 
 
@@ -179,22 +193,22 @@ def static_subset(
     inputs: StaticInputs,
     bounds: Mapping[str, IndexBounds],
     envelope: DataFrame,
-    row_order: str = "ns",
 ) -> dict[str, DataFrame]:
     """Every table of a domain cut to one box.
 
-    ``bounds`` as from ``as_bounds``, ``envelope`` as from ``buffered_envelope``. ``row_order`` says
-    which way the rows of routing and template grids count. A table that is not given is skipped.
+    ``bounds`` as from ``as_bounds``, ``envelope`` as from ``buffered_envelope``. A table that is not
+    given is skipped.
     """
     inputs.check()
     out: dict[str, DataFrame] = {}
     for name, grid in (inputs.land_grids or {}).items():
-        out[name] = hyperslab(grid, bounds["geo_sn"], stag="stag_x" in grid.columns, reorigin=True)
+        stag = "stag_x" in grid.columns
+        out[name] = hyperslab(grid, inputs.window(name, bounds), stag=stag, reorigin=True)
     for name, grid in (inputs.routing_grids or {}).items():
-        out[name] = hyperslab(grid, bounds[f"hyd_{row_order}"], reorigin=True)
+        out[name] = hyperslab(grid, inputs.window(name, bounds), reorigin=True)
     if inputs.attrs is not None:
-        out["attrs"] = static_attrs(inputs, bounds, out["geogrid"], row_order)
-    if inputs.weights is None or inputs.links is None:
+        out["attrs"] = static_attrs(inputs, bounds, out["geogrid"])
+    if inputs.weights is None:
         return out
     rect = bounds["hyd_sn"]
     # four tables depend on the kept basins: find them once
@@ -220,13 +234,12 @@ def run_static_subset(
     layout: RunLayout,
     dxy: int = 4,
     cell_buffer: int = 2,
-    row_order: str = "ns",
 ) -> dict[str, IndexBounds]:
     """Cut a domain to the box spanned by ``corners(x, y)`` and write it below the run's folder."""
     inputs.check()
     table = bbox_bounds(corners, grid, dxy)
     bounds = as_bounds(table)
-    parts = static_subset(inputs, bounds, buffered_envelope(corners, grid, cell_buffer), row_order)
+    parts = static_subset(inputs, bounds, buffered_envelope(corners, grid, cell_buffer))
     if "weights" in parts:
         write_weights(parts.pop("weights"), parts.pop("polys"), f"{layout.domain}/spatialweights")
     write_tables(parts, layout.domain)
@@ -277,7 +290,7 @@ def catchment_inputs(
 ) -> tuple[DataFrame, DataFrame]:
     """Hydrofabric above a flowpath, its forcing, and the configuration of its catchments."""
     domain = network.subset_hydrofabric(layers, edges, wb_id)
-    number = F.substring("divide_id", 5, 40).cast("bigint").alias("id")
+    number = F.regexp_replace("divide_id", "^cat-", "").cast("bigint").alias("id")
     catchments = domain["catchments"].select(number)
     attrs = domain["attributes"].select(number, *attributes)
     zones = zone_weights(weights).join(catchments, "id", "left_semi")
@@ -313,7 +326,7 @@ def run_chain(
     Each step reads what the one before has written.
     """
     run_hydrofabric_subset(spark, base, vpu_id, wb_id, ["catchments", "attributes"], layout)
-    number = F.substring("divide_id", 5, 40).cast("bigint").alias("id")
+    number = F.regexp_replace("divide_id", "^cat-", "").cast("bigint").alias("id")
     catchments = spark.read.parquet(f"{layout.domain}/catchments").select(number)
     attributes = spark.read.parquet(f"{layout.domain}/attributes")
     kept = [c for c in attributes.columns if c not in {"divide_id", "vpu_id"}]

@@ -24,7 +24,6 @@ from basinflow.streaming.clip import stream_chunks
 from basinflow.streaming.clip import stream_clip as start_clip
 
 SLAB = IndexBounds(imin=10, imax=40, jmin=3, jmax=14)
-CORNER_WINDOW = IndexBounds(imin=1, imax=48, jmin=1, jmax=24)
 TILE = 16
 
 
@@ -225,7 +224,7 @@ def conformed_write(spark: SparkSession, sf: str) -> DataFrame:
 
 def corner_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly grids as datasets with some of the coordinate variables."""
-    slab = C.explode_cells(C.hyperslab(V.chunks(spark, sf), CORNER_WINDOW))
+    slab = C.explode_cells(V.chunks(spark, sf))
     value = F.col("value").cast("double")
     variables = F.array_compact(F.array(
         F.struct(F.lit("XLAT_M").alias("var"), value.alias("value")),
@@ -257,7 +256,7 @@ CORNERS = f"""corners AS (
         SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS dataset,
                {corner_sql("lats", ["XLAT_M", "XLAT_U", "XLAT_V", "XLAT_C"])},
                {corner_sql("lons", ["XLONG_M", "XLONG_U", "XLONG_V", "XLONG_C"])}
-        FROM cells WHERE j <= 24 GROUP BY time)"""
+        FROM cells GROUP BY time)"""
 
 
 @query(with_views("chunks cells", f""", {CORNERS}
@@ -280,13 +279,13 @@ def _attr(variable: str, name: str, kind: str, value) -> F.Column:
     )
 
 
-NUMBER = "rtrim(rtrim(CAST(CAST({} AS DECIMAL(28,9)) AS VARCHAR), '0'), '.')"
+NUMBER = r"regexp_replace(CAST(CAST({} AS DOUBLE) AS VARCHAR), '\.0$', '')"
 
 
 @query(with_views("chunks cells", f""", {CORNERS},
     extent AS (
         SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS dataset, min(i) AS w, max(i) AS e, min(j) AS s,
-               max(j) AS n FROM cells WHERE j <= 24 GROUP BY time)
+               max(j) AS n FROM cells GROUP BY time)
     SELECT dataset, '' AS variable, 'TITLE' AS name, 'c' AS type, 'grid ' || dataset AS value FROM extent
     UNION ALL SELECT dataset, 'HGT_M', 'units', 'c', 'm' FROM extent
     UNION ALL SELECT dataset, '', 'WEST-EAST_GRID_DIMENSION', 'l', CAST(e - w + 2 AS VARCHAR) FROM extent

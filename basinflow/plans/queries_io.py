@@ -34,12 +34,7 @@ def weights_stored(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "weights")
     wts = V.weights(spark, sf)
     rows, polys = W.subset_weights(wts, V.polys(spark, sf), W.full_basins(wts, V.RECT), V.RECT)
-    template = schemas.WEIGHTS
-    sinks.write_weights(
-        rows.withColumns({"i_index": F.col("i_index").cast(template["i_index"].dataType),
-                          "j_index": F.col("j_index").cast(template["j_index"].dataType)}),
-        polys.withColumn("overlaps", F.col("overlaps").cast("int")), out,
-    )
+    sinks.write_weights(rows, polys, out)
     return tables.read_weights(spark, out)[0].withColumn("weight", F.round("weight", 9))
 
 

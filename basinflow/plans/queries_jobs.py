@@ -88,10 +88,10 @@ def forcing_job_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("value", F.col("value").cast("double"))
 
 
-# the land box below holds routing cells 11..60 by 2..21 when each land cell is one routing cell
+# four different rectangles, so that a grid cut by the rows of another order shows
 BOUNDS = {
-    "hyd_sn": V.RECT, "hyd_ns": V.RECT, "geo_sn": IndexBounds(10, 40, 3, 14),
-    "geo_ns": IndexBounds(10, 40, 3, 14),
+    "hyd_sn": V.RECT, "hyd_ns": IndexBounds(11, 44, 4, 20), "geo_sn": IndexBounds(10, 40, 3, 14),
+    "geo_ns": IndexBounds(10, 40, 6, 17),
 }
 
 
@@ -111,18 +111,25 @@ BOUNDS = {
     FROM customer WHERE c_custkey IN (SELECT IDmask FROM full_basins)
     UNION ALL
     SELECT 'soil', epoch(time)::BIGINT, j - 2, i - 9, value FROM cells
-    WHERE i BETWEEN 10 AND 40 AND j BETWEEN 3 AND 14"""))
+    WHERE i BETWEEN 10 AND 40 AND j BETWEEN 3 AND 14
+    UNION ALL
+    SELECT 'template', epoch(time)::BIGINT, j - 5, i - 9, value FROM cells
+    WHERE i BETWEEN 10 AND 40 AND j BETWEEN 6 AND 17
+    UNION ALL
+    SELECT 'route', epoch(time)::BIGINT, j - 3, i - 10, value FROM cells
+    WHERE i BETWEEN 11 AND 44 AND j BETWEEN 4 AND 20"""))
 def static_job(spark: SparkSession, sf: str) -> DataFrame:
     """All tables of a domain cut to a box."""
     inputs = jobs.StaticInputs(
         weights=V.weights(spark, sf), polys=V.polys(spark, sf), links=V.links(spark, sf),
-        buckets=V.buckets(spark, sf), land_grids={"soil": V.chunks(spark, sf)},
+        buckets=V.buckets(spark, sf),
+        land_grids={"soil": V.chunks(spark, sf), "template": V.chunks(spark, sf)},
+        routing_grids={"route": V.chunks(spark, sf)}, row_orders={"template": "ns"},
     )
     envelope = spark.createDataFrame([V.ENVELOPE])
     parts = jobs.static_subset(inputs, BOUNDS, envelope)
-    soil = explode_cells(parts["soil"]).withColumn(
-        "epoch", hours_between(ntz(datetime(1970, 1, 1)), F.col("time")) * 3600
-    )
+    epoch = hours_between(ntz(datetime(1970, 1, 1)), F.col("time")) * 3600
+    grids = {n: explode_cells(parts[n]).withColumn("epoch", epoch) for n in ("soil", "template", "route")}
     none = F.lit(-1)
 
     def rows(name: str, df: DataFrame, ident: str, a, b, v) -> DataFrame:
@@ -139,7 +146,9 @@ def static_job(spark: SparkSession, sf: str) -> DataFrame:
         .unionByName(rows("links", parts["links"], "link", c("to"), c("NHDWaterbodyComID"),
                           c("ascendingIndex")))
         .unionByName(rows("buckets", parts["buckets"], "ComID", c("Basin"), none, c("c_acctbal")))
-        .unionByName(rows("soil", soil, "epoch", c("j"), c("i"), c("value")))
+        .unionByName(rows("soil", grids["soil"], "epoch", c("j"), c("i"), c("value")))
+        .unionByName(rows("template", grids["template"], "epoch", c("j"), c("i"), c("value")))
+        .unionByName(rows("route", grids["route"], "epoch", c("j"), c("i"), c("value")))
     )
 
 
@@ -200,7 +209,7 @@ def domain_metadata(spark: SparkSession, sf: str) -> DataFrame:
     cats AS (SELECT n AS id, o_custkey FROM base WHERE vpu_id = '{VPU_ID}' AND 'wb-' || n IN (SELECT id FROM up)),
     steps AS (SELECT DISTINCT id, time, var FROM zones JOIN cells USING (j, i)
               WHERE time >= TIMESTAMP '2024-01-01 06:00:00'),
-    spans AS (SELECT id, min(time) AS time_first, max(time) AS time_last, count(*) AS n_steps
+    spans AS (SELECT id, min(time) AS time_first, max(time) AS time_last, count(DISTINCT time) AS n_steps
               FROM steps GROUP BY id)
     SELECT c.id, o_custkey, time_first, time_last, coalesce(n_steps, 0) AS n_steps,
            'cat-' || c.id AS config_name

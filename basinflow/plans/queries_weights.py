@@ -81,7 +81,7 @@ def zonal_means_cells(spark: SparkSession, sf: str) -> DataFrame:
     , means AS (
         SELECT id, time, var FROM zones JOIN cells USING (j, i) GROUP BY id, time, var),
     spans AS (
-        SELECT id, min(time) AS time_first, max(time) AS time_last, count(*) AS n_steps
+        SELECT id, min(time) AS time_first, max(time) AS time_last, count(DISTINCT time) AS n_steps
         FROM means GROUP BY id)
     SELECT f.IDmask AS id, p_brand AS brand, p_size AS size, time_first, time_last,
            coalesce(n_steps, 0) AS n_steps, 'cat-' || f.IDmask AS config_name

@@ -102,6 +102,21 @@ def qualified(spark: SparkSession, path: str) -> str:
     return files.makeQualified(where).toString()
 
 
+class Rounds:
+    """The state of a loop: each round is written before the one before is deleted."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.path = spark, name, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """Write ``df``, which may read the round before, and return it as read back."""
+        before, self.path = self.path, scratch_path(self.spark, self.name)
+        df.write.parquet(self.path)
+        if before:
+            delete(self.spark, before)
+        return self.spark.read.schema(df.schema).parquet(self.path)
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and return it as read back, without its lineage.
 

@@ -8,6 +8,7 @@ Output follows the public Zarr version 2 and reference-file conventions.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import sys
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from basinflow.functions.names import last_stem
 from basinflow.functions.timestamps import stamp
-from basinflow.session import cut
+from basinflow.session import cut, qualified
 from basinflow.sources.manifest import list_folder
 
 # tasks get this module's functions with the job, so executors need not have the package installed
@@ -185,11 +186,12 @@ def write_blocks(chunks: DataFrame, out: str) -> None:
     Files are named by content, so a task that runs again overwrites what it wrote before.
     """
 
+    where = re.sub("^file:/(?!/)", "file:///", qualified(chunks.sparkSession, out))
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        uri = out if "://" in out or out.startswith("file:") else f"file://{out}"
-        system, root = fs.FileSystem.from_uri(uri)
+        system, root = fs.FileSystem.from_uri(where)
         system.create_dir(root, recursive=True)
         for batch in batches:
             for row in batch.itertuples():

@@ -88,9 +88,11 @@ def write_conformed(df: DataFrame, template: DataFrame, out: str) -> None:
 
 
 def write_weights(weights: DataFrame, polys: DataFrame, out: str) -> None:
-    """Weights and polys side by side, each by name."""
-    conform(weights, schemas.WEIGHTS.names).write.mode("overwrite").parquet(f"{out}/data")
-    conform(polys, schemas.POLYS.names).write.mode("overwrite").parquet(f"{out}/polys")
+    """Weights and polys side by side, each with the names and types that ``read_weights`` expects."""
+    for df, schema, name in ((weights, schemas.WEIGHTS, "data"), (polys, schemas.POLYS, "polys")):
+        rows = conform(df, schema.names)
+        typed = [F.col(c).cast(schema[c].dataType).alias(c) for c in rows.columns]
+        rows.select(*typed).write.mode("overwrite").parquet(f"{out}/{name}")
 
 
 @dataclass(frozen=True)

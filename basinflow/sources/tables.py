@@ -72,19 +72,24 @@ def spatial_ref(attrs: DataFrame, dataset: str) -> str:
     found = attrs.filter(
         (F.col("dataset") == dataset) & (F.col("variable") == "crs")
         & (F.col("name") == "spatial_ref")
-    ).select(F.element_at("value", 1).alias("v")).limit(1).collect()
+    ).select(F.element_at("value", 1).alias("v")).distinct().limit(2).collect()
     if not found:
         raise ValueError(f"dataset {dataset} has no spatial_ref")
+    if len(found) > 1:
+        raise ValueError(f"dataset {dataset} has several spatial_refs")
     return found[0].v
 
 
 def read_hydrofabric(
     spark: SparkSession, base: str, vpu_id: str, layers: Sequence[str]
 ) -> dict[str, DataFrame]:
-    """Layers of one vector processing unit, stored as ``{base}/{layer}/vpu_id={vpu_id}``."""
+    """Layers of one vector processing unit, stored as ``{base}/{layer}/vpu_id={vpu_id}``.
+
+    The unit's folder is read by name, for an id such as ``02`` is text and not the number 2.
+    """
     return {
-        layer: spark.read.parquet(f"{base}/{layer}").filter(
-            F.col("vpu_id").cast("string") == vpu_id
+        layer: spark.read.parquet(f"{base}/{layer}/vpu_id={vpu_id}").withColumn(
+            "vpu_id", F.lit(vpu_id)
         )
         for layer in layers
     }

@@ -31,6 +31,21 @@ def sf():
     return SF
 
 
+@pytest.fixture
+def broadcasts(spark):
+    """Sets the size up to which Spark broadcasts a side, for one test."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = spark.conf.get(names[0])
+
+    def to(limit):
+        for name in names:
+            spark.conf.set(name, str(limit))
+
+    yield to
+    spark.conf.set(names[0], before)
+    spark.conf.unset(names[1])
+
+
 def rows(df, *order):
     """Rows as sorted tuples."""
     return sorted(tuple(r) for r in df.select(*(order or df.columns)).collect())

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from basinflow import schemas
 from basinflow.functions.gridindex import Grid
 from basinflow.operators import clip as P
-from basinflow.operators import joins
 from conftest import plan_of, rows
 from test_cells import blocks
 
@@ -63,8 +62,8 @@ def test_runs_equal_brute_force(spark, shapes):
 
 @pytest.mark.parametrize("limit", [10**8, -1])
 @pytest.mark.parametrize("strip", [256, 4])
-def test_clip_modes(spark, monkeypatch, limit, strip):
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+def test_clip_modes(spark, broadcasts, monkeypatch, limit, strip):
+    broadcasts(limit)
     monkeypatch.setattr(P, "STRIP", strip)
     shapes = concave() + noise(5, 3)
     runs = P.union_runs(P.polygon_runs(spark.createDataFrame(shapes, schemas.POLYGONS), 20, 20))
@@ -102,11 +101,11 @@ def test_index_space(spark):
     assert rows(P.to_index_space(df, grid, "sn"), "x", "y") == [(1.0, 3.0)]
 
 
-def test_joins_are_equi_joins(spark, monkeypatch):
+def test_joins_are_equi_joins(spark, broadcasts):
     runs = P.union_runs(P.polygon_runs(spark.createDataFrame(concave(), schemas.POLYGONS), 20, 20))
     grid = blocks(spark, nrow=20, ncol=20)
     for limit in (10**8, -1):
-        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+        broadcasts(limit)
         for mode in ("mask", "drop"):
             plan = plan_of(P.clip(grid, runs, mode))
             assert "NestedLoop" not in plan and "Cartesian" not in plan

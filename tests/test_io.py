@@ -220,8 +220,8 @@ def test_grid_template(spark, tmp_path):
 def test_hydrofabric_reader(spark, tmp_path):
     df = spark.createDataFrame([("wb-1", "01"), ("wb-2", "02")], "id string, vpu_id string")
     df.write.partitionBy("vpu_id").parquet(str(tmp_path / "flowpaths"))
-    got = tables.read_hydrofabric(spark, str(tmp_path), "2", ["flowpaths"])["flowpaths"]
-    assert rows(got, "id") == [("wb-2",)]
+    got = tables.read_hydrofabric(spark, str(tmp_path), "02", ["flowpaths"])["flowpaths"]
+    assert rows(got, "id", "vpu_id") == [("wb-2", "02")]
 
 
 def test_mixed_results(spark, tmp_path):
@@ -371,7 +371,7 @@ def test_static_job(spark, tmp_path):
     soil = rows(explode_cells(read("soil")), "j", "i", "value")
     assert soil[0] == (1, 1, 909.0) and soil[-1] == (4, 3, 1211.0) and len(soil) == 12
     for wrong in (
-        dict(buckets=inputs.buckets), dict(attrs=inputs.links), dict(axes={"q": None}),
+        dict(buckets=inputs.buckets), dict(attrs=inputs.links), dict(axes={"q": None}), dict(row_orders={"q": "sn"}),
         dict(weights=inputs.weights, polys=inputs.polys, links=inputs.links, lakes=inputs.links),
     ):
         with pytest.raises(ValueError):
@@ -404,11 +404,14 @@ def test_static_attrs(spark):
     ys = spark.range(1, 81).select(F.col("id").cast("int").alias("j"), (F.col("id") * 250.0).alias("y"))
     land_xs = xs.filter("i <= 20").withColumn("x", F.col("i") * 1000.0)
     land_ys = ys.filter("j <= 20").withColumn("y", F.col("j") * 1000.0)
-    grids = {"geogrid": blocks(spark, nrow=20, ncol=20, var="XLAT_M"), "soil": blocks(spark, nrow=20, ncol=20)}
+    grids = {"geogrid": blocks(spark, nrow=20, ncol=20, var="XLAT_M"), "soil": blocks(spark, nrow=20, ncol=20),
+             "template": blocks(spark, nrow=20, ncol=20)}
     inputs = jobs.StaticInputs(
         land_grids=grids, routing_grids={"routing": blocks(spark, nrow=80, ncol=80)},
         attrs=spark.createDataFrame([("soil", "", "i_parent_end", "l", ["9"])], schemas.ATTRS),
-        axes={"soil": (land_xs, land_ys, 1000.0), "routing": (xs, ys, 250.0)},
+        axes={"soil": (land_xs, land_ys, 1000.0, 1000.0), "routing": (xs, ys, 250.0, -250.0),
+              "template": (land_xs, land_ys, 1000.0, 500.0)},
+        row_orders={"template": "ns"},
     )
     bounds = {
         "geo_sn": IndexBounds(2, 4, 3, 6), "geo_ns": IndexBounds(2, 4, 15, 18),
@@ -419,9 +422,12 @@ def test_static_attrs(spark):
     assert got["soil", "i_parent_end"] == got["geogrid", "i_parent_end"] == ["4"]
     assert got["soil", "j_parent_end"] == ["5"]
     assert got["soil", "corner_lats"] == ["302", "602", "604", "304"] + ["0"] * 12
-    assert got["soil", "GeoTransform"] == ["1500 1000 0 15500 0 1000"]
-    assert got["routing", "GeoTransform"] == ["1125 250 0 14375 0 250"]
-    assert len(got) == 2 * 8 + 2
+    assert got["soil", "GeoTransform"] == ["1500 1000 0 3500 0 1000"]
+    assert got["template", "GeoTransform"] == ["1500 1000 0 15250 0 500"]
+    assert got["routing", "GeoTransform"] == ["1125 250 0 14125 0 -250"]
+    assert len(got) == 3 * 8 + 3
+    for name, row in (("soil", 3), ("template", 15)):
+        assert rows(explode_cells(out[name]), "j", "i", "value")[0] == (1, 1, row * 100.0 + 2)
 
 
 def test_chain(spark, tmp_path):

@@ -74,8 +74,8 @@ def test_group_status(spark):
 
 
 @pytest.mark.parametrize("limit", [10**8, -1])
-def test_batch_windows_overlap(spark, monkeypatch, limit):
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+def test_batch_windows_overlap(spark, broadcasts, limit):
+    broadcasts(limit)
     df = spark.createDataFrame([(T0 + timedelta(hours=h),) for h in range(72)], "time timestamp_ntz")
     w = [("a", T0, T0 + timedelta(hours=47)), ("b", T0 + timedelta(hours=40), T0 + timedelta(hours=50))]
     win = spark.createDataFrame(w, "window_id string, start timestamp_ntz, end timestamp_ntz")
@@ -143,19 +143,30 @@ def test_renormalised_weights_sum_to_one(spark, data):
 
 # -- ordering --------------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("sizes", [{}, {"single_window_rows": 5, "rows_per_bucket": 20}])
-def test_ranks_and_numbers(spark, sizes):
+@pytest.mark.parametrize("ranges", ["1", "7"])
+def test_ranks_and_numbers(spark, ranges):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check_ranks(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def check_ranks(spark):
     r = random.Random(4)
     vals = [None, None, *[7] * 200, *[r.randint(0, 300) for _ in range(300)]]  # one hot value
     df = spark.createDataFrame(list(enumerate(vals)), "id int, v int")
-    got = {x.id: x.rank for x in ordering.average_rank(df, "v", "rank", **sizes).collect()}
+    got = {x.id: x.rank for x in ordering.average_rank(df, "v", "rank").collect()}
     ordered = sorted(v for v in vals if v is not None)
     for k, v in enumerate(vals):
         if v is None:
             assert got[k] is None
         else:
             assert got[k] == ordered.index(v) + (ordered.count(v) - 1) / 2
-    numbered = ordering.sequential_id(df.withColumn("key", F.col("id") * 3 - 500), "key", "n", **sizes)
+    numbered = ordering.sequential_id(df.withColumn("key", F.col("id") * 3 - 500), "key", "n")
     assert rows(numbered, "id", "n") == [(k, k + 1) for k in range(len(vals))]
 
 
@@ -305,8 +316,8 @@ def test_hydrofabric(spark):
 # -- zones, overviews, descriptions ------------------------------------------------------------------
 
 @pytest.mark.parametrize("limit", [10**8, -1])
-def test_zonal_mean(spark, monkeypatch, limit):
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+def test_zonal_mean(spark, broadcasts, limit):
+    broadcasts(limit)
     zones = spark.createDataFrame(
         [(1, 2, 2, 1.0), (1, 7, 10, 3.0), (2, 4, 4, 0.5), (3, 50, 50, 1.0)],
         "id long, j int, i int, w double",
@@ -383,12 +394,63 @@ def test_lookup_join_refuses_side_rows(spark):
 
 @pytest.mark.parametrize("how, want", [("inner", 400), ("left", 401), ("left_semi", 400), ("left_anti", 1)])
 @pytest.mark.parametrize("limit", [10**8, -1])
-def test_lookup_join_on_a_hot_key(spark, monkeypatch, how, want, limit):
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+def test_lookup_join_on_a_hot_key(spark, broadcasts, how, want, limit):
+    broadcasts(limit)
     large = spark.range(400).select(F.lit(1).alias("k"), "id").union(
         spark.createDataFrame([(2, 900)], "k int, id long")
     )
     side = spark.createDataFrame([(1, "a"), (3, "b")], "k int, name string")
-    got = joins.lookup_join(large, side, ["k"], how, salt_by=["id"])
+    got = joins.lookup_join(large, side, ["k"], how)
     assert got.count() == want
     assert got.columns == (["k", "id", "name"] if how in ("inner", "left") else ["k", "id"])
+
+
+def test_ids_of_any_length_and_repeated_edges(spark):
+    long = "wb-" + "9" * 60
+    edges = [(long, "nex-1"), ("nex-1", "wb-1"), ("wb-1", "nex-0")] * 3
+    edges = spark.createDataFrame(edges, "id string, toid string")
+    cats = spark.createDataFrame([("cat-" + "9" * 60,), ("cat-1",), ("cat-2",)], "divide_id string")
+    got = network.subset_hydrofabric({"attrs": cats}, edges, "wb-1")
+    assert rows(got["attrs"]) == [("cat-1",), ("cat-" + "9" * 60,)]
+
+
+def test_closures_of_repeated_and_dividing_links(spark):
+    chain = [(i, i - 1) for i in range(1, 41)] * 2
+    links = spark.createDataFrame(chain, "link long, to long")
+    start = spark.createDataFrame([(20,)], "link long")
+    assert closure.upstream(links, start).count() == 21
+    assert closure.first_start_below(links, start).count() == 21
+    assert closure.downstream(links, start).count() == 20
+    split = spark.createDataFrame([*chain, (30, 5), (5, 99)], "link long, to long")
+    with pytest.raises(ValueError):
+        closure.first_start_below(split, start)
+    below = spark.createDataFrame([(30,)], "link long")
+    assert {r.link for r in closure.downstream(split, below).collect()} == set(range(1, 31))
+    assert {r.link for r in closure.upstream(split, spark.createDataFrame([(5,)], "link long")).collect()} == set(range(5, 41))
+
+
+def test_plain_numbers(spark):
+    from basinflow.functions.gridindex import plain_number
+
+    values = [0.0083333333333, 1e-10, 1e20, -1.5e-7, 250.0, 1234567.25, -12345678.0, 123456789.125, 0.0, 1e7]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(plain_number(F.col("v"))).collect()]
+    assert [float(x) for x in got] == values and not any("E" in x for x in got)
+    assert got[:5] == ["0.0083333333333", "0.0000000001", "100000000000000000000", "-0.00000015", "250"]
+
+
+def test_weights_round_trip(spark, tmp_path):
+    from basinflow.sources import sinks, tables
+
+    w = spark.createDataFrame(WTS, "i_index int, j_index int, IDmask long, weight double, regridweight double")
+    polys = spark.createDataFrame([(1, 9)], "polyid long, overlaps int")
+    rect, counted = weights.subset_weights(w, polys, spark.createDataFrame([(1,)], "IDmask long"), BOX)
+    sinks.write_weights(rect, counted, str(tmp_path))
+    a, b = tables.read_weights(spark, str(tmp_path))
+    assert a.count() == 2 and rows(b) == [(1, 2)]
+
+
+def test_steps_count_times(spark):
+    forcing = spark.createDataFrame([(1, T0, "a", 1.0), (1, T0, "b", 1.0)], "id long, time timestamp_ntz, var string, mean double")
+    config, _ = configure_catchments(forcing.select("id"), forcing.select("id").distinct(), forcing)
+    assert rows(config, "id", "n_steps") == [(1, 1)]
