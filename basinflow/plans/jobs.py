@@ -9,22 +9,29 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basinflow import schemas
+from basinflow.functions.crs import NWM_LCC, LambertConformal, reproject_polygons
 from basinflow.functions.gridindex import (
     Grid, IndexBounds, as_bounds, bbox_bounds, buffered_envelope, geotransform,
 )
 from basinflow.functions.timestamps import ntz
 from basinflow.operators import network
-from basinflow.operators.attrs import grid_attrs, set_attrs
+from basinflow.operators.attrs import grid_attrs, set_attrs, set_coordinate_attrs, set_crs
 from basinflow.operators.catchments import configure_catchments
 from basinflow.operators.cells import (
     explode_cells, grid_corners, hyperslab, time_slice, with_axis_coords,
 )
-from basinflow.operators.clip import clip, polygon_runs, subset_domain_by_ids, union_runs
+from basinflow.operators.clip import (
+    clip, polygon_runs, subset_domain_by_ids, to_index_space, union_runs,
+)
 from basinflow.operators.metadata import describe_cells
-from basinflow.operators.timebins import assign_bins, group_status, require_complete, time_bins
+from basinflow.operators.timebins import (
+    assign_bins, batch_windows, group_status, require_complete, time_bins,
+)
 from basinflow.operators.weights import full_basins, subset_weights
 from basinflow.operators.zonal import zonal_mean_chunks, zone_weights
 from basinflow.session import cut
+from basinflow.sources.geojson import read_polygons
 from basinflow.sources.manifest import list_forcing
 from basinflow.sources.netcdf import scan_headers, write_refs
 from basinflow.sources.sinks import (
@@ -43,6 +50,31 @@ class ForcingGrid:
     block: tuple[int, int] | None = None
 
 
+def boundary_polygons(
+    spark: SparkSession, path: str, grid: Grid, id_property: str | None = None, lines: bool = False,
+    rows: str = "sn", crs: LambertConformal = NWM_LCC,
+) -> DataFrame:
+    """Polygons of a GeoJSON boundary file in the index space of a grid, as the clip jobs take them.
+
+    Longitudes and latitudes are projected first; ``rows`` says which way the grid's rows count.
+    """
+    return to_index_space(reproject_polygons(read_polygons(spark, path, id_property, lines), crs), grid, rows)
+
+
+def forcing_attrs(spark: SparkSession, dataset: str, spatial_ref: str) -> DataFrame:
+    """Attributes that describe the coordinates and the coordinate system of a job's output."""
+    datasets = spark.createDataFrame([(dataset,)], "dataset STRING")
+    none = spark.createDataFrame([], schemas.ATTRS)
+    return set_crs(set_coordinate_attrs(none, datasets), datasets, spatial_ref)
+
+
+def run_windows(chunks: DataFrame, windows: DataFrame, out: str) -> None:
+    """The rows of every window ``(window_id, start, end)``, one folder per window; a row in several
+    windows is written to each."""
+    parts = batch_windows(chunks, windows)
+    parts.hint("rebalance", "window_id").write.mode("overwrite").partitionBy("window_id").parquet(out)
+
+
 def forcing_hourly(
     manifest: DataFrame,
     chunks: DataFrame,

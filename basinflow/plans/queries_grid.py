@@ -217,9 +217,11 @@ def dims_conform(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(with_views("chunks cells", "SELECT time, j, i, value FROM cells"))
 def conformed_write(spark: SparkSession, sf: str) -> DataFrame:
-    """Only the columns a target knows, in its order."""
+    """Only the columns a target knows, in its order, written and read back."""
     cells = C.explode_cells(V.forcing(spark, sf))
-    return as_double(conform(cells, ["time", "j", "i", "missing", "value"]))
+    out = scratch_path(spark, "conformed")
+    conform(cells, ["time", "j", "i", "missing", "value"]).write.parquet(out)
+    return as_double(spark.read.parquet(out))
 
 
 def corner_cells(spark: SparkSession, sf: str) -> DataFrame:

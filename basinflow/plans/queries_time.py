@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.functions.timestamps import hour_of
+from basinflow.functions.names import joined_stem, last_stem
+from basinflow.functions.timestamps import from_epoch_ns, hour_of
 from basinflow.operators import timebins as T
 from basinflow.operators.cells import time_slice
 from basinflow.plans import views as V
@@ -16,7 +17,8 @@ from basinflow.plans.views import with_views
 from basinflow.sources.manifest import list_forcing
 from basinflow.sources.netcdf import reference_lines
 from basinflow.sources.sinks import hourly_parts as add_part
-from basinflow.sources.sinks import part_documents
+from basinflow.session import scratch_path
+from basinflow.sources.sinks import part_documents, read_parts, write_parts
 
 STEP = 10
 
@@ -193,3 +195,30 @@ def refs_json(spark: SparkSession, sf: str) -> DataFrame:
         entry("html/0", none, F.lit(64), F.col("size")),
     )))
     return reference_lines(refs)
+
+
+@query(with_views("series", f""", {SPAN_SQL}, {bins_sql("span")}
+    SELECT bin AS part, bin_start AS start, bin_end AS "end" FROM bins"""))
+def parts_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Time groups written as one document each and read back."""
+    out = scratch_path(spark, "parts")
+    write_parts(T.time_bins(whole_span(spark, sf), STEP), out)
+    return read_parts(spark, out)
+
+
+@query("SELECT event_id, ts AS time FROM events")
+def epoch_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Times of all events from nanoseconds since the epoch."""
+    ns = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    return V.table(spark, sf, "events").select("event_id", from_epoch_ns(ns).alias("time"))
+
+
+@query("""SELECT page_id, regexp_replace(name, '\\.[^.]*$', '') AS stem,
+           replace(regexp_replace(name, '\\.[^.]*$', ''), '.', '') AS joined
+    FROM (SELECT page_id, regexp_extract(url, '[^/]*$') || '.v1.nc' AS name FROM pages)""")
+def file_stems(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of files without their last extension, and without any dot."""
+    path = F.concat("url", F.lit(".v1.nc"))
+    return V.table(spark, sf, "pages").select(
+        "page_id", last_stem(path).alias("stem"), joined_stem(path).alias("joined")
+    )

@@ -32,3 +32,13 @@ def list_folder(spark: SparkSession, folder: str, pattern: str = "*") -> DataFra
     """Files below a folder as ``(path, length, modificationTime)``; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return files.select("path", "length", "modificationTime")
+
+
+def year_manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """``manifest(path, year)`` of the files stored below one folder per year, as ``{root}/{year}/{file}``."""
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true").load(root).select("path")
+    )
+    folder = F.element_at(F.split("path", "/"), -2)
+    return files.select("path", folder.try_cast("int").alias("year")).filter("year IS NOT NULL")

@@ -73,6 +73,13 @@ def write_parts(bins: DataFrame, out: str) -> None:
     part_documents(bins).write.mode("overwrite").partitionBy("part").text(out)
 
 
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """``(part, start, end)`` of the time groups that ``write_parts`` has stored."""
+    doc = F.from_json("value", "start STRING, end STRING")
+    times = [F.to_timestamp_ntz(doc[c], F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias(c) for c in ("start", "end")]
+    return spark.read.schema("value STRING, part INT").text(path).select("part", *times)
+
+
 def conform(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
     """Columns the target has, in the target's order; others are not written."""
     return df.select(*[c for c in target_columns if c in df.columns])

@@ -13,6 +13,7 @@ from basinflow.operators.timebins import time_bins
 from basinflow.plans import jobs
 from basinflow.session import cut, scratch_path, shared_dir
 from basinflow.sources import geojson, manifest, netcdf, sinks, tables
+from basinflow.sources.manifest import list_forcing, year_manifest
 from basinflow.streaming.clip import stream_chunks, stream_clip
 from conftest import plan_of, rows
 from test_cells import T0, blocks
@@ -454,3 +455,35 @@ def test_reference_job(spark, tmp_path):
     netcdf.write_blocks(blocks(spark, nrow=3, ncol=4), str(tmp_path / "in"))
     jobs.run_references(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     assert [p.name for p in (tmp_path / "out").glob("name=*")] == ["name=2024010100.v.1.1.json"]
+
+
+def test_forcing_from_a_boundary_file(spark, tmp_path):
+    from basinflow.functions.crs import lcc_inverse
+
+    grid = Grid(xmin=0.0, ymax=20_000.0, res=1000.0, ncol=20, nrow=20)
+    corners = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(
+        [(4000.0, 5000.0), (9000.0, 5000.0), (9000.0, 12000.0), (4000.0, 12000.0)])], "k int, x double, y double")
+    lon, lat = lcc_inverse(F.col("x"), F.col("y"))
+    ring = [[r[0], r[1]] for r in corners.orderBy("k").select(lon, lat).collect()]
+    feature = {"type": "Feature", "id": "a", "properties": {}, "geometry": {"type": "Polygon", "coordinates": [[*ring, ring[0]]]}}
+    (tmp_path / "b.json").write_text(json.dumps({"type": "FeatureCollection", "features": [feature]}))
+    polygons = jobs.boundary_polygons(spark, str(tmp_path / "b.json"), grid)
+    got = jobs.forcing_dataset(blocks(spark, nrow=20, ncol=20), polygons, jobs.ForcingGrid(20, 20), "2024-01-01", "2024-01-01")
+    assert {(r.j, r.i) for r in got.collect()} == {(j, i) for j in range(6, 13) for i in range(5, 10)}
+    attrs = {(r.variable, r.name) for r in jobs.forcing_attrs(spark, "d", "WKT").collect()}
+    assert {("x", "axis"), ("lat", "units"), ("spatial_ref", "crs_wkt"), ("", "x_dim")} <= attrs
+
+
+def test_year_folders_and_windows(spark, tmp_path):
+    for year, name in (("2009", "2009123123.nc"), ("2010", "2010010100.nc"), ("other", "2010010101.nc")):
+        (tmp_path / "f" / year).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "f" / year / name).write_text("x")
+    listed = list_forcing(year_manifest(spark, str(tmp_path / "f")), datetime(2009, 1, 1), datetime(2010, 12, 31), ordered=True)
+    assert [r.valid_time for r in listed.collect()] == [datetime(2009, 12, 31, 23), datetime(2010, 1, 1)]
+    windows = spark.createDataFrame(
+        [("a", datetime(2024, 1, 1), datetime(2024, 1, 1, 1)), ("b", datetime(2024, 1, 1, 1), datetime(2024, 1, 1, 2))],
+        "window_id string, start timestamp_ntz, end timestamp_ntz",
+    )
+    jobs.run_windows(blocks(spark, hours=3), windows, str(tmp_path / "w"))
+    sizes = spark.read.parquet(str(tmp_path / "w")).groupBy("window_id").agg(F.count_distinct("time").alias("n"))
+    assert rows(sizes) == [("a", 2), ("b", 2)]
