@@ -5,8 +5,7 @@ adjacent pairs stand as leaves of a segment tree by (rank, place): its root is t
 lowest rank. Merging that pair updates three leaves, each in logarithmic time, until the root holds
 no mergeable pair. So a piece of n bytes takes n log n steps, also when it is one very long word.
 The trees of many short pieces stand side by side in arrays and are worked on
-together. Texts are first split at single spaces, where the pattern always ends a piece, and the ids of
-such chunks are remembered, up to a bound, for they recur.
+together; their ids are remembered, up to a bound, for pieces recur.
 
 Defined results: a null text is encoded as empty, to no ids; null ids decode to null, as do null
 entries' rows; ids outside the vocabulary are skipped in decoding, and bytes that are not UTF-8 become
@@ -39,7 +38,7 @@ PATTERN = (
 )
 NONE = 1 << 62
 PLACE = (1 << 32) - 1
-REMEMBERED = 400_000  # chunks, and pieces, kept per Python worker
+REMEMBERED = 500_000  # pieces kept per Python worker
 SHORT = 65  # bytes of a piece up to which trees are worked on together
 LONG_TEXT = 1_000_000  # characters from which a text's pieces are not listed at once
 
@@ -87,9 +86,7 @@ class Tokenizer:
         self.ranks = np.array([self.pairs[k] for k in self.keys.tolist()], np.int64)
         self.merged_ids = np.array(self.merged, np.int64)
         self.first_ids = np.array(self.first, np.int64)
-        self.chunks: dict[str, tuple[int, ...] | None] = {}
-        self.heads: dict[str, tuple[int, ...] | None] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece."""
@@ -199,66 +196,57 @@ class Tokenizer:
         flat = symbols[found].tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _learn_pieces(self, texts: list[str]) -> None:
-        """Remember the ids of pieces not met before."""
-        if not texts:
-            return
-        if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
+    def _learn(self, pieces: set[str]) -> None:
+        """Have the ids of all these pieces in memory."""
+        new = pieces.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = pieces
         by_size: dict[int, list[tuple[str, bytes]]] = {}
-        for text in texts:
-            data = text.encode("utf-8")
+        for piece in new:
+            data = piece.encode("utf-8")
             if len(data) > SHORT:
-                self.pieces[text] = tuple(self.merge(data))
+                self.known[piece] = tuple(self.merge(data))
             else:
-                by_size.setdefault(1 << max(0, len(data) - 2).bit_length(), []).append((text, data))
+                by_size.setdefault(1 << max(0, len(data) - 2).bit_length(), []).append((piece, data))
         for size, found in by_size.items():
             for start in range(0, len(found), 20_000):
                 some = found[start : start + 20_000]
                 ids = self._merge_trees([d for _, d in some], size)
-                self.pieces.update(zip([t for t, _ in some], map(tuple, ids)))
-
-    def _learn_chunks(self, memory: dict, chunks: Iterable[str], lead: str) -> None:
-        """Remember the ids of chunks not met before, each taken with ``lead`` before it. A chunk that is
-        empty, or begins or ends with white space, has none of its own."""
-        if len(memory) > REMEMBERED:
-            memory.clear()
-        new = set(chunks).difference(memory)
-        memory.update(dict.fromkeys(new))
-        plain = [c for c in new if c and len(c.strip()) == len(c)]
-        cut = [self.pattern.findall(lead + c) for c in plain]
-        held = self.pieces
-        for _ in range(2):  # again if the memory was full and has been cleared
-            self._learn_pieces(list(set(itertools.chain.from_iterable(cut)).difference(held)))
-        for c, pieces in zip(plain, cut):
-            memory[c] = tuple(itertools.chain.from_iterable(map(held.__getitem__, pieces)))
-
-    def _by_pattern(self, text: str) -> Iterator[tuple[int, ...]]:
-        found = (m.group() for m in self.pattern.finditer(text))
-        while pieces := list(itertools.islice(found, 100_000)):
-            held = self.pieces
-            for _ in range(2):
-                self._learn_pieces(list(set(pieces).difference(held)))
-            yield from map(held.__getitem__, pieces)
+                self.known.update(zip([t for t, _ in some], map(tuple, ids)))
 
     def _parts(self, text: str) -> list[str]:
         return self.cut.split(text) if self.cut else [text]
 
-    def encode(self, texts: list[str]) -> Iterator[Iterator[tuple[int, ...]]]:
-        """Ids of texts, for each in groups of a chunk or piece."""
-        cut = [[(p, None if p in self.special else p.split(" ")) for p in self._parts(t)] for t in texts]
-        lists = [chunks for parts in cut for _, chunks in parts if chunks]
-        self._learn_chunks(self.heads, [x[0] for x in lists], "")
-        self._learn_chunks(self.chunks, itertools.chain.from_iterable(x[1:] for x in lists), " ")
-        for parts in cut:
-            groups: list[Iterable[tuple[int, ...]]] = []
-            for part, chunks in parts:
-                if chunks is None:
-                    groups.append([(self.special[part],)])
-                    continue
-                ids = [self.heads[chunks[0]], *map(self.chunks.__getitem__, chunks[1:])]
-                groups.append(self._by_pattern(part) if None in ids else ids)
-            yield itertools.chain.from_iterable(groups)
+    def _encode_long(self, text: str) -> Iterator[tuple[int, ...]]:
+        for part in self._parts(text):
+            if part in self.special:
+                yield (self.special[part],)
+                continue
+            found = (m.group() for m in self.pattern.finditer(part))
+            while pieces := list(itertools.islice(found, 100_000)):
+                self._learn(set(pieces))
+                yield from map(self.known.__getitem__, pieces)
+
+    def encode(self, texts: list[str]) -> Iterator[Iterable[tuple[int, ...]]]:
+        """Ids of texts, for each in groups of a piece, to be used before the next text's."""
+        for is_long, some in itertools.groupby(texts, lambda t: len(t) >= LONG_TEXT):
+            if is_long:
+                yield from map(self._encode_long, some)
+                continue
+            cut = []
+            for text in some:
+                pieces: list[str] = []
+                for part in self._parts(text):
+                    if part in self.special:
+                        pieces.append(part)
+                    else:
+                        pieces += self.pattern.findall(part)
+                cut.append(pieces)
+            self._learn(set(itertools.chain.from_iterable(cut)).difference(self.special))
+            self.known.update((t, (i,)) for t, i in self.special.items())
+            for pieces in cut:
+                yield map(self.known.__getitem__, pieces)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of ids."""
