@@ -15,7 +15,7 @@ a document with a smaller id are removed; windows are judged on the input, not o
 4. Within a task, equal suffixes are combined first: all but the least id are covered there and then, so
    a passage that a third of all documents share reaches its group as one leaf per task.
 5. Each group is sorted; common prefixes of neighbours give the suffix tree's inner nodes. The topmost
-   node at a depth of ``window`` words or more above a leaf is its repeat: leaves with an id above the node's least
+   node at a depth of ``window`` words above a leaf is its repeat: leaves with an id above the node's least
    id are covered.
 
 Defined results: null and empty texts have no words; texts shorter than a window lose nothing. Ids are
@@ -81,9 +81,11 @@ def anchors(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Prefixes:
-    """A trie of words; every suffix falls to the shortest prefix that is not divided further."""
+    """A trie of words; every suffix falls to the shortest prefix that is not divided further, and many
+    small prefixes share a group."""
 
     def __init__(self, suffixes: list[list[bytes]], groups: int):
+        self.groups = groups
         self.divided: dict[tuple[bytes, ...], int] = {}
         most = max(1.0, len(suffixes) / max(1, groups))
         todo = [((), suffixes)]
@@ -111,7 +113,7 @@ class Prefixes:
         number = xxhash.xxh3_64_intdigest(b" ".join(prefix))
         if parts > 1:
             number += 1 + xxhash.xxh3_64_intdigest(content) % parts
-        return number
+        return number % self.groups
 
 
 def _sample(docs: DataFrame, s: Settings, n_docs: int, id_col: str, text_col: str) -> list[list[bytes]]:
@@ -261,14 +263,14 @@ def _send_suffixes(s: Settings, prefixes: Prefixes):
             docs = sorted({doc for _, doc, _ in rows})
             number = {doc: i for i, doc in enumerate(docs)}
             yield {
-                "group": group - 2**63 if group < 2**64 else group - 2**64 - 2**63,
+                "group": group,
                 "contents": packer.compress(b"\n".join(c for c, _, _ in rows)),
                 "owner": _pack([number[d] for _, d, _ in rows], np.int32),
                 "keys": b"".join(keys[d] for d in docs), "ids": _pack([ids[d] for d in docs], np.int64),
                 "places": _pack([p for _, _, p in rows], np.int32),
             }
         for doc, places in covered.items():
-            yield {"group": int.from_bytes(keys[doc][:6], "big"), "key": keys[doc],
+            yield {"group": int.from_bytes(keys[doc][:6], "big") % prefixes.groups, "key": keys[doc],
                    "places": _pack(places, np.int32)}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,59 +312,44 @@ def _send_suffixes(s: Settings, prefixes: Prefixes):
     return run
 
 
-def deep_nodes(suffixes: list[bytes], depth: int) -> Iterator[tuple[int, int]]:
-    """Ranges of leaves below the topmost inner nodes of a depth of ``depth`` words or more.
+def deep_nodes(suffixes: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of leaves below the topmost inner nodes as deep as the suffixes were cut.
 
-    ``suffixes`` are sorted. An inner node is a run of neighbours whose common prefixes are at least
-    as long as its depth, so its topmost deep node ends where two neighbours share fewer words.
+    ``suffixes`` are sorted and cut to the same number of words, so neighbours have a common prefix of that
+    depth if they are equal; a node is a run of such neighbours.
     """
     start = 0
     for i in range(1, len(suffixes) + 1):
-        if i < len(suffixes) and _common_words(suffixes[i - 1], suffixes[i], depth) >= depth:
+        if i < len(suffixes) and suffixes[i - 1] == suffixes[i]:
             continue
         if i - start > 1:
             yield start, i
         start = i
 
 
-def _common_words(a: bytes, b: bytes, most: int) -> int:
-    if a == b:
-        return most
-    n = 0
-    for x, y in zip(a.split(b" "), b.split(b" ")):
-        if x != y:
-            break
-        n += 1
-    return min(n, most)
-
-
-def _covered_windows(window: int):
+def _covered_windows(table: pa.Table) -> pa.Table:
     """Group side: ``key, places`` of the covered windows."""
-
-    def run(table: pa.Table) -> pa.Table:
-        done = table.filter(pc.is_valid(table.column("key"))).select(["key", "places"])
-        told = table.filter(pc.is_null(table.column("key")))
-        unpack = zstandard.ZstdDecompressor()
-        leaves: list[tuple[bytes, int, int]] = []
-        keys: list[bytes] = []
-        numbers: list[int] = []
-        for row in told.to_pylist():
-            contents = unpack.decompress(row["contents"]).split(b"\n")
-            owner = np.frombuffer(row["owner"], np.int32) + len(keys)
-            leaves += zip(contents, owner.tolist(), np.frombuffer(row["places"], np.int32).tolist())
-            keys += [row["keys"][i : i + 16] for i in range(0, len(row["keys"]), 16)]
-            numbers += np.frombuffer(row["ids"], np.int64).tolist()
-        leaves.sort()
-        covered = defaultdict(list)
-        for start, end in deep_nodes([x for x, _, _ in leaves], window):
-            least = min(numbers[doc] for _, doc, _ in leaves[start:end])
-            for _, doc, place in leaves[start:end]:
-                if numbers[doc] > least:
-                    covered[doc].append(place)
-        rows = [{"key": keys[d], "places": _pack(p, np.int32)} for d, p in covered.items()]
-        return pa.concat_tables([done, pa.Table.from_batches([_batch(rows, "key binary, places binary")])])
-
-    return run
+    done = table.filter(pc.is_valid(table.column("key"))).select(["key", "places"])
+    told = table.filter(pc.is_null(table.column("key")))
+    unpack = zstandard.ZstdDecompressor()
+    leaves: list[tuple[bytes, int, int]] = []
+    keys: list[bytes] = []
+    numbers: list[int] = []
+    for row in told.to_pylist():
+        contents = unpack.decompress(row["contents"]).split(b"\n")
+        owner = np.frombuffer(row["owner"], np.int32) + len(keys)
+        leaves += zip(contents, owner.tolist(), np.frombuffer(row["places"], np.int32).tolist())
+        keys += [row["keys"][i : i + 16] for i in range(0, len(row["keys"]), 16)]
+        numbers += np.frombuffer(row["ids"], np.int64).tolist()
+    leaves.sort()
+    covered = defaultdict(list)
+    for start, end in deep_nodes([x for x, _, _ in leaves]):
+        least = min(numbers[doc] for _, doc, _ in leaves[start:end])
+        for _, doc, place in leaves[start:end]:
+            if numbers[doc] > least:
+                covered[doc].append(place)
+    rows = [{"key": keys[d], "places": _pack(p, np.int32)} for d, p in covered.items()]
+    return pa.concat_tables([done, pa.Table.from_batches([_batch(rows, "key binary, places binary")])])
 
 
 def _key(line) -> object:
@@ -391,7 +378,7 @@ def covered(held: DataFrame, s: Settings, words: int, sample: list[list[bytes]])
     near = near.groupBy("key").agg(F.collect_list("places").alias("places"))
     suffixes = held.join(near, "key").select("key", "id", "line", "places")
     grouped = suffixes.mapInArrow(_send_suffixes(s, prefixes), GROUPED)
-    found = grouped.groupBy("group").applyInArrow(_covered_windows(s.window), "key binary, places binary")
+    found = grouped.groupBy("group").applyInArrow(_covered_windows, "key binary, places binary")
     return found.groupBy("key").agg(F.collect_list("places").alias("places"))
 
 
