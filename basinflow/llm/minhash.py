@@ -7,12 +7,14 @@ groups.
 
 1. Each set gets ``bands * rows`` minima under universal hash functions, a hash per band, and one byte
    per minimum as its signature. Documents with equal sets form one class from here on.
-2. Classes that share a band hash form a bucket. Pairs are not listed: each class is compared with the
-   least of those it shares a bucket with; then, while a bucket holds classes of more than one component,
-   some classes of each component are compared with all members of other components and leave the
-   bucket. So every pair that shares a bucket is compared, or is in one component already.
-3. A pair is compared by signature, with a wide margin, then exactly on both whole sets.
-4. Large-star and small-star make components of the links.
+2. Classes that share a band hash form a bucket. Each class is first compared with the least of those it
+   shares a bucket with. Then buckets that still hold classes of several components are gone through
+   again: a task holds the signatures of a bucket, or of two blocks of a large one, and puts forward
+   pairs of different components, first the best partner of each class, then step by step all pairs whose estimated
+   similarity lies in the next lower range, each in the first bucket it shares. So every pair that
+   shares a bucket and may reach the threshold is compared, unless links already connect it.
+3. A pair put forward is compared exactly, on both whole sets.
+4. Large-star and small-star make components of the links, after every step.
 
 With 40 bands of 5 rows a pair at 0.8 is missed with probability 1e-7, and less above.
 
@@ -29,7 +31,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,14 +46,16 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 @dataclasses.dataclass(frozen=True)
 class Settings:
     """``threshold`` is in hundredths; ``margin`` is how far a signature's estimate may lie below it;
-    ``hubs`` is how many classes of a bucket are compared with the others per round."""
+    ``steps`` are the lower ends of the ranges of estimates, the margin's end follows; ``block`` is how
+    many classes of a large bucket a task compares with as many others."""
 
     shingle: int = 5
     threshold: int = 80
     bands: int = 40
     rows: int = 5
-    margin: float = 0.2
-    hubs: int = 32
+    margin: float = 0.15
+    steps: tuple[float, ...] = (0.9, 0.8, 0.72)
+    block: int = 1_000
     seed: int = 1
 
 
@@ -147,62 +151,90 @@ def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: s
     return rows.mapInArrow(run, schema)
 
 
-def _filtered(pairs: DataFrame, test, *columns: str) -> DataFrame:
-    """Pairs ``a, b`` for which ``test`` of two further columns holds."""
-    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
+def confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """The pairs ``a, b`` whose whole sets are similar enough; ``texts (id, text)``."""
+    k, threshold = s.shingle, s.threshold
+    two = texts.select(F.col("id").alias("b"), F.col("text").alias("two"))
+    one = texts.select(F.col("id").alias("a"), F.col("text").alias("one"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = pa.array([test(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))],
-                            pa.bool_())
-            yield batch.select([0, 1]).filter(good)
-
-    return pairs.select("a", "b", *columns).mapInArrow(run, schema)
-
-
-def _with_both(pairs: DataFrame, side: DataFrame, value: str) -> DataFrame:
-    """``side (id, value)`` looked up for both ends of a pair, as ``one`` and ``two``."""
-    two = side.select(F.col("id").alias("b"), F.col(value).alias("two"))
-    one = side.select(F.col("id").alias("a"), F.col(value).alias("one"))
-    return pairs.join(two, "b").join(one, "a")
-
-
-def compare(pairs: DataFrame, marks: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """The pairs ``a, b`` that are links: first by ``marks (id, signature)``, then by ``texts (id, text)``."""
-    least = s.threshold / 100 - s.margin
-
-    def near(x: bytes, y: bytes) -> bool:
-        agree = float((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).mean())
-        return (agree - 1 / 256) / (1 - 1 / 256) >= least
-
-    near_pairs = _filtered(_with_both(pairs, marks, "signature"), near, "one", "two").distinct()
-    k, threshold = s.shingle, s.threshold
-    return _filtered(
-        _with_both(near_pairs, texts, "text"),
-        lambda x, y: same_enough(x or "", y or "", k, threshold), "one", "two",
-    ).distinct()
-
-
-def _next_pairs(members: DataFrame, labels: DataFrame, used: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare in buckets that still hold several components, and the classes that then leave.
-
-    ``members (bucket, id)``, ``labels (id, component)``, ``used (bucket, id)``.
+            good = [
+                same_enough(x.as_py() or "", y.as_py() or "", k, threshold)
+                for x, y in zip(batch.column(2), batch.column(3))
+            ]
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    both = pairs.join(two, "b").join(one, "a").select("a", "b", "one", "two")
+    return both.mapInArrow(run, T.StructType([pairs.schema["a"], pairs.schema["b"]])).distinct()
+
+
+def estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Estimated similarity of each row of ``x`` with each of ``y``, rows being signatures."""
+    agree = np.empty((len(x), len(y)))
+    for i in range(len(x)):
+        agree[i] = (y == x[i]).mean(1)
+    return (agree - 1 / 256) / (1 - 1 / 256)
+
+
+def _put_forward(low: float, high: float | None):
+    """Pairs of a bucket, or of two blocks of one, from different components and with estimates from ``low``
+    up to ``high``; where ``high`` is None, only the best partner of each class."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("id")
+        ids, found = rows.column("id").to_numpy(), rows.column("component").to_numpy()
+        marks = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+        bands = np.array(rows.column("bands").to_pylist(), np.int64)
+        bucket, mine = rows.column("bucket")[0].as_py(), rows.column("block").to_numpy()
+        one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
+        left, right = np.flatnonzero(mine == one), np.flatnonzero(mine == two)
+        pairs = []
+        for start in range(0, len(left) if len(right) else 0, 256):
+            some = left[start : start + 256]
+            value = estimates(marks[some], marks[right])
+            value[found[some][:, None] == found[right][None, :]] = -1
+            if high is None:
+                best = value.argmax(1)
+                good = value[np.arange(len(some)), best] >= low
+                pairs.append(np.column_stack([some[good], right[best[good]]]))
+                continue
+            i, j = np.nonzero((value >= low) & (value < high))
+            i, j = some[i], right[j]
+            keep = (i < j) if one == two else np.ones(len(i), bool)
+            i, j = i[keep], j[keep]
+            first = (bands[i] == bands[j]).argmax(1)
+            keep = bands[i, first] == bucket
+            pairs.append(np.column_stack([i[keep], j[keep]]))
+        chosen = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
+        a, b = ids[chosen[:, 0]], ids[chosen[:, 1]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
+def next_pairs(
+    members: DataFrame, classes: DataFrame, labels: DataFrame, low: float, high: float | None, s: Settings
+) -> DataFrame | None:
+    """Pairs ``a, b`` that a step puts forward, None when no bucket holds several components.
+
+    ``members (bucket, id)``, ``classes (id, bands, signature)``, ``labels (id, component)``.
     """
-    left = members.join(used, ["bucket", "id"], "left_anti").join(labels, "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("component")
+    placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = placed.groupBy("bucket").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
     )
-    groups = left.groupBy("bucket", "component").agg(F.min("id").alias("hub"))
-    mixed = groups.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    order = Window.partitionBy("bucket").orderBy("hub")
-    hubs = cut(
-        groups.join(mixed, "bucket").withColumn("nth", F.row_number().over(order))
-        .filter(F.col("nth") <= s.hubs).select("bucket", "hub", F.col("component").alias("own")),
-        "minhash-hubs",
+    mixed = cut(mixed.filter("least < most").select("bucket", F.ceil(F.col("n") / s.block).alias("blocks")), "minhash-mixed")
+    if mixed.isEmpty():
+        return None
+    placed = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = placed.join(classes.select("id", "bands", "signature"), "id").select(
+        "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
+        "block", "id", "component", "bands", "signature",
     )
-    pairs = left.join(hubs, "bucket").filter("component <> own").select(
-        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")
-    ).distinct()
-    return pairs, hubs.select("bucket", F.col("hub").alias("id"))
+    found = rows.groupBy("bucket", "one", "two").applyInArrow(_put_forward(low, high), "a long, b long")
+    return found.distinct()
 
 
 def groups(
@@ -214,7 +246,6 @@ def groups(
     linkable = sets.filter("n > 0 AND id IS NOT NULL")
     classes = linkable.groupBy("key").agg(F.min(F.struct("id", "bands", "signature")).alias("first"))
     classes = cut(classes.select("key", "first.*"), "minhash-classes")
-    marks = classes.select("id", "signature")
     banded = classes.select("id", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
     members = cut(
@@ -225,21 +256,17 @@ def groups(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi"),
         "minhash-texts",
     )
-    members, first = members.select("bucket", "id").distinct(), members
-    pairs = cut(
-        first.filter("id <> hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"),
-        "minhash-pairs",
-    )
-    tested, used = pairs, members.limit(0)
-    links = cut(compare(pairs, marks, texts, s), "minhash-links")
+    first = members.filter("id <> hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a"))
+    links = cut(confirmed(first.select("a", "b"), texts, s), "minhash-links")
     labels = cut(components(links), "minhash-labels")
-    while True:
-        pairs, leaving = _next_pairs(members, labels, used, s)
-        if leaving.isEmpty():
+    members = members.select("bucket", "id").distinct()
+    least = s.threshold / 100 - s.margin
+    ends = [2.0, *s.steps, least]
+    for low, high in [(least, None), *zip(ends[1:], ends)]:
+        pairs = next_pairs(members, classes, labels, low, high, s)
+        if pairs is None:
             break
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        tested, used = tested.unionByName(pairs), used.unionByName(leaving)
-        found = cut(compare(pairs, marks, texts, s), "minhash-links")
+        found = cut(confirmed(pairs, texts, s), "minhash-links")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = cut(components(links), "minhash-labels")

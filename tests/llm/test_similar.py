@@ -80,11 +80,11 @@ def varied(seed, groups=6, copies=14):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed, hubs", [(1, 32), (2, 1)])
-def test_minhash_near_the_threshold(spark, seed, hubs):
+@pytest.mark.parametrize("seed, block", [(1, 1000), (2, 3)])
+def test_minhash_near_the_threshold(spark, seed, block):
     rows = varied(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    check_groups(minhash.groups(df, minhash.Settings(hubs=hubs)), rows, 5)
+    check_groups(minhash.groups(df, minhash.Settings(block=block)), rows, 5)
 
 
 def test_minhash_odd(spark):
