@@ -26,6 +26,7 @@ each other. Repeated rows get equal results. Further columns are ignored. No row
 from __future__ import annotations
 
 import dataclasses
+import itertools
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -217,9 +218,43 @@ def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in table.column(name).to_pylist() if x), kind)
 
 
-def _repeated_anchors(table: pa.Table) -> pa.Table:
-    """Part side of step 2: ``key, places`` of anchors that occur in two texts."""
-    done = table.filter(pc.is_valid(table.column("key"))).select(["key", "places"])
+PLACED = "part int, keys binary, counts binary, places binary"
+KEYED = "key binary, places binary"
+
+
+def _dealt(found: Iterable[tuple[bytes, bytes]], parts: int) -> pa.Table:
+    """Documents' places on their way back, one row per part of documents."""
+    held = defaultdict(list)
+    for key, places in found:
+        held[int.from_bytes(key[:6], "big") % parts].append((key, places))
+    rows = [
+        {"part": part, "keys": b"".join(k for k, _ in some), "places": b"".join(p for _, p in some),
+         "counts": _pack([len(p) // 4 for _, p in some], np.int32)}
+        for part, some in held.items()
+    ]
+    return pa.Table.from_batches([_batch(rows, PLACED)])
+
+
+def _by_key(table: pa.Table) -> pa.Table:
+    """``key, places`` of the documents of a part, one row each."""
+    found = defaultdict(list)
+    for row in table.to_pylist():
+        at = 0
+        for i, count in enumerate(np.frombuffer(row["counts"], np.int32).tolist()):
+            found[row["keys"][16 * i : 16 * i + 16]].append(row["places"][at : at + 4 * count])
+            at += 4 * count
+    rows = [{"key": k, "places": b"".join(p)} for k, p in found.items()]
+    return pa.Table.from_batches([_batch(rows, KEYED)])
+
+
+def _passed_on(table: pa.Table) -> Iterator[tuple[bytes, bytes]]:
+    """The rows that were settled before they got here."""
+    done = table.filter(pc.is_valid(table.column("key")))
+    return zip(done.column("key").to_pylist(), done.column("places").to_pylist())
+
+
+def _repeated_anchors(table: pa.Table, parts: int) -> pa.Table:
+    """Part side of step 2: places of anchors that occur in two texts."""
     asked = table.filter(pc.is_null(table.column("key")))
     known, marks = _joined(asked, "known", np.uint32), _joined(asked, "marks", np.uint32)
     packed = b"".join(asked.column("keys").to_pylist())
@@ -235,8 +270,7 @@ def _repeated_anchors(table: pa.Table) -> pa.Table:
         good = np.empty(len(order), bool)
         good[order] = np.repeat(repeated, sizes)
         docs, places = docs[good], places[good]
-    rows = [{"key": k, "places": p} for k, p in _by_document(keys, docs, places)]
-    return pa.concat_tables([done, pa.Table.from_batches([_batch(rows, "key binary, places binary")])])
+    return _dealt(itertools.chain(_passed_on(table), _by_document(keys, docs, places)), parts)
 
 
 GROUPED = "group long, contents binary, owner binary, keys binary, ids binary, places binary, key binary"
@@ -293,7 +327,7 @@ def _send_suffixes(s: Settings, prefixes: Prefixes):
                 starts = np.r_[0, np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1, len(data) + 1]
                 last = len(starts) - 1 - s.window
                 near = np.zeros(last + 2, np.int32)
-                at = np.frombuffer(b"".join(places.as_py()), np.int32)
+                at = np.frombuffer(places.as_py(), np.int32)
                 np.add.at(near, np.clip(at - reach, 0, last + 1), 1)
                 np.add.at(near, np.clip(at + 1, 0, last + 1), -1)
                 windows = np.flatnonzero(np.cumsum(near[:-1]) > 0)
@@ -327,9 +361,8 @@ def deep_nodes(suffixes: list[bytes]) -> Iterator[tuple[int, int]]:
         start = i
 
 
-def _covered_windows(table: pa.Table) -> pa.Table:
-    """Group side: ``key, places`` of the covered windows."""
-    done = table.filter(pc.is_valid(table.column("key"))).select(["key", "places"])
+def _covered_windows(table: pa.Table, parts: int) -> pa.Table:
+    """Group side: places of the covered windows."""
     told = table.filter(pc.is_null(table.column("key")))
     unpack = zstandard.ZstdDecompressor()
     leaves: list[tuple[bytes, int, int]] = []
@@ -348,8 +381,8 @@ def _covered_windows(table: pa.Table) -> pa.Table:
         for _, doc, place in leaves[start:end]:
             if numbers[doc] > least:
                 covered[doc].append(place)
-    rows = [{"key": keys[d], "places": _pack(p, np.int32)} for d, p in covered.items()]
-    return pa.concat_tables([done, pa.Table.from_batches([_batch(rows, "key binary, places binary")])])
+    here = ((keys[d], _pack(p, np.int32)) for d, p in covered.items())
+    return _dealt(itertools.chain(_passed_on(table), here), parts)
 
 
 def _key(line) -> object:
@@ -374,12 +407,12 @@ def covered(held: DataFrame, s: Settings, words: int, sample: list[list[bytes]])
     parts = max(16, words // s.part_words)
     prefixes = Prefixes(sample, max(64, words // s.group_words))
     sent = held.select("key", "id", "line").mapInArrow(_send_anchors(s, parts), PARTED)
-    near = sent.groupBy("part").applyInArrow(_repeated_anchors, "key binary, places binary")
-    near = near.groupBy("key").agg(F.collect_list("places").alias("places"))
+    near = sent.groupBy("part").applyInArrow(lambda t: _repeated_anchors(t, parts), PLACED)
+    near = near.groupBy("part").applyInArrow(_by_key, KEYED)
     suffixes = held.join(near, "key").select("key", "id", "line", "places")
     grouped = suffixes.mapInArrow(_send_suffixes(s, prefixes), GROUPED)
-    found = grouped.groupBy("group").applyInArrow(_covered_windows, "key binary, places binary")
-    return found.groupBy("key").agg(F.collect_list("places").alias("places"))
+    found = grouped.groupBy("group").applyInArrow(lambda t: _covered_windows(t, parts), PLACED)
+    return found.groupBy("part").applyInArrow(_by_key, KEYED)
 
 
 def _without(window: int):
@@ -393,7 +426,7 @@ def _without(window: int):
                 if places.is_valid:
                     words = line.as_py().split(" ")
                     change = np.zeros(len(words) + 1, np.int32)
-                    at = np.unique(np.frombuffer(b"".join(places.as_py()), np.int32))
+                    at = np.unique(np.frombuffer(places.as_py(), np.int32))
                     change[at] += 1
                     change[at + window] -= 1
                     out = np.cumsum(change[:-1]) > 0
