@@ -16,8 +16,11 @@ Vectors are linked when their labels are equal and the cosine reaches the thresh
    job repeats with wider overlap and beam, and fails if that leaves it below ``floor``.
 7. Each shard passes on a spanning forest of its links; large-star and small-star make components.
 
-Shards that centroids cannot cut, as they hold one dense group, stay whole after ``levels`` rounds; a
-group in which all are linked to all has a square number of links to count.
+A shard is divided only if its parts together hold fewer pairs than it does. A dense group, whose vectors
+would go to nearly every part, is not: it is cut into blocks of bounded size, and each pair of blocks is a
+task that compares all vectors, counts its links and passes on a spanning forest. The same happens to what is
+still large after ``levels`` rounds. So no round multiplies pairs, and no task holds more than two blocks; a
+group in which all are linked to all still has a square number of links to count.
 
 Defined results: rows whose id, label or vector is null, and vectors of no length or with null or
 non-finite components, are linked with nothing and keep their row. Vectors of different dimensions are
@@ -246,12 +249,18 @@ def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -
     return rows.select("id", "one", "two"), classes.select("one", "two", "least.*", "n")
 
 
-def _shards(classes: DataFrame, s: Settings) -> DataFrame:
-    """``shard, id, n, v``: every class in one or more shards."""
+def _shards(classes: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """``shard, id, n, v``: every class in one or more shards; and those of them that stay large, with ``blocks``."""
     held = cut(classes.select(
         F.concat_ws(":", F.col("label").cast("string"), F.size("v")).alias("shard"), "id", "n", "v",
     ), "vector-shards")
 
+    def smaller(x: np.ndarray, centre: np.ndarray) -> bool:
+        """Whether the parts together hold fewer pairs than the whole."""
+        angle = np.arccos(np.clip(x @ centre.T, -1, 1))
+        parts = (angle <= angle.min(1, keepdims=True) + s.overlap).mean(0)
+        return bool((parts**2).sum() < 1)
+
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id")
         x = _unit(group["v"])
@@ -263,7 +272,18 @@ def _shards(classes: DataFrame, s: Settings) -> DataFrame:
                 if (nearest == i).any():
                     mean = x[nearest == i].mean(0)
                     centre[i] = mean / max(1e-12, np.linalg.norm(mean))
-        return pd.DataFrame({"shard": [group["shard"].iloc[0]], "centres": [centre.ravel().tolist()]})
+        divides = smaller(x, centre)
+        if not divides:
+            # Centres that fell into one dense group count as one, so that the rest can leave it.
+            apart = [0]
+            for i in range(1, k):
+                if (np.arccos(np.clip(centre[apart] @ centre[i], -1, 1)) > 2 * s.overlap).all():
+                    apart.append(i)
+            centre = centre[apart]
+            divides = smaller(x, centre)
+        return pd.DataFrame({
+            "shard": [group["shard"].iloc[0]], "centres": [centre.ravel().tolist()], "divides": [divides],
+        })
 
     def dealt(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or found.empty:
@@ -278,10 +298,15 @@ def _shards(classes: DataFrame, s: Settings) -> DataFrame:
             "n": some["n"].to_numpy(), "v": some["v"].to_numpy(),
         })
 
-    done = None
+    def sizes(rows: DataFrame) -> DataFrame:
+        return cut(rows.groupBy("shard").agg(F.count("*").alias("rows")).filter(F.col("rows") > 2 * s.shard), "vector-large")
+
+    def blocked(rows: DataFrame, large: DataFrame) -> DataFrame:
+        return rows.join(large.select("shard", F.ceil(F.col("rows") / (2 * s.shard)).alias("blocks")), "shard")
+
+    done, dense = None, blocked(held, sizes(held)).limit(0)
     for _ in range(s.levels):
-        sizes = held.groupBy("shard").agg(F.count("*").alias("rows")).filter(F.col("rows") > 2 * s.shard)
-        large = cut(sizes, "vector-large")
+        large = sizes(held)
         if large.isEmpty():
             break
         small = held.join(large, "shard", "left_anti")
@@ -289,19 +314,92 @@ def _shards(classes: DataFrame, s: Settings) -> DataFrame:
         rows = held.join(large, "shard")
         every = F.greatest(F.lit(1), F.col("rows") / s.fit_rows).cast("long")
         sample = rows.filter(F.pmod(F.xxhash64("id"), every) == 0)
-        found = sample.groupBy("shard").applyInPandas(centroids, "shard string, centres array<double>")
+        found = cut(sample.groupBy("shard").applyInPandas(
+            centroids, "shard string, centres array<double>, divides boolean"
+        ), "vector-centres")
+        divided = found.filter("divides").drop("divides")
+        dense = dense.unionByName(blocked(held, large.join(divided, "shard", "left_anti")))
         chunks = F.ceil(F.col("rows") / (4 * s.shard))
+        rows = rows.join(divided.select("shard"), "shard")
         rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(2)), chunks)).drop("rows")
-        found = found.join(large, "shard").withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).drop("rows")
+        divided = divided.join(large, "shard").withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).drop("rows")
         keys = ("shard", "chunk")
-        held = cut(rows.groupBy(*keys).cogroup(found.groupBy(*keys)).applyInPandas(
+        held = cut(rows.groupBy(*keys).cogroup(divided.groupBy(*keys)).applyInPandas(
             dealt, "shard string, id long, n long, v array<double>"
         ), "vector-shards")
-    return held if done is None else done.unionByName(held)
-
-
-def _search(shards: DataFrame, s: Settings) -> DataFrame:
-    """``id, links, root`` per class and shard: links counted there, and the class it hangs on."""
+    else:
+        large = sizes(held)
+        dense = dense.unionByName(blocked(held, large))
+        held = held.join(large, "shard", "left_anti")
+    return held if done is None else done.unionByName(held), dense
+
+
+def block_links(
+    x: np.ndarray, y: np.ndarray, own: np.ndarray, other: np.ndarray, before: tuple[np.ndarray, np.ndarray] | None,
+    threshold: float, same: bool,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All rows of ``x`` against all of ``y``: links of each, weighted by the counts ``own`` and ``other``, and
+    the least row of ``x`` followed by ``y`` that each row hangs on. ``same`` says that ``y`` is ``x``.
+
+    ``before`` tells for the rows of both which earlier shards hold them: pairs that share one are linked, not counted.
+    """
+    m = len(x) if same else len(x) + len(y)
+    to_x, to_y = np.zeros(len(x)), np.zeros(len(y))
+    root = np.arange(m)
+    for a in range(0, len(x), 256):
+        near = x[a : a + 256] @ y.T >= threshold
+        if same:
+            near &= np.arange(a, a + len(near))[:, None] < np.arange(len(y))[None, :]
+        r, c = np.nonzero(near)
+        if not len(r):
+            continue
+        root = _roots(m, np.vstack([
+            np.column_stack([r + a, c if same else c + len(x)]), np.column_stack([np.arange(m), root]),
+        ]))
+        if before is not None:
+            near &= before[0][a : a + 256] @ before[1].T == 0
+        counted = near.astype(np.float64)
+        to_x[a : a + 256] += counted @ other
+        to_y += counted.T @ own[a : a + 256]
+    return to_x.astype(np.int64), to_y.astype(np.int64), root
+
+
+def _block_search(dense: DataFrame, shards: DataFrame, s: Settings) -> DataFrame:
+    """``id, links, root`` per class and pair of blocks of the shards that stay large."""
+
+    def earlier(rows: pd.DataFrame, names: list[str]) -> np.ndarray:
+        return np.array([np.isin(names, t) for t in rows["shards"]], np.float64)
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("id")
+        p, q = int(group["p"].iloc[0]), int(group["q"].iloc[0])
+        left, right = group[group["block"] == p], group[group["block"] == q]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"id": [], "links": [], "root": []})
+        shard = group["shard"].iloc[0]
+        names = sorted({t for many in group["shards"] for t in many if t < shard})
+        before = (earlier(left, names), earlier(right, names)) if names else None
+        to_left, to_right, root = block_links(
+            _unit(left["v"]), _unit(right["v"]), left["n"].to_numpy(), right["n"].to_numpy(), before, s.threshold, p == q,
+        )
+        if p == q:
+            ids, links = left["id"].to_numpy(), to_left + to_right
+        else:
+            ids = np.concatenate([left["id"].to_numpy(), right["id"].to_numpy()])
+            links = np.concatenate([to_left, to_right])
+        # Within its own block every class keeps a row, so that none is lost.
+        told = (links > 0) | (root != np.arange(len(ids))) | (p == q)
+        return pd.DataFrame({"id": ids[told], "links": links[told], "root": ids[root[told]]})
+
+    rows = dense.join(shards, "id").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
+    rows = rows.select("shard", "p", "q", "block", "id", "n", "v", "shards")
+    return rows.groupBy("shard", "p", "q").applyInPandas(compare, "id long, links long, root long")
+
+
+def _search(shards: DataFrame, dense: DataFrame, s: Settings) -> DataFrame:
+    """``id, links, root`` per class and shard, or pair of blocks: links counted there, and the class it hangs on."""
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id")
@@ -334,10 +432,12 @@ def _search(shards: DataFrame, s: Settings) -> DataFrame:
         return pd.DataFrame({"id": ids, "links": links, "root": ids[_roots(len(ids), pairs)]})
 
     lists = shards.groupBy("shard").applyInPandas(build, "id long, shard string, after array<long>")
+    lists = lists.unionByName(dense.select("id", "shard", F.array().cast("array<long>").alias("after")))
     united = lists.groupBy("id").agg(
         F.array_distinct(F.flatten(F.collect_list("after"))).alias("after"), F.collect_set("shard").alias("shards"),
     )
-    return shards.join(united, "id").groupBy("shard").applyInPandas(search, "id long, links long, root long")
+    found = shards.join(united, "id").groupBy("shard").applyInPandas(search, "id long, links long, root long")
+    return found.unionByName(_block_search(dense, united.select("id", "shards"), s))
 
 
 def _true_links(classes: DataFrame, s: Settings) -> DataFrame:
@@ -373,7 +473,7 @@ def near_duplicates(
     classes = cut(classes, "vector-classes")
     expected = cut(_true_links(classes, s), "vector-audit")
     for attempt in range(s.attempts):
-        found = cut(_search(_shards(classes, s), s), "vector-links")
+        found = cut(_search(*_shards(classes, s), s), "vector-links")
         links = found.groupBy("id").agg(F.sum("links").alias("links"))
         seen = expected.join(links, "id").agg(
             F.coalesce(F.sum(F.least("links", "expected")), F.lit(0)).alias("links"),

@@ -143,6 +143,47 @@ def test_vectors_in_many_shards(spark):
     check_vectors(got, [r[:3] for r in rows])
 
 
+def dense_group(n, far, spread=0.12, dims=24):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=dims) + rng.normal(size=(n, dims)) * spread
+    x = np.vstack([x, rng.normal(size=(far, dims))])
+    return [(i, x[i].astype(np.float32).tolist(), 0, 0, "x") for i in rng.permutation(n + far).tolist()]
+
+
+def test_vectors_dense_group_is_not_multiplied(spark):
+    rows = dense_group(640, 200)
+    s = vectors.Settings(shard=40, recall=1.0, audit=840)
+    df = spark.createDataFrame(rows, VECTORS)
+    classes = vectors._classes(df, "vec_id", "embedding", "label")[1]
+    small, dense = vectors._shards(classes, s)
+    assert small.count() + dense.count() < 5 * len(rows)
+    assert max(r["count"] for r in small.groupBy("shard").count().collect()) <= 2 * s.shard
+    assert dense.count() >= 640 and dense.agg({"blocks": "min"}).first()[0] > 1
+    check_vectors(vectors.near_duplicates(df, s), [r[:3] for r in rows])
+
+
+def test_vectors_one_dense_group(spark):
+    rows = dense_group(500, 0, 0.25)
+    s = vectors.Settings(shard=40, recall=1.0, audit=500)
+    check_vectors(vectors.near_duplicates(spark.createDataFrame(rows, VECTORS), s), [r[:3] for r in rows])
+
+
+def test_block_links_leave_pairs_of_earlier_shards():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=6) + rng.normal(size=(700, 6)) * 0.3
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    n, held = rng.integers(1, 4, 700), (rng.random((700, 2)) < 0.3).astype(float)
+    near = (x @ x.T >= 0.93) & ~np.eye(700, dtype=bool)
+    want = (near & (held @ held.T == 0)) @ n
+    to_x, to_y, root = vectors.block_links(x, x, n, n, (held, held), 0.93, True)
+    assert (to_x + to_y == want).all()
+    a, b = slice(0, 300), slice(300, 700)
+    mine = [vectors.block_links(x[p], x[p], n[p], n[p], (held[p], held[p]), 0.93, True) for p in (a, b)]
+    cross_a, cross_b, _ = vectors.block_links(x[a], x[b], n[a], n[b], (held[a], held[b]), 0.93, False)
+    assert (np.concatenate([mine[0][0] + mine[0][1] + cross_a, mine[1][0] + mine[1][1] + cross_b]) == want).all()
+    assert (root == vectors._roots(700, np.argwhere(near))).all()
+
+
 def test_vectors_odd(spark):
     one = [1.0, 2.0, 2.0]
     rows = [
