@@ -128,5 +128,24 @@ def test_chat_blocks_and_repeated_turns(spark):
     assert not PYTHON.search(plan_of(chat.render(spark.createDataFrame(rows, TURNS))))
 
 
+def test_chat_blocks_by_place_where_turn_numbers_repeat(spark):
+    rows = [(None, i % 5, "user", f"t{i * 7 % 401}", "x", 0) for i in range(1200)]
+    rows += [(None, None, "user", f"n{i}", "x", 0) for i in range(150)] + [(1, 3, "user", "same", "x", 0)] * 300
+    rows += [(2, 3, "user", "same", "x", 0)] * 100 + [(3, 3, "user", "same", "x", 0)] * 100 + [(3, 4, None, "z", "x", 0)]
+    rows += [(4, 10**6 * i, "user", f"g{i}", "x", 0) for i in range(3)] + [(5, None, "user", f"n{i}", "x", 0) for i in range(64)]
+    df = spark.createDataFrame(rows, TURNS).repartition(5)
+    got = chat.render(df, block=64).orderBy("conv_id", "part").collect()
+    assert {r.conv_id for r in got} == {None, 1, 3, 4, 5}
+    for conv in (None, 1, 3, 4, 5):
+        mine = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3]))
+        parts = [r for r in got if r.conv_id == conv]
+        assert "".join(r.text for r in parts) == "".join(
+            f"<|im_start|>{r[2] or 'unknown'}\n{r[3]}<|im_end|>\n" for r in mine)
+        assert {(r.n_turns, r.n_copies) for r in parts} == {(len(mine), 1)}
+        assert max(r.text.count("<|im_start|>") for r in parts) <= 64
+    assert [r.part for r in got if r.conv_id is None] == [None, -2, -1, *range(19)]
+    assert [r.part for r in got if r.conv_id == 4] == [0]
+
+
 def test_chat_no_rows(spark):
     assert chat.render(spark.createDataFrame([], TURNS)).count() == 0
