@@ -237,11 +237,14 @@ def convert(spark: SparkSession, arcs: str, warcs: str, least: int = 1000) -> Da
     """Convert the ARC files of a folder to WARC files; returns ``path, records`` per file.
 
     Of equal bodies of at least ``least`` bytes the record with the greatest date, then the greatest
-    name by number where it ends in one, is the response.
+    name by number where it ends in one of up to 38 digits, is the response. A sign counts after ``#page=``.
     """
     index = cut(arc_index(spark, arcs), "arc-index")
-    order = F.struct("date", F.regexp_extract(F.coalesce("url", F.lit("")), r"(\d{1,18})$", 1).try_cast("long")
-                     .alias("number"), F.col("url").alias("url"))
+    number = [
+        F.regexp_extract(F.coalesce("url", F.lit("")), end, 1).try_cast("decimal(38,0)")
+        for end in (r"#page=(-?\d+)$", r"(\d+)$")
+    ]
+    order = F.struct("date", F.coalesce(*number).alias("number"), F.col("url").alias("url"))
     long = index.filter(F.col("length") >= least)
     first = long.groupBy("digest", "second", "length").agg(F.max(order).alias("kept"))
     found = long.join(first, ["digest", "second", "length"]).filter(~F.struct("date", "url").eqNullSafe(

@@ -48,6 +48,14 @@ def test_pages(spark, version):
             assert r.block == b""
 
 
+@pytest.mark.parametrize("ids", [(9 * 10**18 + 1, 2 * 10**18 - 1, 5), (-7, 3, -2**63), (-9, -4, None), (2**63 - 1, -(2**63), 10**18)])
+def test_page_of_greatest_id_keeps_the_body(spark, ids):
+    got = warc.page_records(pages(spark, [(i, "http://a", "b" * 1500) for i in ids])).collect()
+    most = max(i for i in ids if i is not None)
+    assert {(r.id, r.type, r.refers_to) for r in got} == {
+        (i, "response", None) if i == most else (i, "revisit", most) for i in ids}
+
+
 def test_no_rows(spark):
     assert warc.page_records(pages(spark, [])).count() == 0
 
