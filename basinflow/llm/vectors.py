@@ -12,8 +12,9 @@ Vectors are linked when their labels are equal and the cosine reaches the thresh
 5. In each shard, every vector searches from the medoid and from its own place, greedily with a beam; then
    the search expands every vector within range of the threshold until none is left. Links are verified by their cosine.
    A pair that shares several shards is counted in the first of them.
-6. A bounded sample of vectors is compared with all vectors; if links are missing beyond ``recall``, the
-   job repeats with wider overlap and beam, and fails if that leaves it below ``floor``.
+6. A bounded sample of vectors, spread over groups of all sizes, is compared with all vectors. Recall is the mean
+   over the sampled vectors of the share of their links that was found, so small groups count like large ones.
+   Below ``recall`` the job repeats with wider overlap and beam, and fails if the last attempt is below ``floor``.
 7. Each shard passes on a spanning forest of its links; large-star and small-star make components.
 
 A shard is divided only if its parts together hold fewer pairs than it does. A dense group, whose vectors
@@ -45,7 +46,8 @@ from basinflow.session import cut, ship_package
 @dataclasses.dataclass(frozen=True)
 class Settings:
     """``shard`` is the size shards are cut down to, ``fit_rows`` the sample of a shard that centroids are
-    fitted to, ``overlap`` an angle in radians, ``audit`` the number of vectors that recall is measured on."""
+    fitted to, ``overlap`` an angle in radians, ``audit`` the number of vectors, or up
+    to twice as many, that recall is measured on."""
 
     threshold: float = 0.93
     shard: int = 1_000
@@ -440,9 +442,31 @@ def _search(shards: DataFrame, dense: DataFrame, s: Settings) -> DataFrame:
     return found.unionByName(_block_search(dense, united.select("id", "shards"), s))
 
 
-def _true_links(classes: DataFrame, s: Settings) -> DataFrame:
+def _audited(classes: DataFrame, links: DataFrame, s: Settings) -> list:
+    """A bounded sample of classes, as even as can be over powers of two of the links found; none is one of them."""
+    found = F.coalesce(F.col("links"), F.lit(0))
+    size = F.when(found > 0, F.floor(F.log2(found))).otherwise(-1).cast("int")
+    sized = classes.join(links, "id", "left").withColumn("size", size)
+    counts = {r["size"]: r["n"] for r in sized.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most 64
+    left, share = s.audit, {}
+    for place, (power, n) in enumerate(sorted(counts.items(), key=lambda c: c[1])):
+        share[power] = max(1, min(n, left // (len(counts) - place)))
+        left -= share[power]
+    taken = F.lit(False)
+    for power, n in counts.items():
+        taken |= (F.col("size") == power) & (F.pmod(F.xxhash64("id", F.lit(4)), F.lit(n // share[power])) == 0)
+    return sized.filter(taken).select("id", "label", "v").collect()  # about twice ``audit`` at most
+
+
+def _recall(expected: DataFrame, links: DataFrame) -> float:
+    """Mean over the classes that should have links of the share found."""
+    share = F.least(F.coalesce("links", F.lit(0)), "expected") / F.col("expected")
+    seen = expected.filter("expected > 0").join(links, "id", "left").agg(F.avg(share)).first()[0]
+    return 1.0 if seen is None else seen
+
+
+def _true_links(classes: DataFrame, sample: list, s: Settings) -> DataFrame:
     """``id, expected`` for a bounded sample of classes, by comparing them with all classes."""
-    sample = classes.orderBy(F.xxhash64("id"), "id").limit(s.audit).collect()  # bounded by ``audit``
     ids = np.array([r["id"] for r in sample], np.int64)
     labels, held = [r["label"] for r in sample], [np.array(r["v"]) / np.linalg.norm(r["v"]) for r in sample]
 
@@ -471,20 +495,16 @@ def near_duplicates(
     ship_package(vectors.sparkSession)
     rows, classes = _classes(vectors, id_col, vector_col, label_col)
     classes = cut(classes, "vector-classes")
-    expected = cut(_true_links(classes, s), "vector-audit")
     for attempt in range(s.attempts):
         found = cut(_search(*_shards(classes, s), s), "vector-links")
         links = found.groupBy("id").agg(F.sum("links").alias("links"))
-        seen = expected.join(links, "id").agg(
-            F.coalesce(F.sum(F.least("links", "expected")), F.lit(0)).alias("links"),
-            F.coalesce(F.sum("expected"), F.lit(0)).alias("expected"),
-        ).first()
-        if seen["links"] >= s.recall * seen["expected"]:
+        recall = _recall(_true_links(classes, _audited(classes, links, s), s), links)
+        if recall >= s.recall:
             break
         if attempt + 1 == s.attempts:
-            if seen["links"] >= s.floor * seen["expected"]:
+            if recall >= s.floor:
                 break
-            raise RuntimeError(f"recall {seen['links']} of {seen['expected']} links is below {s.floor}")
+            raise RuntimeError(f"recall {recall} is below {s.floor}")
         s = dataclasses.replace(s, overlap=2 * s.overlap, beam=2 * s.beam, near=2 * s.near)
     named = components(found.select("id", "root"), "id", "root")
     named = named.withColumnRenamed("id", "class_id")

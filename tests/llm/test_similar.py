@@ -184,6 +184,23 @@ def test_block_links_leave_pairs_of_earlier_shards():
     assert (root == vectors._roots(700, np.argwhere(near))).all()
 
 
+def test_recall_counts_vectors_of_small_groups(spark):
+    expected = spark.createDataFrame([(i, 5000 if i < 3 else 1 if i < 6 else 0) for i in range(8)], "id long, expected long")
+    links = spark.createDataFrame([(i, 5000 if i < 3 else 0) for i in range(8)], "id long, links long")
+    assert vectors._recall(expected, links) == 0.5
+    assert vectors._recall(expected.filter("expected = 0"), links) == 1
+
+
+def test_audit_takes_groups_of_all_sizes(spark):
+    rows = [(i, 900 if i < 2000 else 2 if i < 2010 else 0) for i in range(3000)]
+    links = spark.createDataFrame(rows, "id long, links long")
+    classes = links.selectExpr("id", "0 AS label", "array(1.0D) AS v")
+    ids = [r.id for r in vectors._audited(classes, links, vectors.Settings(audit=60))]
+    large, none = sum(i < 2000 for i in ids), sum(i >= 2010 for i in ids)
+    assert set(range(2000, 2010)) <= set(ids) and 5 < large < 80 and 5 < none < 80
+    assert len(vectors._audited(classes, links, vectors.Settings(audit=3000))) == 3000
+
+
 def test_vectors_odd(spark):
     one = [1.0, 2.0, 2.0]
     rows = [
