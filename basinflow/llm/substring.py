@@ -1,10 +1,10 @@
-"""Substring dedup with suffix trees, partitioned by prefixes of varying length.
+"""Substring dedup with suffixes in groups, partitioned by prefixes of varying length.
 
 A window is ``window`` consecutive words of one document. Words covered by a window that also starts in
 a document with a smaller id are removed; windows are judged on the input, not on what is left.
 
 1. Texts with equal words are taken once, with their least id; larger ids lose all their windows.
-2. Suffixes without a partner hang in the tree as single leaves. To leave them out early, each window
+2. Suffixes without a partner would be single leaves of a suffix tree. To leave them out early, each window
    names an anchor, the run of ``anchor`` words in it with the least hash; equal windows name equal
    anchors. Only suffixes near an anchor that occurs in two texts go on. Anchors are gathered by hash in
    parts of bounded size; a task sends an anchor once, however often it met it.
@@ -14,9 +14,9 @@ a document with a smaller id are removed; windows are judged on the input, not o
    sample only decides how even the groups are.
 4. Within a task, equal suffixes are combined first: all but the least id are covered there and then, so
    a passage that a third of all documents share reaches its group as one leaf per task.
-5. Each group is sorted; common prefixes of neighbours give the suffix tree's inner nodes. The topmost
-   node at a depth of ``window`` words above a leaf is its repeat: leaves with an id above the node's least
-   id are covered.
+5. Each group is sorted; a run of equal neighbours is a node of the suffix tree at the depth of ``window``
+   words. Only this level is made: common-prefix lengths, other inner nodes and maximal repeats are not, as
+   they would cover the same windows. Leaves with an id above the node's least id are covered.
 
 Defined results: null and empty texts have no words; texts shorter than a window lose nothing. Ids are
 integers; a null id counts as larger than all others, and rows that share an id are not smaller than
