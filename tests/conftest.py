@@ -1,5 +1,3 @@
-import contextlib
-import io
 import os
 import sys
 
@@ -44,16 +42,3 @@ def broadcasts(spark):
     yield to
     spark.conf.set(names[0], before)
     spark.conf.unset(names[1])
-
-
-def rows(df, *order):
-    """Rows as sorted tuples."""
-    return sorted(tuple(r) for r in df.select(*(order or df.columns)).collect())
-
-
-def plan_of(df):
-    """The formatted physical plan as text."""
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()

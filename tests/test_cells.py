@@ -9,7 +9,7 @@ from basinflow.functions.crs import meshgrid, with_lonlat
 from basinflow.functions.gridindex import IndexBounds
 from basinflow.operators import attrs as A
 from basinflow.operators import cells as C
-from conftest import plan_of, rows
+from support import plan_of, rows
 
 T0 = datetime(2024, 1, 1)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from basinflow import schemas
 from basinflow.functions.gridindex import Grid
 from basinflow.operators import clip as P
-from conftest import plan_of, rows
+from support import plan_of, rows
 from test_cells import blocks
 
 

@@ -11,7 +11,7 @@ from basinflow.functions.gridindex import (
     corner_lonlat, flip_row, geotransform,
 )
 from basinflow.sources.sinks import bounds_lines, write_bounds
-from conftest import plan_of, rows
+from support import plan_of, rows
 
 NATIONAL = Grid(xmin=-2304000.0, ymax=1920000.0, res=1000.0, ncol=4608, nrow=3840)
 SOUTH, NORTH = 382582.18746, 367584.87840

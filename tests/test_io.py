@@ -15,7 +15,7 @@ from basinflow.session import cut, scratch_path, shared_dir
 from basinflow.sources import geojson, manifest, netcdf, sinks, tables
 from basinflow.sources.manifest import list_forcing, year_manifest
 from basinflow.streaming.clip import stream_chunks, stream_clip
-from conftest import plan_of, rows
+from support import plan_of, rows
 from test_cells import T0, blocks
 from test_clip import concave, inside
 

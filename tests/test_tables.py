@@ -17,7 +17,7 @@ from basinflow.operators.cluster import clustered, with_zorder
 from basinflow.operators.metadata import (
     describe_cells, describe_chunks, describe_table, metadata_documents,
 )
-from conftest import rows
+from support import rows
 from test_cells import blocks
 
 T0 = datetime(2010, 1, 1)
