@@ -6,9 +6,9 @@ from collections import defaultdict
 
 import pytest
 from odd import empty_docs, odd_docs, odd_rows
+from support import plan_of
 
 from basinflow.llm import chat, exact, mixing
-from tests.conftest import plan_of
 
 PYTHON = re.compile("EvalPython|InPandas|InArrow")
 
