@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import bpe, chat, exact, minhash, mixing, quality, substring, toxicity, vectors, warc
+from basinflow.llm import bpe, chat, decontamination, exact, minhash, mixing, quality, substring, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -231,3 +231,35 @@ FROM c LEFT JOIN n ON n.a = c.id
 def op3_vectors(spark, sf):
     """Every vector with the number of its near copies and the group they make."""
     return vectors.near_duplicates(table(spark, sf, "embeddings"))
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, {_TERMS.format("text")} AS ws FROM documents),
+b AS (SELECT item_id, {_TERMS.format("text")} AS ws FROM benchmark),
+i AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS k, array_to_string(ws[p:p + 9], ' ') AS g
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS p FROM b WHERE len(ws) > 0)),
+l AS (SELECT DISTINCT k FROM i),
+g AS (
+  SELECT doc_id, k, p, array_to_string(ws[p:p + k - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM d JOIN l ON len(ws) >= k)),
+m AS (SELECT DISTINCT doc_id, g.k, p, item_id FROM g JOIN i ON g.k = i.k AND g.g = i.g),
+c AS (SELECT doc_id, count(DISTINCT p + o) AS n
+      FROM (SELECT doc_id, p, unnest(range(k)) AS o FROM m) GROUP BY doc_id),
+s AS (SELECT doc_id, list(DISTINCT item_id::VARCHAR) AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit,
+  len(coalesce(items, []))::BIGINT AS n_items,
+  sha256(array_to_string(list_sort(coalesce(items, [])), ',')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id
+""")
+def op11_decontamination(spark, sf):
+    """Every document with the words it shares with benchmark items and the items they come from."""
+    found = decontamination.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
