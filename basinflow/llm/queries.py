@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import bpe, chat, decontamination, exact, minhash, mixing, quality, substring, toxicity, vectors, warc
+from basinflow.llm import (
+    bpe, chat, decontamination, exact, minhash, mixing, quality, ranked, substring, toxicity, vectors, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -263,3 +265,26 @@ def op11_decontamination(spark, sf):
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query(rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format("text")} AS ws FROM documents),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d WHERE len(ws) > 0),
+p AS (SELECT r, doc_id, n, t, count(*)::BIGINT AS tf
+      FROM (SELECT r, doc_id, len(ws)::BIGINT AS n, unnest(ws) AS t FROM d) GROUP BY r, doc_id, n, t),
+f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, c),
+q AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_TERMS.format("text")}) AS t FROM benchmark)),
+s AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT
+    AS score
+  FROM q JOIN w USING (t) JOIN p USING (t), c GROUP BY item_id, r, doc_id),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank,
+             doc_id, score FROM s WHERE score > 0)
+SELECT * FROM k WHERE rank <= 50
+""")
+def op13_ranked(spark, sf):
+    """The fifty best documents for each benchmark item."""
+    return ranked.best(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select(
+        F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score"
+    )

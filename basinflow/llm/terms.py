@@ -83,19 +83,23 @@ def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(k)[i].as_py() for k, name in enumerate(names)}
 
 
-def with_blocks(index: DataFrame, blocks: DataFrame, salts: int = 64) -> DataFrame:
+def with_blocks(index: DataFrame, blocks: DataFrame, most: int = 8_000_000, salts: int = 64) -> DataFrame:
     """Every row of ``index`` (with a long ``shard``) next to every row of ``blocks`` (with ``block`` from 0).
 
-    Blocks of a stated query set meet all shards. Each block is repeated once per salt and shards are dealt
-    over the salts, so no block draws all shards to one task.
+    Blocks of a stated query set meet all shards. They are broadcast if measured to hold ``most`` bytes or fewer.
+    Beyond that each block is repeated once per salt and shards are dealt over the salts, so that no block draws all
+    shards to one task.
     """
-    n = blocks.count()
-    dealt = index.withColumns({
-        "block": F.explode(F.sequence(F.lit(0), F.lit(n - 1)) if n else F.array().cast("array<int>")),
-        "salt": F.pmod(F.xxhash64("shard"), F.lit(salts)).cast("int"),
-    })
+    n, size = blocks.agg(
+        F.coalesce(F.max("block") + 1, F.lit(0)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    ).first()
+    each = F.explode(F.sequence(F.lit(0), F.lit(n - 1)) if n else F.array().cast("array<int>"))
+    dealt = index.withColumn("block", each)
+    if size <= most:
+        return dealt.join(F.broadcast(blocks), "block")
+    dealt = dealt.withColumn("salt", F.pmod(F.xxhash64("shard"), F.lit(salts)).cast("int"))
     copies = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies, ["block", "salt"])
+    return dealt.join(copies.hint("merge"), ["block", "salt"])
 
 
 def in_blocks(entries: DataFrame, size: int, *key: str) -> DataFrame:
