@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinflow.llm import (
-    bpe, chat, decontamination, exact, minhash, mixing, quality, ranked, substring, toxicity, vectors, warc,
+    alignment, bpe, chat, decontamination, exact, minhash, mixing, quality, ranked, substring, toxicity, vectors, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_vocabulary() -> str:
+    """The file of the public sentencepiece model."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows that labels are never learned from; a null id is in no fold."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
@@ -288,3 +295,12 @@ def op13_ranked(spark, sf):
     return ranked.best(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select(
         F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score"
     )
+
+
+@query()
+def op12_alignment(spark, sf):
+    """Every document's alignment of the tokens of two tokenizers, with corpus-wide counts of the pairs linked."""
+    found = alignment.per_document(table(spark, sf, "documents"), vocabulary(), piece_vocabulary())
+    return found.select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )

@@ -112,7 +112,7 @@ def test_report_equals_brute_force(spark, form):
     want = brute(docs, items)
     got = told(dec.report(frame, spark.createDataFrame(items, ITEMS), form))
     assert got == want
-    assert {w[2] for w in want} > {0, 10, 12, 25, 300}
+    assert {w[2] for w in want} > {0, 10, 16, 25, 300}
 
 
 def test_other_windows(spark):
@@ -132,7 +132,7 @@ def test_clean_cuts_spans_only(spark):
     left = {(r.doc_id, r.text) for r in out.collect()}
     base = prose(5, 40)
     assert (100, base) in left and (101, f"{base}  {base}") in left and (102, "") in left and (104, " ") in left
-    assert (103, "so: . ") in left and (105, " x ") in left and (None, "") in left
+    assert (103, "so: ") in left and (105, " x ") in left and (None, "") in left
     assert all(not n for _, _, n, _ in brute([(d, t) for d, t in left], items))
 
 
