@@ -45,7 +45,7 @@ from basinflow.session import cut, ship_package
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
-    chunk_bytes: int = 16_000_000
+    chunk_bytes: int = 6_000_000
     part_bytes: int = 256_000_000  # of text per part of the pairs
     fan: int = 64
 
@@ -54,6 +54,8 @@ class Settings:
 BLANK = "\t-\r\x1c-\x20\x85\xa0  -     　▁"
 CUT = re.compile(f"(?<=[^{BLANK}]) (?=[^{BLANK}])")
 TOUCHING = f"^$|^[{BLANK}]|[{BLANK}]$"
+# Fixed value: how byte-level vocabularies of this kind cut texts into words.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LINE = 8_000
 
 
@@ -63,15 +65,23 @@ class Tokenizers:
     def __init__(self, a: bytes, b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a.decode())
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
+        file = json.loads(a)
         own = _byte_chars()
-        words = {i: t for t, i in json.loads(a)["model"]["vocab"].items()}
+        words = {i: t for t, i in file["model"]["vocab"].items()}
+        self.ranks = _ranks(file, own)
+        if self.ranks:
+            import tiktoken
+
+            self.a = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=self.ranks, special_tokens={})
+        else:
+            from tokenizers import Tokenizer
+
+            self.a = Tokenizer.from_str(a.decode())
+            self.a.no_truncation()
+            self.a.no_padding()
+            self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         self.bytes_a = [bytes(own[c] for c in words.get(i, "") if c in own) for i in range(max(words) + 1)]
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.cuts = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(len(self.bytes_b)))
@@ -84,8 +94,23 @@ class Tokenizers:
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of texts with a space in front: A adds it, B does so by itself."""
-        a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        return [x.ids for x in a], self.b.encode(texts, num_threads=1)
+        if self.ranks:
+            a = [self.a.encode_ordinary(" " + t) for t in texts]
+        else:
+            a = [x.ids for x in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        return a, self.b.encode(texts, num_threads=1)
+
+
+def _ranks(file: dict, own: dict[str, int]) -> dict[bytes, int] | None:
+    """Bytes of A's tokens with their ids, if the file asks for nothing but merges in the order of their ids."""
+    vocabulary, merges = file["model"]["vocab"], file["model"]["merges"]
+    ids = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    cuts = file["pre_tokenizer"] or {}
+    if file["normalizer"] or {k: cuts.get(k) for k in plain} != plain or ids != sorted(ids):
+        return None
+    special = {x["id"] for x in file.get("added_tokens") or []}
+    return {bytes(own[c] for c in t): i for t, i in vocabulary.items() if i not in special}
 
 
 def _byte_chars() -> dict[str, int]:
@@ -164,8 +189,8 @@ def align(words: list[str], alone: int, t: Tokenizers) -> Aligned:
             line, length = [], 0
     lines += [line] if line else []
     done = 0
-    for start in range(0, len(lines), 200):
-        some = lines[start : start + 200]
+    for start in range(0, len(lines), 50):
+        some = lines[start : start + 50]
         for line, a, b in zip(some, *t.encode([" ".join([words[i] for i in x]) for x in some])):
             whole = " " + " ".join([words[i] for i in line])
             tries = [(line, a, b)]
@@ -441,10 +466,12 @@ def _second_pass(a: bytes, b: bytes, with_groups: bool):
                 "count_sum": _sums(np.where(known, sums[at], 0), x.n_links),
             }
             out = {k: chunk.per_doc(v) for k, v in per_word.items()}
-            texts = list(chunk.groups())
-            digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
-            columns = [pa.array(row["ids"], pa.int64()), *map(pa.array, out.values()), pa.array(digests)]
-            columns.append(pa.array(texts) if with_groups else pa.nulls(len(texts), pa.string()))
+            digests, texts = [], []
+            for text in chunk.groups():
+                digests.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+                texts.append(text if with_groups else None)
+            columns = [pa.array(row["ids"], pa.int64()), *map(pa.array, out.values()), pa.array(digests, pa.string())]
+            columns.append(pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays(columns, schema=DOCS_ARROW)
 
     return run
