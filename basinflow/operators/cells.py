@@ -117,11 +117,22 @@ def hyperslab(
             (F.col("y0") > bounds.jmin - max_chunk[0]) & (F.col("x0") > bounds.imin - max_chunk[1])
         )
     kept = kept.filter(_overlaps(bounds, imax, jmax))
+    shift = (F.lit(bounds.jmin - 1), F.lit(bounds.imin - 1)) if reorigin else None
+    done = cut_blocks(kept, F.lit(bounds.imin), imax, F.lit(bounds.jmin), jmax, shift)
+    return done.select(*chunks.columns)
+
+
+def cut_blocks(
+    blocks: DataFrame, imin: Column, imax: Column, jmin: Column, jmax: Column,
+    shift: tuple[Column, Column] | None = None,
+) -> DataFrame:
+    """Blocks cut to ranges that they overlap, all further columns kept; ``shift`` ``(rows, columns)`` is subtracted
+    from their origins."""
     # every new name gets its own step: a name assigned and read in one step could mean either
-    cut = kept.withColumns({
-        "_j0": F.greatest("y0", F.lit(bounds.jmin)),
+    cut = blocks.withColumns({
+        "_j0": F.greatest("y0", jmin),
         "_j1": F.least(F.col("y0") + F.col("ny") - 1, jmax),
-        "_i0": F.greatest("x0", F.lit(bounds.imin)),
+        "_i0": F.greatest("x0", imin),
         "_i1": F.least(F.col("x0") + F.col("nx") - 1, imax),
     })
     width = F.col("_i1") - F.col("_i0") + 1
@@ -129,17 +140,18 @@ def hyperslab(
         F.sequence("_j0", "_j1"),
         lambda j: F.slice(
             F.col("data"),
-            (j - F.col("y0")) * F.col("nx") + F.col("_i0") - F.col("x0") + 1,
-            width,
+            ((j - F.col("y0")) * F.col("nx") + F.col("_i0") - F.col("x0") + 1).cast("int"),
+            width.cast("int"),
         ),
     )
-    shift_j, shift_i = (bounds.jmin - 1, bounds.imin - 1) if reorigin else (0, 0)
+    rows_off, columns_off = shift or (F.lit(0), F.lit(0))
     cut = cut.withColumn("_data", F.flatten(rows))
     layout = {
-        "y0": F.col("_j0") - shift_j, "x0": F.col("_i0") - shift_i,
+        "y0": F.col("_j0") - rows_off, "x0": F.col("_i0") - columns_off,
         "ny": F.col("_j1") - F.col("_j0") + 1, "nx": width, "data": F.col("_data"),
     }
-    return cut.select(*[layout[c].alias(c) if c in layout else c for c in chunks.columns])
+    kinds = dict(blocks.dtypes)
+    return cut.select(*[layout[c].cast(kinds[c]).alias(c) if c in layout else c for c in blocks.columns])
 
 
 def clip_forcing(

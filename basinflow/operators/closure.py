@@ -86,12 +86,12 @@ def _first_start_below(pointers: DataFrame, starts: DataFrame) -> DataFrame:
 def upstream(links: DataFrame, starts: DataFrame) -> DataFrame:
     """Links draining to any of ``starts(link)``, the starts included, as ``(link)``.
 
-    Where links divide, the closure goes level by level instead.
+    Where links divide, their graph is contracted first (``upstream_dividing``).
     """
     pointers, single = _single(links)
     if single:
         return _first_start_below(pointers, starts).select("link")
-    return upstream_any(links.select("link", "to").distinct(), starts)
+    return upstream_dividing(links, starts)
 
 
 def downstream(links: DataFrame, starts: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def downstream(links: DataFrame, starts: DataFrame) -> DataFrame:
     pointers, single = _single(links)
     if not single:
         turned = links.select(F.col("to").alias("link"), F.col("link").alias("to")).distinct()
-        found = upstream_any(turned, starts)
+        found = upstream_dividing(turned, starts)
         return found.join(links.select("link").distinct(), "link", "left_semi")
     pointers = pointers.filter("jump IS NOT NULL")
     ways, found = Rounds(links.sparkSession, "paths"), Rounds(links.sparkSession, "reached")
@@ -127,6 +127,44 @@ def downstream(links: DataFrame, starts: DataFrame) -> DataFrame:
     return reached.join(links.select("link").distinct(), "link", "left_semi")
 
 
+def _ways(edges: DataFrame) -> DataFrame:
+    """``edges(link, to)`` with ``ways``, the number of different links that the link drains to."""
+    return edges.join(edges.groupBy("link").agg(F.count("*").alias("ways")), "link")
+
+
+def upstream_dividing(links: DataFrame, starts: DataFrame) -> DataFrame:
+    """Upstream closure where a link may drain to several others, as ``(link)``.
+
+    A link with one way down is above a start exactly if the next start or dividing link on its way is, so it is
+    contracted to that one in a logarithmic number of rounds. What is left are dividing links and the ways between
+    them. Ways that meet again, as around an island, have become one; so the links that now have one way are
+    contracted too, until every link left divides. Only these are closed level by level. Then each contraction
+    is undone: a link is in the closure if the one it was contracted to is. Jobs grow with the depth of what cannot be
+    contracted, not with the length of the network. Circles end: a link that only runs in circles is above no start.
+    """
+    marks = cut(starts.select("link").distinct(), "starts")
+    to = F.col("to")
+    edges = links.filter((to.cast("string") != "0") & (to != F.col("link"))).select("link", "to").distinct()
+    edges = cut(_ways(edges.join(marks, "link", "left_anti")), "ways")
+    contracted: list[DataFrame] = []
+    while True:
+        divided = edges.filter("ways > 1").select("link").distinct()
+        if edges.filter("ways = 1").isEmpty():
+            break
+        pointers = edges.filter("ways = 1").select("link", F.col("to").alias("jump"))
+        ends = marks.unionByName(divided).distinct()
+        labels = cut(_first_start_below(pointers, ends), "contracted")
+        contracted.append(labels)
+        there = labels.select(F.col("link").alias("to"), F.col("first_start").alias("_end"))
+        left = edges.filter("ways > 1").join(there, "to").select("link", F.col("_end").alias("to"))
+        edges = cut(_ways(left.filter(F.col("to") != F.col("link")).distinct()), "ways")
+    found = upstream_any(edges.select("link", "to"), marks)
+    for labels in reversed(contracted):
+        above = labels.join(found.select(F.col("link").alias("first_start")), "first_start", "left_semi")
+        found = cut(above.select("link").unionByName(found).distinct(), "closed")
+    return found
+
+
 def upstream_any(edges: DataFrame, starts: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Upstream closure where a link may drain to several others: one round per level.
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as PT
 
 from basinflow.functions import crs, gridindex
 from basinflow.functions.gridindex import IndexBounds
+from basinflow.operators import boxes as B
 from basinflow.operators import cells as C
 from basinflow.operators import clip as P
 from basinflow.operators import pyramid as PY
@@ -163,6 +164,27 @@ def hyperslab_stag(spark: SparkSession, sf: str) -> DataFrame:
     return as_double(C.explode_cells(slab)).drop("stag_x", "stag_y")
 
 
+@query(with_views("chunks cells vertices", """
+    , boxes AS (
+        SELECT s_suppkey AS box, floor(cx - r) AS imin, floor(cx + r) AS imax, floor(cy - r / 2) AS jmin,
+               floor(cy + r / 2) AS jmax FROM shape)
+    SELECT CAST(box AS BIGINT) AS box, var, time, CAST(j - (jmin - 1) AS INTEGER) AS j,
+           CAST(i - (imin - 1) AS INTEGER) AS i, value
+    FROM cells JOIN boxes ON i BETWEEN imin AND imax AND j BETWEEN jmin AND jmax"""))
+def boxes_hyperslab(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of many index ranges in one pass, counted from 1 in each."""
+    shape = V.shapes(spark, sf)
+    boxes = shape.select(
+        F.col("s_suppkey").alias("box"),
+        *[F.floor(v).cast("int").alias(n) for n, v in (
+            ("imin", F.col("cx") - F.col("r")), ("imax", F.col("cx") + F.col("r")),
+            ("jmin", F.col("cy") - F.col("r") / 2), ("jmax", F.col("cy") + F.col("r") / 2),
+        )],
+    )
+    slabs = B.hyperslabs(V.chunks(spark, sf), boxes, V.BLOCK, reorigin=True)
+    return as_double(C.explode_cells(slabs))
+
+
 @query(CLIPPED)
 def forcing_clip(spark: SparkSession, sf: str) -> DataFrame:
     """The index range cut from every forcing file, counted from 1 again."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.operators import closure, network
+from basinflow.operators import boxes, closure, network
 from basinflow.operators.weights import full_basins
 from basinflow.plans import views as V
 from basinflow.plans.catalog import query
@@ -78,6 +78,64 @@ def upstream_levels(spark: SparkSession, sf: str) -> DataFrame:
     return closure.upstream_any(edges, starts(spark, sf))
 
 
+# every fifth link drains to a second one, every seventh to a third
+DIVIDED = """divided AS (
+        SELECT link, "to" FROM links WHERE link <> "to"
+        UNION SELECT link, link // 3 FROM links WHERE link % 5 = 0 AND link > 3
+        UNION SELECT link, link // 2 + 1 FROM links WHERE link % 7 = 0 AND link > 7)"""
+
+
+def divided(spark: SparkSession, sf: str) -> DataFrame:
+    """The links with further ways down for some of them."""
+    links = V.links(spark, sf).select("link", "to")
+    second = links.filter("link % 5 = 0 AND link > 3").select("link", V.div(F.col("link"), 3).alias("to"))
+    third = links.filter("link % 7 = 0 AND link > 7").select("link", (V.div(F.col("link"), 2) + 1).alias("to"))
+    return links.filter("link <> to").union(second).union(third)
+
+
+@query(with_views("links", f""", {DIVIDED},
+    up AS (
+        SELECT s_suppkey + 50 AS link FROM supplier
+        UNION SELECT d.link FROM divided d JOIN up ON d."to" = up.link)
+    SELECT link FROM up""", recursive=True))
+def upstream_dividing(spark: SparkSession, sf: str) -> DataFrame:
+    """All links draining to the start links where flow divides."""
+    return closure.upstream(divided(spark, sf), starts(spark, sf))
+
+
+@query(with_views("links", f""", {DIVIDED},
+    down AS (
+        SELECT link FROM links WHERE link % 97 = 5
+        UNION SELECT d."to" FROM divided d JOIN down ON d.link = down.link)
+    SELECT link FROM down WHERE link IN (SELECT link FROM divided)""", recursive=True))
+def downstream_dividing(spark: SparkSession, sf: str) -> DataFrame:
+    """All links on the ways down from some links where flow divides."""
+    network = divided(spark, sf)
+    return closure.downstream(network, V.links(spark, sf).filter("link % 97 = 5").select("link"))
+
+
+ENVELOPES = """boxes AS (
+        SELECT s_suppkey AS box, -120e0 + s_suppkey * 7 % 45 AS lon_min,
+               -120e0 + s_suppkey * 7 % 45 + CASE WHEN s_suppkey % 10 = 0 THEN 30e0 ELSE 0.9e0 END AS lon_max,
+               25e0 + s_suppkey * 3 % 23 AS lat_min,
+               25e0 + s_suppkey * 3 % 23 + CASE WHEN s_suppkey % 10 = 0 THEN 12e0 ELSE 0.6e0 END AS lat_max
+        FROM supplier)"""
+
+
+@query(with_views("links", f""", {ENVELOPES}
+    SELECT DISTINCT box, link FROM links JOIN boxes
+      ON lon BETWEEN lon_min AND lon_max AND lat BETWEEN lat_min AND lat_max"""))
+def boxes_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Links inside each of many envelopes, small ones and large ones."""
+    k = F.col("s_suppkey")
+    lon, lat = F.lit(-120.0) + k * 7 % 45, F.lit(25.0) + k * 3 % 23
+    envelopes = V.table(spark, sf, "supplier").select(
+        k.alias("box"), lon.alias("lon_min"), (lon + F.when(k % 10 == 0, 30.0).otherwise(0.9)).alias("lon_max"),
+        lat.alias("lat_min"), (lat + F.when(k % 10 == 0, 12.0).otherwise(0.6)).alias("lat_max"),
+    )
+    return boxes.links_in_envelopes(V.links(spark, sf), envelopes)
+
+
 WB_ID, VPU_ID = "wb-9", "100"
 HYDRO = with_views("hydro", f""",
     edges AS (

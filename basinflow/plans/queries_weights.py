@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basinflow.operators import boxes as B
 from basinflow.operators import weights as W
 from basinflow.operators.catchments import configure_catchments
 from basinflow.operators.network import subset_buckets
@@ -44,6 +45,34 @@ def weights_polys(spark: SparkSession, sf: str) -> DataFrame:
     return polys
 
 
+def boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """A rectangle of the weights' index space per supplier; every tenth is large."""
+    k = F.col("s_suppkey")
+    wide, high = F.when(k % 10 == 0, 55).otherwise(15 + k % 9), F.when(k % 10 == 0, 20).otherwise(6 + k % 4)
+    i, j = (k * 11 % 70 + 1).cast("int"), (k * 5 % 20 + 1).cast("int")
+    return V.table(spark, sf, "supplier").select(
+        k.alias("box"), i.alias("imin"), (i + wide).cast("int").alias("imax"),
+        j.alias("jmin"), (j + high).cast("int").alias("jmax"),
+    )
+
+
+@query(with_views("wts", """
+    , boxes AS (
+        SELECT box, imin, imin + CASE WHEN box % 10 = 0 THEN 55 ELSE 15 + box % 9 END AS imax,
+               jmin, jmin + CASE WHEN box % 10 = 0 THEN 20 ELSE 6 + box % 4 END AS jmax
+        FROM (SELECT s_suppkey AS box, s_suppkey * 11 % 70 + 1 AS imin, s_suppkey * 5 % 20 + 1 AS jmin FROM supplier)),
+    hit AS (SELECT * FROM wts JOIN boxes ON i_index BETWEEN imin AND imax AND j_index BETWEEN jmin AND jmax),
+    whole AS (SELECT box, IDmask, sum(weight) AS s FROM hit GROUP BY box, IDmask HAVING sum(weight) > 0.999)
+    SELECT box, i_index - (imin - 1) AS i_index, j_index - (jmin - 1) AS j_index, IDmask,
+           round(weight / s, 9) AS weight, regridweight
+    FROM hit JOIN whole USING (box, IDmask)"""))
+def boxes_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of whole basins of many rectangles in one pass, re-indexed and renormalised in each."""
+    wts, many = V.weights(spark, sf), boxes(spark, sf)
+    rows = B.subset_weights_of_boxes(wts, many, B.full_basins_of_boxes(wts, many))
+    return rows.withColumn("weight", F.round("weight", 9))
+
+
 @query(with_views("wts rect full_basins", """
     SELECT c_custkey AS ComID, row_number() OVER (ORDER BY c_custkey) AS Basin, c_custkey AS ind,
            c_acctbal
