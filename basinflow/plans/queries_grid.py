@@ -12,6 +12,7 @@ from basinflow.operators import boxes as B
 from basinflow.operators import cells as C
 from basinflow.operators import clip as P
 from basinflow.operators import pyramid as PY
+from basinflow.operators import quadtree as Q
 from basinflow.operators.attrs import grid_attrs as rewrite_attrs
 from basinflow.operators.attrs import set_coordinate_attrs, set_crs
 from basinflow.operators.cluster import with_zorder
@@ -429,6 +430,32 @@ def polygon_cells(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(with_views("chunks cells vertices", f"""
+    , chosen AS (SELECT * FROM vertices), {V.SQL["edges"]}
+    SELECT poly_id, j, i FROM inside"""))
+def cover_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of every polygon, unfolded from its quadtree cover."""
+    runs = P.polygon_runs(V.polygons(spark, sf), V.grid_height(spark, sf), V.WIDTH)
+    return Q.cover_cells(Q.quadtree_cover(runs))
+
+
+@query(with_views("chunks cells vertices", f"""
+    , chosen AS (SELECT * FROM vertices), {V.SQL["edges"]},
+    tall AS (SELECT max(j) AS h FROM cells),
+    spots AS (SELECT o_orderkey AS link, CAST(o_orderkey * 3 % h + 1 AS INTEGER) AS j,
+                     CAST(o_custkey % {V.WIDTH} + 1 AS INTEGER) AS i FROM orders, tall)
+    SELECT poly_id, link FROM spots JOIN inside USING (j, i)"""))
+def cover_points(spark: SparkSession, sf: str) -> DataFrame:
+    """The polygons that each link's grid cell lies in, joined by quadtree cell."""
+    height = V.grid_height(spark, sf)
+    cover = Q.quadtree_cover(P.polygon_runs(V.polygons(spark, sf), height, V.WIDTH))
+    spots = V.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("link"), (F.col("o_orderkey") * 3 % height + 1).cast("int").alias("j"),
+        (F.col("o_custkey") % V.WIDTH + 1).cast("int").alias("i"),
+    )
+    return Q.join_cover(spots, cover).select("poly_id", "link")
+
+
 @query(with_views("chunks cells vertices", f"""
     , chosen AS (SELECT * FROM vertices), {V.SQL["edges"]}
     SELECT var, time, j, i, value FROM cells JOIN covered USING (j, i)"""))

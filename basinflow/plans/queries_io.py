@@ -180,6 +180,21 @@ def boundary_read(spark: SparkSession, sf: str) -> DataFrame:
     return geojson.read_polygons(spark, out, "ID", lines=True)
 
 
+# A collection with members beside its features, and text that looks like structure.
+OPENING = r'{"type":"FeatureCollection","name":"a brace } and a \"quote\" {","crs":{"properties":{"name":"x"}},"features":['
+
+
+@query(with_views("vertices", "SELECT poly_id, part, ring, seq, x, y FROM vertices"))
+def boundary_collection(spark: SparkSession, sf: str) -> DataFrame:
+    """The same read from one file that holds all features as one collection, on as many tasks as it has splits."""
+    out = scratch_path(spark, "collection")
+    texts = V.features(spark, sf).select(F.concat(F.lit(","), "value").alias("value"))
+    first = spark.createDataFrame([(0, OPENING + r'{"type":"Note","text":"none: {\\"}'), (2, "]}")], "k int, value string")
+    whole = first.unionByName(texts.select(F.lit(1).alias("k"), "value"))
+    whole.repartition(1).sortWithinPartitions("k").select("value").write.option("lineSep", " ").text(out)
+    return geojson.read_polygons(spark, out, "ID")
+
+
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS poly_id FROM supplier")
 def boundary_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of boundary records: the first attribute as text."""
