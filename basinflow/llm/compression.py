@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,16 +31,16 @@ from basinflow.session import ship_package
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
-    """Bounds and sizes. At most ``learn_docs`` documents per class are learned from, and at most
-    ``sample_chars`` characters of each. Scoring has no such bounds. ``gram_z`` is what a piece of text
-    must reach in samples large enough; small samples ask for less, down to ``least_z``."""
+    """Bounds and sizes. At most ``learn_docs`` documents per class are learned from, and no further one once those
+    taken hold ``learn_bytes``; each is learned from whole. Scoring has no such bounds. ``gram_z`` is what a piece of
+    text must reach in samples large enough; small samples ask for less, down to ``least_z``."""
 
     window_words: int = 24
     level: int = 6
     ordinary_bytes: int = 60_000
     target_bytes: int = 1_024
     learn_docs: int = 1_500
-    sample_chars: int = 20_000
+    learn_bytes: int = 16_000_000
     gram_sizes: tuple[int, ...] = (5, 6, 8)
     gram_z: float = 7.0
     least_z: float = 2.5
@@ -90,7 +91,7 @@ def _telling_pieces(target: list[bytes], ordinary: list[bytes], s: Settings) ->
 
 def _ordinary_content(lines: list[bytes], s: Settings) -> bytes:
     try:
-        trained = zstandard.train_dictionary(s.ordinary_bytes + 2_000, [x[:4_000] for x in lines])
+        trained = zstandard.train_dictionary(s.ordinary_bytes + 2_000, lines)
         return trained.as_bytes()[-s.ordinary_bytes :]
     except zstandard.ZstdError:  # too little text to train on: the text itself
         return b"".join(lines)[-s.ordinary_bytes :]
@@ -213,7 +214,7 @@ def learn(
     """Fit a model to documents with ``label_col`` 0 or 1, ``target`` being the class to detect.
 
     ``usable`` says which rows of ``labels`` may be learned from. Of each class the documents with the
-    smallest hash of their id are taken, up to the bounds of ``settings``; documents with contradictory
+    smallest hash of their id are taken, whole, up to the bounds of ``settings``; documents with contradictory
     labels, and labels without a document, are left out.
     """
     known = (
@@ -226,9 +227,11 @@ def learn(
     chosen = [known.filter(F.col("y") == y).orderBy(*order).limit(settings.learn_docs) for y in (0, 1)]
     # At most 2 * learn_docs short rows: safe to send to every executor.
     sample = F.broadcast(chosen[0].unionByName(chosen[1]))
-    part = F.substring(whole(text_col), 1, settings.sample_chars).alias("text")
-    texts = docs.select(F.col(id_col).alias("id"), part).join(sample, "id")
-    rows = texts.groupBy("id", "y").agg(F.min("text").alias("text")).collect()
+    texts = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).join(sample, "id")
+    texts = texts.groupBy("id", "y").agg(F.min("text").alias("text"))
+    before = W.partitionBy("y").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    taken = F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))
+    rows = texts.withColumn("taken", taken).filter(F.col("taken") < settings.learn_bytes).collect()
     rows.sort(key=lambda r: (hash_order(r["id"]), r["id"]))
     return build(((r["text"], r["y"]) for r in rows), (found.get(0, 0), found.get(1, 0)), settings)
 

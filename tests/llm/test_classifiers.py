@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 from odd import empty_docs, odd_docs, prose
 from pyspark.sql import functions as F
 
@@ -76,9 +77,48 @@ def test_without_labels_the_score_is_the_share(spark, labelled):
 
 def test_learning_is_bounded(spark, labelled):
     docs, labels = labelled
-    bound = compression.Settings(learn_docs=20, sample_chars=200)
+    bound = compression.Settings(learn_docs=20, learn_bytes=4_000)
     model = toxicity.learn(docs, labels, ~held_out(), settings=bound)
     assert len(model.target) <= bound.target_bytes + 8 and len(model.ordinary) <= bound.ordinary_bytes
+    every = toxicity.learn(docs, labels, ~held_out())
+    assert len(model.ordinary) < len(every.ordinary)
+
+
+def test_late_parts_of_long_documents_are_learned(spark):
+    rng = random.Random(2)
+    docs = [(i, prose(i, 6_000) + (f" {' '.join(rng.choices(BAD, k=6))}" if i % 2 else "")) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int")
+    assert min(len(t) for _, t in docs) > 25_000
+    model = toxicity.learn(spark.createDataFrame(docs, "doc_id long, text string"), labels, ~held_out())
+    assert sum(w.encode()[:5] in model.target for w in BAD) >= 3
+    some = spark.createDataFrame([(1, prose(900, 50)), (2, prose(901, 50) + " vermin nitwit rubbish")], "doc_id long, text string")
+    low, high = (r.score for r in toxicity.score(some, model).orderBy("doc_id").collect())
+    assert high > low
+
+
+def test_scores_equal_recomputed_ones(spark, labelled):
+    docs, labels = labelled
+    model = toxicity.learn(docs, labels, ~held_out())
+    kinds = [zstandard.ZstdCompressionDict(x, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+             for x in (model.ordinary, model.target + model.ordinary)]
+    some = docs.limit(40).collect()
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for number, text in some:
+        words = text.encode().split()
+        windows = [b" " + b" ".join(words[i : i + 24]) + b" " for i in range(0, len(words), 24)]
+        sizes = []
+        for held in kinds:
+            held.precompute_compress(level=6)
+            packer = zstandard.ZstdCompressor(
+                level=6, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes.append([len(packer.compress(w)) for w in windows])
+        a, b, n = np.array(sizes[0], float), np.array(sizes[1], float), np.array([len(w) for w in windows], float)
+        saved = sorted(a - b, reverse=True)
+        figures = [saved[0], sum(saved[:3]), 100 * sum(saved) / n.sum(), sum(x >= 3 for x in saved) / max(3, len(n)),
+                   a.sum() / (n.sum() + 1), b.sum() / (n.sum() + 1), np.log1p(len(n)), np.median(a / n)]
+        z = [min(4, max(-4, (f - m) / d)) for f, m, d in zip(figures, model.mean, model.spread)]
+        line = sum(w * x for w, x in zip(model.weights, [*z, *(x * x for x in z), 1]))
+        assert got[number] == pytest.approx(1 / (1 + np.exp(-line)), abs=1e-9)
 
 
 def test_long_texts_are_read_in_pieces():
