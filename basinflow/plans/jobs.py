@@ -14,7 +14,7 @@ from basinflow.functions.crs import NWM_LCC, LambertConformal, reproject_polygon
 from basinflow.functions.gridindex import (
     Grid, IndexBounds, as_bounds, bbox_bounds, buffered_envelope, geotransform,
 )
-from basinflow.functions.timestamps import ntz
+from basinflow.functions.timestamps import HOUR, ntz
 from basinflow.operators import network
 from basinflow.operators.attrs import grid_attrs, set_attrs, set_coordinate_attrs, set_crs
 from basinflow.operators.catchments import configure_catchments
@@ -35,7 +35,7 @@ from basinflow.sources.geojson import read_polygons
 from basinflow.sources.manifest import list_forcing
 from basinflow.sources.netcdf import scan_headers, write_refs
 from basinflow.sources.sinks import (
-    RunLayout, hourly_parts, write_bounds, write_dataset, write_hourly, write_metadata,
+    RunLayout, hourly_parts, replace_hours, write_bounds, write_dataset, write_hourly, write_metadata,
     write_tables, write_weights,
 )
 from basinflow.sources.tables import read_hydrofabric
@@ -119,6 +119,24 @@ def run_forcing_hourly(
     return require_complete(status)
 
 
+def repair_forcing_hourly(
+    spark: SparkSession, out: str, start: datetime, end: datetime, step_hours: int = 10, **parts
+) -> DataFrame:
+    """Cut and write the incomplete groups of an earlier run again, then check all as written.
+
+    Only the hours of groups that lack one are read from the forcing and replaced; files of complete groups are
+    not touched. Nothing is written if every group is complete. Fails if a group still is not.
+    """
+    stored = spark.read.parquet(out)
+    bad = cut(forcing_groups(stored, spark, start, end, step_hours).filter(~F.col("ok")), "incomplete")
+    if not bad.isEmpty():
+        again = bad.select(F.explode(F.sequence("bin_start", "bin_end", F.expr(HOUR))).alias("time"))
+        chunks = parts["chunks"].join(again, "time", "left_semi").select(*parts["chunks"].columns)
+        replace_hours(forcing_hourly(start=start, end=end, **(parts | {"chunks": chunks})), out)
+    status = forcing_groups(spark.read.parquet(out), spark, start, end, step_hours)
+    return require_complete(status)
+
+
 def forcing_dataset(
     chunks: DataFrame, polygons: DataFrame, grid: ForcingGrid, start: str, end: str
 ) -> DataFrame:

@@ -6,16 +6,21 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as PT
 
 from basinflow.functions.gridindex import IndexBounds
 from basinflow.functions.timestamps import hours_between, ntz, stamp
 from basinflow.operators.cells import explode_cells
+from basinflow.operators.timebins import time_bins
 from basinflow.plans import jobs
 from basinflow.plans import views as V
 from basinflow.plans.catalog import query
 from basinflow.plans.queries_network import IN_BOX, KEPT, SUBSET, VPU_ID, WB_ID
 from basinflow.plans.views import with_views
 from basinflow.session import scratch_path
+from basinflow.sources.sinks import write_hourly
+from basinflow.streaming.clip import stream_chunks
+from basinflow.streaming.status import REPORT, reported_status, stream_status
 
 START, END = datetime(2024, 1, 1, 3), datetime(2024, 1, 1, 20)
 
@@ -77,6 +82,52 @@ def forcing_job_status(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(with_views("lcc chunks cells grid vertices", f""", {MASKED}
+    SELECT var, time, j, i, value, x, y, round(lon, 7) AS lon, round(lat, 7) AS lat,
+           strftime(time, '%Y%m%d%H%M') || '.LDASIN_DOMAIN1' AS part
+    FROM masked JOIN grid USING (j, i)
+    WHERE time BETWEEN TIMESTAMP '2024-01-01 03:00:00' AND TIMESTAMP '2024-01-01 20:00:00'"""))
+def forcing_job_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly job's output as stored, after a run that lost hours and a repair of the groups they belong to."""
+    out = scratch_path(spark, "hourly")
+    chunks = V.chunks(spark, sf)
+    parts = {
+        "manifest": forcing_manifest(spark, sf), "axes": V.axis_tables(spark, sf),
+        "polygons": V.polygons(spark, sf), "grid": grid(spark, sf),
+    }
+    lost = chunks.filter(~F.hour("time").isin(15, 16))
+    write_hourly(jobs.forcing_hourly(chunks=lost, start=START, end=END, **parts), out)
+    jobs.repair_forcing_hourly(spark, out, START, END, chunks=chunks, **parts)
+    return spark.read.parquet(out).withColumns({
+        "value": F.col("value").cast("double"), "lon": F.round("lon", 7), "lat": F.round("lat", 7)
+    })
+
+
+@query(with_views("chunks", """,
+    bins(bin, bin_start, bin_end, expected) AS (VALUES
+        (0, TIMESTAMP '2024-01-01 03:00:00', TIMESTAMP '2024-01-01 07:00:00', 5::BIGINT),
+        (1, TIMESTAMP '2024-01-01 08:00:00', TIMESTAMP '2024-01-01 12:00:00', 5::BIGINT),
+        (2, TIMESTAMP '2024-01-01 13:00:00', TIMESTAMP '2024-01-01 17:00:00', 5::BIGINT),
+        (3, TIMESTAMP '2024-01-01 18:00:00', TIMESTAMP '2024-01-01 20:00:00', 3::BIGINT)),
+    came AS (SELECT time FROM chunks WHERE hour(time) <> 15)
+    SELECT bin, bin_start, bin_end, expected, count(DISTINCT time) AS written,
+           expected = count(DISTINCT time) AS ok
+    FROM bins LEFT JOIN came ON time BETWEEN bin_start AND bin_end
+    GROUP BY bin, bin_start, bin_end, expected"""))
+def stream_group_status(spark: SparkSession, sf: str) -> DataFrame:
+    """The groups that a stream of arriving hours reports, complete ones and one that an hour never came for."""
+    schema = PT.StructType([PT.StructField("vec_id", PT.LongType())])
+    arriving = stream_chunks(spark, sf, schema, pattern="embeddings.parquet").select(
+        (ntz(V.BASE_TIME) + V.hours(F.col("vec_id") % 24)).alias("time")
+    ).filter(F.hour("time") != 15)
+    out = scratch_path(spark, "reports")
+    stream_status(
+        arriving, START, END, 5, 2, out, scratch_path(spark, "reports-log"), available_now=True
+    ).awaitTermination()
+    span = spark.createDataFrame([(START, END)], "start TIMESTAMP_NTZ, end TIMESTAMP_NTZ")
+    return reported_status(time_bins(span, 5), spark.read.schema(REPORT).parquet(out))
+
+
 @query(with_views("chunks cells vertices", f""", {MASKED}
     SELECT * FROM masked WHERE time >= TIMESTAMP '2024-01-01 05:00:00' AND time < TIMESTAMP '2024-01-02'"""))
 def forcing_job_dataset(spark: SparkSession, sf: str) -> DataFrame:

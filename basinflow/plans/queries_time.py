@@ -13,12 +13,13 @@ from basinflow.operators import timebins as T
 from basinflow.operators.cells import time_slice
 from basinflow.plans import views as V
 from basinflow.plans.catalog import query
+from basinflow.plans.jobs import run_windows
 from basinflow.plans.views import with_views
 from basinflow.sources.manifest import list_forcing
 from basinflow.sources.netcdf import reference_lines
 from basinflow.sources.sinks import hourly_parts as add_part
 from basinflow.session import scratch_path
-from basinflow.sources.sinks import part_documents, read_parts, write_parts
+from basinflow.sources.sinks import RunLayout, part_documents, read_parts, write_parts
 
 STEP = 10
 
@@ -119,6 +120,23 @@ def batch_windows(spark: SparkSession, sf: str) -> DataFrame:
     return T.batch_windows(V.series(spark, sf), windows)
 
 
+@query(with_views("series", """,
+    windows(window_id, a, b) AS (VALUES
+        ('w1', TIMESTAMP '2024-01-03 00:00:00', TIMESTAMP '2024-01-04 23:00:00'),
+        ('w2', TIMESTAMP '2024-01-04 12:00:00', TIMESTAMP '2024-01-06 11:00:00'),
+        ('w3', TIMESTAMP '2024-01-20 00:00:00', TIMESTAMP '2024-01-21 23:00:00'))
+    SELECT window_id, event_id, time, var, loc, value
+    FROM series JOIN windows ON time BETWEEN a AND b"""))
+def windows_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same written, one folder per window, and read back."""
+    windows = spark.createDataFrame(
+        WINDOWS, "window_id STRING, start TIMESTAMP_NTZ, end TIMESTAMP_NTZ"
+    )
+    out = RunLayout(scratch_path(spark, "runs"), "windows").forcing
+    run_windows(V.series(spark, sf), windows, out)
+    return spark.read.parquet(out)
+
+
 @query("""SELECT event_id, ts AS time, value FROM events
     WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-11'""")
 def hourly_slice(spark: SparkSession, sf: str) -> DataFrame:

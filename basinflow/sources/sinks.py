@@ -30,6 +30,12 @@ def write_hourly(cells: DataFrame, out: str) -> None:
     named.write.mode("overwrite").partitionBy("part").parquet(out)
 
 
+def replace_hours(cells: DataFrame, out: str) -> None:
+    """Write the time steps of ``cells`` again; files of all other steps stay as they are."""
+    named = hourly_parts(cells).hint("rebalance", "part")
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(out)
+
+
 def write_dataset(df: DataFrame, out: str) -> None:
     """A single dataset."""
     df.write.mode("overwrite").parquet(out)
