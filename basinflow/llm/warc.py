@@ -10,9 +10,9 @@ at least ``least`` bytes long, is stored once; the other records revisit it by i
 
 Which record keeps a body is settled from digests and lengths alone, aggregated before they are
 joined, so a body that a third of all records share is one row on one side of the join.
-Archives are rolled at ``roll`` bytes of bodies, hold one gzip member per record, and are written by
-tasks under names that depend on their content; a repeated task writes the same file again. They are read as
-binary files, an archive per row.
+Archives are rolled at ``roll`` bytes of records, header lines included, hold one gzip member per record, and are
+written by tasks under names that depend on their content; a repeated task writes the same file again. They are
+decompressed as a stream. To convert, only paths and decisions are shuffled; the task opens the archive itself.
 
 Defined results: a null body counts as empty. A null name is written as ``~`` and read back as null, in a
 form that keeps spaces and line ends out of header lines. Ids are integers; a null id is kept, and never the record
@@ -50,8 +50,19 @@ ROLL = 8 << 20
 
 
 def _stored(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path with a scheme, such as those that Spark returns for its folders."""
-    return fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path))
+    """The file system of a path with a scheme, such as those that Spark returns for its folders.
+
+    Spark's connectors name some stores differently from pyarrow.
+    """
+    for pattern, name in (("^file:/(?!/)", "file:///"), ("^s3[an]://", "s3://"), ("^dbfs:/+", "file:///dbfs/")):
+        path = re.sub(pattern, name, path)
+    return fs.FileSystem.from_uri(path)
+
+
+def _plain(data: bytes) -> io.BufferedIOBase:
+    """An archive's content as a stream, decompressed piece by piece where it is compressed."""
+    held = io.BytesIO(data)
+    return gzip.GzipFile(fileobj=held) if data[:2] == b"\x1f\x8b" else held
 
 
 def _store(folder: str, name: str, data: bytes) -> None:
@@ -96,7 +107,7 @@ def arc_record(version: int, url: str | None, date: str, kind: str, body: bytes,
 def parse_arc(data: bytes) -> Iterator[dict]:
     """Records of one ARC file: ``url, date, type, body``. Header lines are read by the fields that the
     file's own opening names, bodies by their declared length."""
-    plain = io.BytesIO(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
+    plain = _plain(data)
     first = plain.readline()
     body = io.BytesIO(plain.read(int(first.rsplit(b" ", 1)[1])))
     version = int(body.readline().split(b" ", 1)[0])
@@ -142,7 +153,7 @@ def write_arc(rows: DataFrame, folder: str, version: int = 2, roll: int = ROLL)
                 members.append(gzip.compress(record, 6, mtime=0))
                 seen.update(record)
                 offset += len(members[-1])
-                count, held = count + 1, held + len(data)
+                count, held = count + 1, held + len(record)
                 if held >= roll:
                     yield out()
                     members, seen, count, held, offset = [], hashlib.sha256(), 0, 0, 0
@@ -152,11 +163,11 @@ def write_arc(rows: DataFrame, folder: str, version: int = 2, roll: int = ROLL)
     return rows.select("url", "date", "type", "body").mapInArrow(run, "path string, records long")
 
 
-def _archives(spark: SparkSession, folder: str, ending: str) -> DataFrame:
-    """``path, content`` of the archives in a folder."""
+def _archives(spark: SparkSession, folder: str, ending: str, *columns: str) -> DataFrame:
+    """``path, content`` of the archives in a folder, or the named columns."""
     return spark.read.format("binaryFile").option("pathGlobFilter", f"*{ending}").schema(
         "path string, modificationTime timestamp, length long, content binary"
-    ).load(folder).select("path", "content")
+    ).load(folder).select(*columns or ("path", "content"))
 
 
 # --------------------------------------------------------------------------------------------- WARC
@@ -168,19 +179,21 @@ def record_id(url: str | None, date: str, digest: str) -> str:
 
 
 def warc_record(row: dict, refers_to: dict | None) -> bytes:
-    """One WARC record; a revisit if ``refers_to`` names the record that holds the body."""
+    """One WARC record; a revisit if ``refers_to`` names the record that holds the body. The block of a response is
+    its payload, so both have the digest of ``row``."""
     body = row["body"] if refers_to is None else b""
+    digest = f"sha1:{base64.b32encode(bytes.fromhex(row['digest'])).decode()}"
     d = row["date"]
     head = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
         ("WARC-Record-ID", f"<{row['id']}>"),
         ("WARC-Date", f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"),
         ("WARC-Target-URI", _named(row["url"])),
-        ("WARC-Payload-Digest", f"sha1:{base64.b32encode(bytes.fromhex(row['digest'])).decode()}"),
+        ("WARC-Payload-Digest", digest),
         ("X-Payload-Length", str(row["length"])),
     ]
     if refers_to is None:
-        head.append(("WARC-Block-Digest", f"sha1:{base64.b32encode(hashlib.sha1(body).digest()).decode()}"))
+        head.append(("WARC-Block-Digest", digest))
     else:
         head += [
             ("WARC-Profile", REVISIT), ("WARC-Refers-To", f"<{refers_to['id']}>"),
@@ -192,7 +205,7 @@ def warc_record(row: dict, refers_to: dict | None) -> bytes:
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict, bytes]]:
     """Header fields and block of the records of one WARC file."""
-    plain = io.BytesIO(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
+    plain = _plain(data)
     while line := plain.readline():
         if line == b"\r\n":
             continue
@@ -233,8 +246,8 @@ def arc_index(spark: SparkSession, folder: str) -> DataFrame:
     return _archives(spark, folder, ".arc.gz").mapInArrow(run, PARSED)
 
 
-def convert(spark: SparkSession, arcs: str, warcs: str, least: int = 1000) -> DataFrame:
-    """Convert the ARC files of a folder to WARC files; returns ``path, records`` per file.
+def convert(spark: SparkSession, arcs: str, warcs: str, least: int = 1000, per_task: int = 4) -> DataFrame:
+    """Convert the ARC files of a folder to WARC files; returns ``path, records`` per file, ``per_task`` files a task.
 
     Of equal bodies of at least ``least`` bytes the record with the greatest date, then the greatest
     name by number where it ends in one of up to 38 digits, is the response. A sign counts after ``#page=``.
@@ -251,13 +264,17 @@ def convert(spark: SparkSession, arcs: str, warcs: str, least: int = 1000) -> Da
         F.struct(F.col("kept.date"), F.col("kept.url"))))
     revisits = found.select("path", F.struct("nth", F.col("kept.date").alias("date"), F.col("kept.url").alias("url")).alias("r"))
     per_file = revisits.groupBy("path").agg(F.collect_list("r").alias("revisits"))
+    paths = _archives(spark, arcs, ".arc.gz", "path")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content, told in zip(*(batch.column(i) for i in range(3))):
+            for path, told in zip(batch.column(0), batch.column(1)):
                 kept = {r["nth"]: r for r in told.as_py() or ()}
+                files, where = _stored(path.as_py())
+                with files.open_input_stream(where) as held:
+                    content = held.read()
                 members = []
-                for i, row in enumerate(parse_arc(content.as_py())):
+                for i, row in enumerate(parse_arc(content)):
                     digest = hashlib.sha1(row["body"]).hexdigest()
                     row |= {"digest": digest, "length": len(row["body"]), "id": record_id(row["url"], row["date"], digest)}
                     to = kept.get(i)
@@ -271,7 +288,8 @@ def convert(spark: SparkSession, arcs: str, warcs: str, least: int = 1000) -> Da
                     names=["path", "records"],
                 )
 
-    files = _archives(spark, arcs, ".arc.gz").join(per_file, "path", "left").select("path", "content", "revisits")
+    tasks = -(-paths.count() // per_task)
+    files = paths.join(per_file, "path", "left").select("path", "revisits").repartition(max(tasks, 1))
     return files.mapInArrow(run, "path string, records long")
 
 

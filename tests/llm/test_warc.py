@@ -104,3 +104,33 @@ def test_many_archives(spark):
     assert warc.convert(spark, arcs, warcs).agg(F.sum("records")).first()[0] == 300
     got = warc.read_warc(spark, warcs).groupBy("type").count().collect()
     assert {(r.type, r["count"]) for r in got} == {("response", 7), ("revisit", 293)}
+
+
+def test_empty_pages_roll(spark):
+    """Archives end at bytes of records, so pages without content fill several."""
+    rows = spark.range(0, 100_000, 1, 4).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"),
+                                                F.lit(None).cast("string").alias("html"))
+    arcs = qualified(spark, scratch_path(spark, "a"))
+    records = rows.select(F.concat(F.lit("http://x/"), "page_id").alias("url"), F.lit("20000101000000").alias("date"),
+                          F.lit("t").alias("type"), F.lit(None).cast("binary").alias("body"))
+    assert warc.write_arc(records, arcs, roll=1 << 20).count() > 8
+    got = warc.page_records(rows).agg(
+        F.count("*"), F.countDistinct("id"), F.sum("payload_bytes"), F.min("type"), F.max("type"), F.count("refers_to")).first()
+    assert tuple(got) == (100_000, 100_000, 0, "response", "response", 0)
+
+
+def test_streams_of_members():
+    """A record may lie in a member of its own, share one, or be cut by the end of one."""
+    data = warc.arc_opening(1, "n.arc", "19960101000000")
+    for i in range(50):
+        data += warc.arc_record(1, f"http://x/{i}", "20000102030405", "text/html", bytes([i]) * 997 * i, len(data), "n.arc")
+    whole = [r["body"] for r in warc.parse_arc(data)]
+    for size in (100, 5000, len(data)):
+        held = b"".join(gzip.compress(data[i : i + size]) for i in range(0, len(data), size))
+        assert [r["body"] for r in warc.parse_arc(held)] == whole
+
+
+@pytest.mark.parametrize("path", ["file:/tmp/x", "file:///tmp/x", "dbfs:/tmp/x"])
+def test_stores(path):
+    files, where = warc._stored(path)
+    assert type(files).__name__ == "LocalFileSystem" and where.endswith("/tmp/x")
