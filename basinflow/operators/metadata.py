@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+_DESCRIBED = (
+    "variable string, n bigint, value_min double, value_max double, j_min int, j_max int, i_min int, i_max int, "
+    "first bigint, last bigint"
+)
+
 
 def describe_cells(cells: DataFrame, dataset: str) -> DataFrame:
     """Per variable of a long cell table: count, range, index extent and time range."""
@@ -20,6 +25,41 @@ def describe_cells(cells: DataFrame, dataset: str) -> DataFrame:
     )
 
 
+def described_while_written(
+    cells: DataFrame, dataset: str, variables: Sequence[str], write: Callable[[DataFrame], None]
+) -> DataFrame:
+    """Run ``write`` on the cells and return what ``describe_cells`` would say of them, without reading them again.
+
+    The figures are gathered by the tasks that write. ``variables`` are the names that may occur; one that does not
+    occur has no row, a cell of any other fails the job after writing. Figures of each variable come back
+    to the driver, ten numbers for each name.
+    """
+    spark: SparkSession = cells.sparkSession
+    names = list(dict.fromkeys(variables))
+    value = F.col("value").cast("double")
+    figures = [F.count(F.when(~F.coalesce(F.col("var").isin(names), F.lit(False)), 1)).alias("others")]
+    for k, name in enumerate(names):
+        def of(column, here=F.col("var") == name):
+            return F.when(here, column)
+        figures += [F.count(of(F.lit(1))).alias(f"rows_{k}"), F.count(of(value)).alias(f"n_{k}")]
+        for column, label in ((value, "value"), (F.col("j"), "j"), (F.col("i"), "i")):
+            figures += [F.min(of(column)).alias(f"{label}_min_{k}"), F.max(of(column)).alias(f"{label}_max_{k}")]
+        hour = F.unix_micros(F.col("time").cast("timestamp"))
+        figures += [F.min(of(hour)).alias(f"first_{k}"), F.max(of(hour)).alias(f"last_{k}")]
+    seen = Observation()
+    write(cells.observe(seen, *figures))
+    got = seen.get
+    if got["others"]:
+        raise ValueError(f"{got['others']} cells of variables that are not named")
+    at = ("n", "value_min", "value_max", "j_min", "j_max", "i_min", "i_max", "first", "last")
+    rows = [
+        (name, *(got[f"{a}_{k}"] for a in at)) for k, name in enumerate(names) if got[f"rows_{k}"]
+    ]
+    found = spark.createDataFrame(rows, _DESCRIBED)
+    times = [F.timestamp_micros(c).cast("timestamp_ntz").alias(f"time_{c}") for c in ("first", "last")]
+    return found.select(F.lit(dataset).alias("dataset"), *found.columns[:-2], *times)
+
+
 def describe_chunks(chunks: DataFrame, dataset: str) -> DataFrame:
     """The same from stored blocks: arrays are reduced in place, cells are never unfolded."""
     filled = F.filter("data", lambda v: v.isNotNull())

@@ -22,23 +22,24 @@ from basinflow.operators.cells import (
     explode_cells, grid_corners, hyperslab, time_slice, with_axis_coords,
 )
 from basinflow.operators.clip import (
-    clip, polygon_runs, subset_domain_by_ids, to_index_space, union_runs,
+    Mask, clip, polygon_runs, subset_domain_by_ids, to_index_space, union_runs,
 )
-from basinflow.operators.metadata import describe_cells
+from basinflow.operators.metadata import describe_cells, described_while_written
 from basinflow.operators.timebins import (
     assign_bins, batch_windows, group_status, require_complete, time_bins,
 )
 from basinflow.operators.weights import full_basins, subset_weights
 from basinflow.operators.zonal import zonal_mean_chunks, zone_weights
 from basinflow.session import cut
-from basinflow.sources.geojson import read_polygons
+from basinflow.sources.geojson import read_polygons, read_records
 from basinflow.sources.manifest import list_forcing
 from basinflow.sources.netcdf import scan_headers, write_refs
 from basinflow.sources.sinks import (
     RunLayout, hourly_parts, replace_hours, write_bounds, write_dataset, write_hourly, write_metadata,
     write_tables, write_weights,
 )
-from basinflow.sources.tables import read_hydrofabric
+from basinflow.sources.stores import read_store, store_variables
+from basinflow.sources.tables import polygon_ids, read_hydrofabric
 
 
 @dataclass(frozen=True)
@@ -149,6 +150,30 @@ def run_forcing_dataset(out: str, **parts) -> None:
     write_dataset(forcing_dataset(**parts), out)
 
 
+def run_forcing_files(
+    spark: SparkSession, store: str, boundary: str, grid: Grid, layout: RunLayout, start: datetime, end: datetime,
+    spatial_ref: str, id_property: str | None = None, lines: bool = False, rows: str = "sn",
+    crs: LambertConformal = NWM_LCC, variables: Sequence[str] | None = None,
+) -> DataFrame:
+    """From a stored array and a boundary file to a clipped dataset with attributes and description.
+
+    The boundary's polygons are projected and turned into runs first; their window decides which chunks of the store are
+    planned. Cells, attributes and description go below the run's folder; the description, which is returned, is
+    gathered while the cells are written. A boundary without a cell inside is an error.
+    """
+    polygons = boundary_polygons(spark, boundary, grid, id_property, lines, rows, crs)
+    mask = Mask.of(union_runs(polygon_runs(polygons, grid.nrow, grid.ncol)))
+    if mask.window is None:
+        raise ValueError("no cell of the grid lies inside the boundary")
+    names = store_variables(spark, store) if variables is None else list(variables)
+    blocks = read_store(spark, store, start, end, mask.window, names)
+    description = described_while_written(
+        clip(blocks, mask, "mask"), layout.run_id, names, lambda cells: write_dataset(cells, f"{layout.forcing}/cells"))
+    write_dataset(forcing_attrs(spark, layout.run_id, spatial_ref), f"{layout.forcing}/attrs")
+    write_metadata(description, layout.metadata)
+    return description
+
+
 @dataclass(frozen=True)
 class StaticInputs:
     """Tables of the full domain. Grids are block tables by name; others may be left out.
@@ -315,16 +340,39 @@ def domain_by_ids(
     return out
 
 
+def run_domain_by_ids(
+    spark: SparkSession, grids: Mapping[str, DataFrame], boundary: str, records: str, grid: Grid, label: str,
+    layout: RunLayout, variables: Sequence[str], id_property: str, id_column: str | None = None, lines: bool = False,
+    rows: str = "sn", crs: LambertConformal = NWM_LCC,
+) -> DataFrame:
+    """Cut a domain to those polygons of a boundary file whose ids another file of records lists, write and describe it.
+
+    ``id_column`` is the attribute of the records that holds the ids, by default the one named like the boundary's.
+    """
+    polygons = boundary_polygons(spark, boundary, grid, id_property, lines, rows, crs)
+    ids = polygon_ids(read_records(spark, records, [id_column or id_property], lines))
+    domain = domain_by_ids(grids, polygons, ids.distinct(), ForcingGrid(grid.nrow, grid.ncol), label)
+    return run_domain_with_metadata(domain, layout, variables)
+
+
 def domain_with_metadata(domain: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A domain and the description of its variables."""
     return domain, describe_cells(domain, "domain")
 
 
-def run_domain_with_metadata(domain: DataFrame, layout: RunLayout) -> None:
-    """Write a domain, then describe what was written."""
-    write_dataset(domain, layout.domain)
-    stored = domain.sparkSession.read.parquet(layout.domain)
-    write_metadata(describe_cells(stored, layout.run_id), layout.metadata)
+def run_domain_with_metadata(domain: DataFrame, layout: RunLayout, variables: Sequence[str] | None = None) -> DataFrame:
+    """Write a domain and its description, which is returned.
+
+    With the names of its variables it is described while it is written, else by reading what was written.
+    """
+    if variables is None:
+        write_dataset(domain, layout.domain)
+        description = describe_cells(domain.sparkSession.read.parquet(layout.domain), layout.run_id)
+    else:
+        description = described_while_written(
+            domain, layout.run_id, variables, lambda cells: write_dataset(cells, layout.domain))
+    write_metadata(description, layout.metadata)
+    return description
 
 
 def catchment_inputs(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as PT
 
 from basinflow import schemas
-from basinflow.functions.gridindex import bbox_bounds, grid_extent
+from basinflow.functions.gridindex import IndexBounds, bbox_bounds, grid_extent
 from basinflow.functions.names import basename
 from basinflow.operators import cells as C
 from basinflow.operators import weights as W
@@ -22,7 +22,7 @@ from basinflow.plans.queries_grid import (
 )
 from basinflow.plans.views import with_views
 from basinflow.session import scratch_path
-from basinflow.sources import geojson, netcdf, sinks, tables
+from basinflow.sources import geojson, netcdf, sinks, stores, tables
 
 
 @query(with_views("wts rect full_basins", """
@@ -131,6 +131,20 @@ def blocks_concat(spark: SparkSession, sf: str) -> DataFrame:
     return as_double(C.explode_cells(C.rechunk(both)))
 
 
+@query(with_views("chunks cells", """
+    SELECT var, time, j, i, value FROM cells
+    WHERE time BETWEEN TIMESTAMP '2024-01-01 05:00:00' AND TIMESTAMP '2024-01-01 14:00:00'
+      AND j BETWEEN 6 AND 19 AND i BETWEEN 10 AND 33"""))
+def store_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of a window, read from a store of which only the chunks that meet it are planned."""
+    out = scratch_path(spark, "store")
+    stores.write_store(V.chunks(spark, sf), out, (V.grid_height(spark, sf), V.WIDTH), (6, *V.BLOCK), packed=True)
+    hour = [V.BASE_TIME + timedelta(hours=h) for h in (5, 14)]
+    box = IndexBounds(10, 33, 6, 19)
+    return as_double(C.explode_cells(C.hyperslab(stores.read_store(spark, out, *hour, box), box))).select(
+        "var", "time", "j", "i", "value")
+
+
 @query(with_views("chunks cells", """
     SELECT var, time, j, i, value FROM cells
     WHERE time BETWEEN TIMESTAMP '2024-01-01 04:00:00' AND TIMESTAMP '2024-01-01 19:00:00'

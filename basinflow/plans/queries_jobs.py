@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as PT
 
-from basinflow.functions.gridindex import IndexBounds
+from basinflow.functions.crs import lcc_inverse
+from basinflow.functions.gridindex import Grid, IndexBounds
 from basinflow.functions.timestamps import hours_between, ntz, stamp
 from basinflow.operators.cells import explode_cells
 from basinflow.operators.timebins import time_bins
@@ -18,7 +19,8 @@ from basinflow.plans.catalog import query
 from basinflow.plans.queries_network import IN_BOX, KEPT, SUBSET, VPU_ID, WB_ID
 from basinflow.plans.views import with_views
 from basinflow.session import scratch_path
-from basinflow.sources.sinks import write_hourly
+from basinflow.sources.sinks import RunLayout, write_hourly
+from basinflow.sources.stores import write_store
 from basinflow.streaming.clip import stream_chunks
 from basinflow.streaming.status import REPORT, reported_status, stream_status
 
@@ -139,6 +141,52 @@ def forcing_job_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("value", F.col("value").cast("double"))
 
 
+def store_and_boundary(spark: SparkSession, sf: str) -> tuple[str, str, Grid]:
+    """The forcing as a store and the polygons as a boundary file in longitude and latitude, with their grid."""
+    height = V.grid_height(spark, sf)
+    store, boundary = scratch_path(spark, "store"), scratch_path(spark, "boundary")
+    write_store(V.chunks(spark, sf), store, (height, V.WIDTH), (6, *V.BLOCK))
+    lonlat = V.features(
+        spark, sf, lambda u, v: lcc_inverse(99_500.0 + u * 1000, -50_500.0 + v * 1000)
+    )
+    lonlat.write.text(boundary)
+    return store, boundary, Grid(100_000.0, height * 1000.0 - 50_000.0, 1000.0, V.WIDTH, height)
+
+
+def forcing_from_files(spark: SparkSession, sf: str) -> tuple[RunLayout, DataFrame]:
+    store, boundary, land = store_and_boundary(spark, sf)
+    layout = RunLayout(scratch_path(spark, "runs"), "forcing")
+    return layout, jobs.run_forcing_files(
+        spark, store, boundary, land, layout, START, END, "EPSG:4326", "ID", lines=True)
+
+
+HOURS = "time BETWEEN TIMESTAMP '2024-01-01 03:00:00' AND TIMESTAMP '2024-01-01 20:00:00'"
+
+
+# a store holds every cell of every hour, NULL where no block was written
+@query(with_views("chunks cells vertices", f""", {MASKED}
+    SELECT var, time, j, i, value
+    FROM (
+        SELECT v.var, TIMESTAMP '2024-01-01' + to_hours(h.h) AS time, y.j::INTEGER AS j, x.i::INTEGER AS i
+        FROM (SELECT DISTINCT var FROM chunks) v, (SELECT unnest(range(3, 21)) AS h) h,
+             (SELECT unnest(range(j0, j1 + 1)) AS j FROM box) y, (SELECT unnest(range(i0, i1 + 1)) AS i FROM box) x)
+    LEFT JOIN masked USING (var, time, j, i)"""))
+def forcing_files_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """A store cut by a boundary file in longitude and latitude, as written."""
+    layout, _ = forcing_from_files(spark, sf)
+    return spark.read.parquet(f"{layout.forcing}/cells").withColumn("value", F.col("value").cast("double"))
+
+
+@query(with_views("chunks cells vertices", f""", {MASKED}
+    SELECT 'forcing' AS dataset, var AS variable, count(value) AS n, min(value) AS value_min,
+           max(value) AS value_max, min(j) AS j_min, max(j) AS j_max, min(i) AS i_min, max(i) AS i_max,
+           min(time) AS time_first, max(time) AS time_last
+    FROM masked WHERE {HOURS} GROUP BY var"""))
+def forcing_files_described(spark: SparkSession, sf: str) -> DataFrame:
+    """The same job's description, gathered while its cells were written."""
+    return forcing_from_files(spark, sf)[1]
+
+
 # four different rectangles, so that a grid cut by the rows of another order shows
 BOUNDS = {
     "hyd_sn": V.RECT, "hyd_ns": IndexBounds(11, 44, 4, 20), "geo_sn": IndexBounds(10, 40, 3, 14),
@@ -217,14 +265,18 @@ DOMAIN = f"""chosen AS (
         LEFT JOIN covered m ON m.j = c.j AND m.i = c.i)"""
 
 
-def domain(spark: SparkSession, sf: str) -> DataFrame:
+def domain_grids(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     blocks = V.chunks(spark, sf)
-    grids = {
+    return {
         "slope": blocks.withColumn("var", F.lit("slope")),
         "soil": blocks.withColumn("var", F.lit("soil")).withColumn(
             "data", F.transform("data", lambda v: -v)
         ),
     }
+
+
+def domain(spark: SparkSession, sf: str) -> DataFrame:
+    grids = domain_grids(spark, sf)
     ids = V.table(spark, sf, "supplier").filter("s_acctbal > 5000").select(
         F.col("s_suppkey").cast("string").alias("poly_id")
     )
@@ -248,6 +300,35 @@ def domain_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.domain_with_metadata(domain(spark, sf))[1]
 
 
+def domain_from_files(spark: SparkSession, sf: str) -> tuple[RunLayout, DataFrame]:
+    """The domain job from a boundary file and a file of records that lists ids."""
+    _, boundary, land = store_and_boundary(spark, sf)
+    records = scratch_path(spark, "records")
+    listed = V.table(spark, sf, "supplier").filter("s_acctbal > 5000").select(F.to_json(F.struct(
+        F.lit("Feature").alias("type"), F.struct(F.col("s_suppkey").alias("ID")).alias("properties"))).alias("value"))
+    listed.write.text(records)
+    layout = RunLayout(scratch_path(spark, "runs"), "domain")
+    return layout, jobs.run_domain_by_ids(
+        spark, domain_grids(spark, sf), boundary, records, land, "basin", layout, ["slope", "soil"], "ID", lines=True)
+
+
+@query(with_views("chunks cells vertices", f", {DOMAIN} SELECT * FROM domain"))
+def domain_files_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Two grids clipped to listed polygons of a boundary file, as written."""
+    layout, _ = domain_from_files(spark, sf)
+    return spark.read.parquet(layout.domain).withColumn("value", F.col("value").cast("double"))
+
+
+@query(with_views("chunks cells vertices", f""", {DOMAIN}
+    SELECT 'domain' AS dataset, var AS variable, count(value) AS n, min(value) AS value_min,
+           max(value) AS value_max, min(j) AS j_min, max(j) AS j_max, min(i) AS i_min, max(i) AS i_max,
+           min(time) AS time_first, max(time) AS time_last
+    FROM domain GROUP BY var"""))
+def domain_files_described(spark: SparkSession, sf: str) -> DataFrame:
+    """The same job's description, gathered while it was written."""
+    return domain_from_files(spark, sf)[1]
+
+
 @query(with_views("hydro wts zones chunks cells", f""",
     edges AS (
         SELECT 'wb-' || n AS id, 'nex-' || below AS toid, vpu_id FROM base

@@ -229,12 +229,12 @@ def polygons(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
-    """The same polygons as GeoJSON features, one text per polygon."""
+def features(spark: SparkSession, sf: str, place=lambda x, y: (x, y)) -> DataFrame:
+    """The same polygons as GeoJSON features, one text per polygon; ``place`` makes its coordinates."""
 
     def ring(points: list[tuple[float, float]]) -> Column:
         return F.array(*[
-            F.array(F.col("cx") + F.col("r") * dx, F.col("cy") + F.col("r") * dy) for dx, dy in points
+            F.array(*place(F.col("cx") + F.col("r") * dx, F.col("cy") + F.col("r") * dy)) for dx, dy in points
         ])
 
     rings = F.when(F.col("s_suppkey") % 2 == 0, F.array(ring(OUTER), ring(HOLE))).otherwise(
