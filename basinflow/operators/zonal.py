@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basinflow.operators.joins import lookup_join
@@ -51,17 +51,33 @@ def zonal_mean_chunks(
     all zones are never unfolded and blocks outside are dropped by the join. The placed weights are
     written once, then counted and joined.
     """
+    placed = cut(place_zones(zones, chunk_shape), "zones")
+    hit = lookup_join(chunks, placed, ["y0", "x0"], "inner", F.expr(_INSIDE))
+    return _mean(hit.withColumn("value", _value()), by)
+
+
+def place_zones(zones: DataFrame, chunk_shape: tuple[int, int]) -> DataFrame:
+    """Weights by the origin of their block and their place in it: ``id, w, y0, x0, _dj, _di``."""
     ny, nx = chunk_shape
-    placed = zones.select(
+    return zones.select(
         "id", "w",
         (F.expr(f"(j - 1) div {ny}") * ny + 1).cast("int").alias("y0"),
         (F.expr(f"(i - 1) div {nx}") * nx + 1).cast("int").alias("x0"),
         F.expr(f"(j - 1) % {ny}").alias("_dj"), F.expr(f"(i - 1) % {nx}").alias("_di"),
     )
-    placed = cut(placed, "zones")
-    hit = lookup_join(
-        chunks, placed, ["y0", "x0"], "inner",
-        (F.col("_dj") < F.col("ny")) & (F.col("_di") < F.col("nx")),
-    )
-    value = F.element_at("data", F.col("_dj") * F.col("nx") + F.col("_di") + 1)
-    return _mean(hit.withColumn("value", value), by)
+
+
+# Whether a weight's cell lies in a block, which may be smaller at the grid's edge.
+_INSIDE = "_dj < ny AND _di < nx"
+
+
+def _value() -> Column:
+    return F.element_at("data", F.col("_dj") * F.col("nx") + F.col("_di") + 1)
+
+
+def zonal_mean_placed(
+    chunks: DataFrame, placed: DataFrame, by: Sequence[str] = ("id", "time", "var")
+) -> DataFrame:
+    """The same from blocks and placed weights that are stored by block origin: they are merged where they lie."""
+    hit = chunks.hint("merge").join(placed, ["y0", "x0"]).filter(_INSIDE)
+    return _mean(hit.withColumn("value", _value()), by)

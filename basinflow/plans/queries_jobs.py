@@ -329,7 +329,7 @@ def domain_files_described(spark: SparkSession, sf: str) -> DataFrame:
     return domain_from_files(spark, sf)[1]
 
 
-@query(with_views("hydro wts zones chunks cells", f""",
+CHAIN = with_views("hydro wts zones chunks cells", f""",
     edges AS (
         SELECT 'wb-' || n AS id, 'nex-' || below AS toid, vpu_id FROM base
         UNION
@@ -345,7 +345,10 @@ def domain_files_described(spark: SparkSession, sf: str) -> DataFrame:
               FROM steps GROUP BY id)
     SELECT c.id, o_custkey, time_first, time_last, coalesce(n_steps, 0) AS n_steps,
            'cat-' || c.id AS config_name
-    FROM cats c LEFT JOIN spans s ON s.id = c.id""", recursive=True))
+    FROM cats c LEFT JOIN spans s ON s.id = c.id""", recursive=True)
+
+
+@query(CHAIN)
 def chain_job(spark: SparkSession, sf: str) -> DataFrame:
     """Hydrofabric, forcing and configuration in one go."""
     layers, edges = V.hydrofabric(spark, sf)
@@ -356,3 +359,19 @@ def chain_job(spark: SparkSession, sf: str) -> DataFrame:
         ["o_custkey"],
     )
     return config
+
+
+@query(CHAIN)
+def chain_job_written(spark: SparkSession, sf: str) -> DataFrame:
+    """The chain run step by step from stored layers, each step on what the one before wrote; the configuration as written."""
+    layers, edges = V.hydrofabric(spark, sf)
+    base = scratch_path(spark, "hydrofabric")
+    for name, df in {"edges": edges, "catchments": layers["catchments"], "attributes": layers["attributes"]}.items():
+        df.write.partitionBy("vpu_id").parquet(f"{base}/{name}")
+    layout = RunLayout(scratch_path(spark, "runs"), "chain")
+    jobs.run_chain(
+        spark, base, VPU_ID, WB_ID, V.chunks(spark, sf), V.weights(spark, sf), V.BLOCK, "2024-01-01 06:00:00", "2024-01-01",
+        layout,
+    )
+    columns = "id bigint, o_custkey bigint, time_first timestamp_ntz, time_last timestamp_ntz, n_steps bigint, config_name string"
+    return spark.read.schema(columns).json(layout.config)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,12 @@ from basinflow.operators import boxes as B
 from basinflow.operators import weights as W
 from basinflow.operators.catchments import configure_catchments
 from basinflow.operators.network import subset_buckets
-from basinflow.operators.zonal import zonal_mean, zonal_mean_chunks, zone_weights
+from basinflow.operators.zonal import zonal_mean, zonal_mean_chunks, zonal_mean_placed, zone_weights
 from basinflow.plans import views as V
 from basinflow.plans.catalog import query
 from basinflow.plans.views import with_views
+from basinflow.session import scratch_path
+from basinflow.sources import layout
 
 
 @query(with_views("wts rect full_basins", """
@@ -96,6 +100,24 @@ def zonal_means(spark: SparkSession, sf: str) -> DataFrame:
     return means.withColumn("mean", F.round("mean", 6))
 
 
+@query(with_views("wts zones chunks cells", """
+    SELECT id, time, var, round(sum(w * value) / sum(w), 6) AS mean, count(*) AS n_cells
+    FROM zones JOIN cells USING (j, i)
+    WHERE time BETWEEN TIMESTAMP '2024-01-01 04:00:00' AND TIMESTAMP '2024-01-01 17:00:00'
+    GROUP BY id, time, var"""))
+def zonal_means_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Basin means of a period from blocks, stored in two parts, and weights that lie by block origin."""
+    folder = scratch_path(spark, "layout")
+    name = folder.rsplit("/", 1)[1].replace("-", "_")
+    noon = V.ntz(V.BASE_TIME + timedelta(hours=12))
+    blocks = V.chunks(spark, sf)
+    layout.store_zones(zone_weights(V.weights(spark, sf)), V.BLOCK, name, folder, 8)
+    for part in (blocks.filter(F.col("time") < noon), blocks.filter(F.col("time") >= noon)):
+        layout.add_blocks(part, name, folder, 8)
+    period = layout.stored_period(spark, name, *(V.BASE_TIME + timedelta(hours=h) for h in (4, 17)))
+    return zonal_mean_placed(*period).withColumn("mean", F.round("mean", 6))
+
+
 @query(ZONAL)
 def zonal_means_cells(spark: SparkSession, sf: str) -> DataFrame:
     """The same from a cell table."""
