@@ -22,7 +22,7 @@ from basinflow.plans.queries_grid import (
 )
 from basinflow.plans.views import with_views
 from basinflow.session import scratch_path
-from basinflow.sources import geojson, netcdf, sinks, stores, tables
+from basinflow.sources import curve, geojson, netcdf, sinks, stores, tables
 
 
 @query(with_views("wts rect full_basins", """
@@ -170,6 +170,21 @@ def pyramid_stored(spark: SparkSession, sf: str) -> DataFrame:
     return read_overview(sinks.read_pyramid(spark, out))
 
 
+@query("""SELECT c_custkey AS id, c_custkey * 37 % 1000 AS xmin, c_custkey * 91 % 700 AS ymin,
+           c_custkey * 37 % 1000 + 5 + c_nationkey AS xmax, c_custkey * 91 % 700 + 3 AS ymax
+    FROM customer WHERE c_custkey * 37 % 1000 <= 300 AND c_custkey * 37 % 1000 + 5 + c_nationkey >= 100
+      AND c_custkey * 91 % 700 <= 250 AND c_custkey * 91 % 700 + 3 >= 120""")
+def features_by_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """Boxes that meet a box, read by ranges of the Hilbert curve they are stored along."""
+    out = scratch_path(spark, "curve")
+    k = F.col("c_custkey")
+    x, y = k * 37 % 1000, k * 91 % 700
+    boxes = V.table(spark, sf, "customer").select(
+        k.alias("id"), x.alias("xmin"), y.alias("ymin"), (x + 5 + F.col("c_nationkey")).alias("xmax"), (y + 3).alias("ymax"))
+    curve.write_along_curve(boxes, out, (0.0, 0.0, 1030.0, 710.0), "id")
+    return curve.read_box(spark, out, (100, 120, 300, 250))
+
+
 @query("""SELECT c_custkey AS id, (c_custkey * 37 % 1000)::DOUBLE AS xmin,
            (c_custkey * 91 % 700)::DOUBLE AS ymin
     FROM customer WHERE c_custkey * 37 % 1000 BETWEEN 100 AND 300 AND c_custkey * 91 % 700 <= 250""")

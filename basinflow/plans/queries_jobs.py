@@ -19,7 +19,7 @@ from basinflow.plans.catalog import query
 from basinflow.plans.queries_network import IN_BOX, KEPT, SUBSET, VPU_ID, WB_ID
 from basinflow.plans.views import with_views
 from basinflow.session import scratch_path
-from basinflow.sources.sinks import RunLayout, write_hourly
+from basinflow.sources.sinks import RunLayout, write_hourly, write_tables
 from basinflow.sources.stores import write_store
 from basinflow.streaming.clip import stream_chunks
 from basinflow.streaming.status import REPORT, reported_status, stream_status
@@ -251,6 +251,52 @@ def static_job(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(with_views("wts rect full_basins links", f""", {KEPT},
+    newlinks AS ({SUBSET}),
+    outlets AS (
+        SELECT NHDWaterbodyComID AS lake_id, min(link) AS link FROM links
+        WHERE NHDWaterbodyComID > 0 AND link > 0 GROUP BY 1),
+    up AS (
+        SELECT lake_id, link FROM outlets
+        UNION
+        SELECT up.lake_id, l.link FROM links l JOIN up ON l."to" = up.link AND l.link <> l."to"),
+    removed AS (
+        SELECT DISTINCT lake_id FROM up
+        WHERE link NOT IN (SELECT link FROM sub) AND lake_id IN (SELECT NHDWaterbodyComID FROM sub)),
+    lakes AS (
+        SELECT s_suppkey AS lake_id, CAST(floor(s_acctbal / 100) AS INTEGER) AS a FROM supplier
+        WHERE s_suppkey IN (SELECT NHDWaterbodyComID FROM sub WHERE NHDWaterbodyComID > 0)
+          AND s_suppkey NOT IN (SELECT lake_id FROM removed))
+    SELECT 'links' AS part, link AS id, "to" AS a,
+           CASE WHEN NHDWaterbodyComID IN (SELECT lake_id FROM removed) THEN -9999 ELSE NHDWaterbodyComID END AS b,
+           ascendingIndex AS v
+    FROM newlinks
+    UNION ALL
+    SELECT 'lakes', lake_id, -1, -1, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2e0 - 1 FROM lakes
+    UNION ALL
+    SELECT 'stations', vec_id, label, -1, embedding[1]::DOUBLE FROM embeddings
+    WHERE CAST(vec_id AS VARCHAR) IN (SELECT trim(gages) FROM sub)""", recursive=True))
+def static_job_network(spark: SparkSession, sf: str) -> DataFrame:
+    """Links, lakes and stations of a domain cut to a box, as the static job writes them."""
+    inputs = jobs.StaticInputs(
+        weights=V.weights(spark, sf), polys=V.polys(spark, sf), links=V.links(spark, sf), lakes=V.lakes(spark, sf),
+        lake_types=V.lake_types(spark, sf), stations=V.stations(spark, sf),
+    )
+    out = scratch_path(spark, "domain")
+    write_tables(jobs.static_subset(inputs, BOUNDS, spark.createDataFrame([V.ENVELOPE])), out)
+
+    def rows(name: str, ident: str, a, b, v) -> DataFrame:
+        return spark.read.parquet(f"{out}/{name}").select(
+            F.lit(name).alias("part"), F.trim(F.col(ident).cast("string")).cast("bigint").alias("id"),
+            a.cast("bigint").alias("a"), b.cast("bigint").alias("b"), v.cast("double").alias("v"),
+        )
+
+    none = F.lit(-1)
+    links = rows("links", "link", F.col("to"), F.col("NHDWaterbodyComID"), F.col("ascendingIndex"))
+    return links.unionByName(rows("lakes", "lake_id", none, none, F.col("ascendingIndex"))).unionByName(
+        rows("stations", "stationId", F.col("R"), none, F.col("G")))
+
+
 DOMAIN = f"""chosen AS (
         SELECT * FROM vertices WHERE poly_id IN (
             SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal > 5000)),
