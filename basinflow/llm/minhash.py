@@ -6,7 +6,8 @@ linked when intersection / union of their sets reaches the threshold, and compon
 groups.
 
 1. Each set gets ``bands * rows`` minima under universal hash functions, a hash per band, and one byte
-   per minimum as its signature. Documents with equal sets form one class from here on.
+   per minimum as its signature. Documents with equal sets form one class from here on;
+   each is compared in full with the one of least id.
 2. Classes that share a band hash form a bucket. Each class is first compared with the least of those it
    shares a bucket with. Then buckets that still hold classes of several components are gone through
    again: a task holds the signatures of a bucket, or of two blocks of a large one, and puts forward
@@ -96,6 +97,8 @@ def shingle_hashes(text: str, k: int) -> np.ndarray:
 
 def same_enough(a: str, b: str, k: int, threshold: int) -> bool:
     """Whether the whole sets of two texts are similar enough, exactly."""
+    if a == b:
+        return bool(a.encode("utf-8", "replace").split(None, 1))
     left, right = _shingles(a, k), _shingles(b, k)
     both = len(left & right)
     return bool(left) and bool(right) and 100 * both >= threshold * (len(left) + len(right) - both)
@@ -169,6 +172,24 @@ def confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     return both.mapInArrow(run, T.StructType([pairs.schema["a"], pairs.schema["b"]])).distinct()
 
 
+def told_apart(sets: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """``sets`` with a key of its own for each document whose whole set differs from that of the document of
+    least id with the same key; ``texts (id, text)``."""
+    linkable = sets.filter("n > 0 AND id IS NOT NULL").select("key", "id")
+    first = linkable.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("most")).filter("a < most")
+    pairs = linkable.join(first, "key").filter("id <> a").select("a", F.col("id").alias("b"))
+    pairs = cut(pairs.distinct(), "minhash-equal")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    good = confirmed(pairs, texts.join(wanted, "id", "left_semi"), s)
+    other = cut(pairs.join(good, ["a", "b"], "left_anti").select(F.col("b").alias("id")).distinct(), "minhash-other")
+    if other.isEmpty():
+        return sets
+    own = F.concat("key", F.col("id").cast("string").cast("binary"))
+    alone = sets.join(other, "id", "left_semi").withColumn("key", own)
+    rest = sets.join(other, "id", "left_anti")
+    return cut(rest.unionByName(alone.select(*sets.columns)), "minhash-sets")
+
+
 def estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Estimated similarity of each row of ``x`` with each of ``y``, rows being signatures."""
     agree = np.empty((len(x), len(y)))
@@ -243,6 +264,7 @@ def groups(
     """One row per document: id, ``n_shingles, component_id, kept``."""
     s = settings
     sets = cut(signatures(docs, s, id_col, text_col), "minhash-sets")
+    sets = told_apart(sets, docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), s)
     linkable = sets.filter("n > 0 AND id IS NOT NULL")
     classes = linkable.groupBy("key").agg(F.min(F.struct("id", "bands", "signature")).alias("first"))
     classes = cut(classes.select("key", "first.*"), "minhash-classes")

@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 from odd import empty_docs, odd_docs, odd_rows, prose
 
+from pyspark.sql import functions as F
+
 from basinflow.llm import minhash, vectors
 from basinflow.llm.components import components
 
@@ -87,6 +89,16 @@ def test_minhash_near_the_threshold(spark, seed, block):
     check_groups(minhash.groups(df, minhash.Settings(block=block)), rows, 5)
 
 
+def test_minhash_equal_keys_of_different_sets(spark):
+    """Documents whose sets have equal keys but differ are told apart by their whole sets."""
+    s = minhash.Settings()
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "p q r s t u v"), (4, "A  b c d e f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = minhash.signatures(docs, s).withColumn("key", F.lit(b"same"))
+    got = {r.id: bytes(r.key) for r in minhash.told_apart(sets, docs.withColumnRenamed("doc_id", "id"), s).collect()}
+    assert got[1] == got[2] == got[4] != got[3]
+
+
 def test_minhash_odd(spark):
     docs = odd_docs(spark)
     check_groups(minhash.groups(docs), [(r[0], r[1]) for r in odd_rows()], 5)
