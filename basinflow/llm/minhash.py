@@ -6,16 +6,18 @@ linked when intersection / union of their sets reaches the threshold, and compon
 groups.
 
 1. Each set gets ``bands * rows`` minima under universal hash functions, a hash per band, and one byte
-   per minimum as its signature. Documents with equal sets form one class from here on;
-   each is compared in full with the one of least id.
-2. Classes that share a band hash form a bucket. Each class is first compared with the least of those it
-   shares a bucket with. Then buckets that still hold classes of several components are gone through
-   again: a task holds the signatures of a bucket, or of two blocks of a large one, and puts forward
-   pairs of different components, first the best partner of each class, then step by step all pairs whose estimated
-   similarity lies in the next lower range, each in the first bucket it shares. So every pair that
-   shares a bucket and may reach the threshold is compared, unless links already connect it.
-3. A pair put forward is compared exactly, on both whole sets.
-4. Large-star and small-star make components of the links, after every step.
+   per minimum as its signature. Documents with equal sets form one class from here on; each is compared
+   in full with the one of least id.
+2. Classes that share a band hash form a bucket. Each class is first compared, on both whole sets, with
+   the least of those it shares a bucket with. Large-star and small-star make components of the links.
+3. Buckets that still hold classes of several components are gone through by signatures: a task holds a
+   bucket, or two blocks of a large one. Pairs of blocks within one component are left out. What has no partner of another
+   component whose estimated similarity may reach the threshold is done.
+4. The others meet again with their texts. Pairs are compared on whole sets in order of their estimates,
+   each in the first bucket it shares, and united at once if similar enough: pairs united already are
+   passed over. A task returns a spanning forest, fewer links than it read rows. So every pair
+   that shares a bucket and may reach the threshold is compared, unless links already connect it.
+5. Large-star and small-star make components of all links.
 
 With 40 bands of 5 rows a pair at 0.8 is missed with probability 1e-7, and less above.
 
@@ -47,16 +49,16 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 @dataclasses.dataclass(frozen=True)
 class Settings:
     """``threshold`` is in hundredths; ``margin`` is how far a signature's estimate may lie below it;
-    ``steps`` are the lower ends of the ranges of estimates, the margin's end follows; ``block`` is how
-    many classes of a large bucket a task compares with as many others."""
+    ``block`` is how many classes of a large bucket a task compares with as many others, and
+    ``block_bytes`` how long their texts are together, about; a longer text is a block of its own."""
 
     shingle: int = 5
     threshold: int = 80
     bands: int = 40
     rows: int = 5
     margin: float = 0.15
-    steps: tuple[float, ...] = (0.9, 0.8, 0.72)
     block: int = 1_000
+    block_bytes: int = 1 << 24
     seed: int = 1
 
 
@@ -113,12 +115,12 @@ def _shingles(text: str, k: int) -> set:
 
 
 def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n, key, bands, signature`` per document; equal sets have equal keys."""
+    """``id, n, key, bands, signature, size`` per document; equal sets have equal keys, ``size`` is in bytes."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("n", T.LongType()),
         T.StructField("key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
-        T.StructField("signature", T.BinaryType()),
+        T.StructField("signature", T.BinaryType()), T.StructField("size", T.LongType()),
     ])
     count = s.bands * s.rows
 
@@ -128,9 +130,10 @@ def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: s
         shift = random.integers(0, 2**63, count, np.uint64)[:, None]
         number = np.arange(s.bands, dtype=np.uint64)
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
-            for text in batch.column(1):
-                found = shingle_hashes(text.as_py() or "", s.shingle)
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for row in batch.column(1):
+                text = row.as_py() or ""
+                found = shingle_hashes(text, s.shingle)
                 least = np.full(count, np.uint64(2**64 - 1))
                 for start in range(0, len(found), 1024):
                     least = np.minimum(
@@ -144,9 +147,10 @@ def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: s
                 out[1].append(xxhash.xxh3_128_digest(found.tobytes()))
                 out[2].append(band.view(np.int64))
                 out[3].append((least >> np.uint64(56)).astype(np.uint8).tobytes())
+                out[4].append(len(text))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()),
-                 pa.array(out[2], pa.list_(pa.int64())), pa.array(out[3], pa.binary())],
+                 pa.array(out[2], pa.list_(pa.int64())), pa.array(out[3], pa.binary()), pa.array(out[4], pa.int64())],
                 names=[f.name for f in schema],
             )
 
@@ -198,64 +202,113 @@ def estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (agree - 1 / 256) / (1 - 1 / 256)
 
 
-def _put_forward(low: float, high: float | None):
-    """Pairs of a bucket, or of two blocks of one, from different components and with estimates from ``low``
-    up to ``high``; where ``high`` is None, only the best partner of each class."""
+PLACE = "bucket long, one long, two long, block long, id long, component long"
+
+
+def _candidates(rows: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows, and their estimates, that may reach the threshold: from different components, of the
+    two blocks (or the one), in the first bucket that both share."""
+    found, mine = rows.column("component").to_numpy(), rows.column("block").to_numpy()
+    marks = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(found), -1)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(found), -1)
+    bucket, one, two = (rows.column(name)[0].as_py() for name in ("bucket", "one", "two"))
+    left, right = np.flatnonzero(mine == one), np.flatnonzero(mine == two)
+    parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    for start in range(0, len(left) if len(right) else 0, 256):
+        some = left[start : start + 256]
+        value = estimates(marks[some], marks[right])
+        value[found[some][:, None] == found[right][None, :]] = -1
+        if one == two:
+            value[some[:, None] >= right[None, :]] = -1
+        i, j = np.nonzero(value >= least)
+        value, i, j = value[i, j], some[i], right[j]
+        keep = bands[i, (bands[i] == bands[j]).argmax(1)] == bucket
+        parts.append((i[keep], j[keep], value[keep]))
+    i, j, value = (np.concatenate(x) for x in zip(*parts))
+    return i, j, value
+
+
+def _with_partner(least: float):
+    """The rows of a bucket, or of two blocks of one, that have a candidate."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        i, j, _ = _candidates(rows, least)
+        return rows.take(np.unique(np.concatenate([i, j]))).select(["bucket", "one", "two", "block", "id", "component"])
+
+    return run
+
+
+def _forest(least: float, k: int, threshold: int):
+    """Links that unite what is similar enough in a bucket, or in two blocks of one, none of them closing a circle."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.sort_by("id")
-        ids, found = rows.column("id").to_numpy(), rows.column("component").to_numpy()
-        marks = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
-        bands = np.array(rows.column("bands").to_pylist(), np.int64)
-        bucket, mine = rows.column("bucket")[0].as_py(), rows.column("block").to_numpy()
-        one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
-        left, right = np.flatnonzero(mine == one), np.flatnonzero(mine == two)
-        pairs = []
-        for start in range(0, len(left) if len(right) else 0, 256):
-            some = left[start : start + 256]
-            value = estimates(marks[some], marks[right])
-            value[found[some][:, None] == found[right][None, :]] = -1
-            if high is None:
-                best = value.argmax(1)
-                good = value[np.arange(len(some)), best] >= low
-                pairs.append(np.column_stack([some[good], right[best[good]]]))
-                continue
-            i, j = np.nonzero((value >= low) & (value < high))
-            i, j = some[i], right[j]
-            keep = (i < j) if one == two else np.ones(len(i), bool)
-            i, j = i[keep], j[keep]
-            first = (bands[i] == bands[j]).argmax(1)
-            keep = bands[i, first] == bucket
-            pairs.append(np.column_stack([i[keep], j[keep]]))
-        chosen = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
-        a, b = ids[chosen[:, 0]], ids[chosen[:, 1]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        i, j, value = _candidates(rows, least)
+        order = np.argsort(-value, kind="stable")
+        group, texts, sets = rows.column("component").to_numpy().copy(), rows.column("text"), {}
+
+        def text(x: int) -> str:
+            return texts[x].as_py() or ""
+
+        def similar(a: int, b: int) -> bool:
+            for x in (a, b):
+                if x not in sets:
+                    sets[x] = shingle_hashes(text(x), k)
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if 100 * small < threshold * large:
+                return False
+            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            return 100 * both >= threshold * (small + large - both) and same_enough(text(a), text(b), k, threshold)
+
+        links = []
+        for start in range(0, len(order), 4096):
+            some = order[start : start + 4096]
+            some = some[group[i[some]] != group[j[some]]]
+            for a, b in zip(i[some].tolist(), j[some].tolist()):
+                if group[a] != group[b] and similar(a, b):
+                    group[group == group[b]] = group[a]
+                    links.append((a, b))
+        ids = rows.column("id").to_numpy()
+        chosen = ids[np.array(links, np.int64).reshape(-1, 2)]
+        return pa.table({"a": chosen.min(1), "b": chosen.max(1)})
 
     return run
 
 
-def next_pairs(
-    members: DataFrame, classes: DataFrame, labels: DataFrame, low: float, high: float | None, s: Settings
+def further_links(
+    members: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, s: Settings
 ) -> DataFrame | None:
-    """Pairs ``a, b`` that a step puts forward, None when no bucket holds several components.
+    """Links ``a, b`` between components that share a bucket, None when no bucket holds several components.
 
-    ``members (bucket, id)``, ``classes (id, bands, signature)``, ``labels (id, component)``.
+    ``members (bucket, id, size)``, ``classes (id, bands, signature)``, ``labels (id, component)``,
+    ``texts (id, text)``. Links join what is similar enough and not connected yet, within one bucket.
     """
+    least = s.threshold / 100 - s.margin
+    several = "least < most"
+    ends = F.min("component").alias("least"), F.max("component").alias("most")
     placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("bucket").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
+    blocks = F.greatest(F.ceil(F.count("*") / s.block), F.ceil(F.sum("size") / s.block_bytes)).alias("blocks")
+    mixed = placed.groupBy("bucket").agg(*ends, blocks).filter(several).select("bucket", "blocks")
+    placed = placed.join(mixed, "bucket").select(
+        "bucket", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"), "id", "component"
     )
-    mixed = cut(mixed.filter("least < most").select("bucket", F.ceil(F.col("n") / s.block).alias("blocks")), "minhash-mixed")
-    if mixed.isEmpty():
+    placed = cut(placed, "minhash-placed")
+    parts = placed.groupBy("bucket", "block").agg(*ends)
+    others = parts.select("bucket", F.col("block").alias("two"), F.col("least").alias("l"), F.col("most").alias("m"))
+    meet = parts.withColumnRenamed("block", "one").join(others, "bucket").filter(
+        "one <= two AND least(least, l) < greatest(most, m)"
+    ).select("bucket", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    meet = cut(meet, "minhash-meet")
+    if meet.isEmpty():
         return None
-    placed = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = placed.join(classes.select("id", "bands", "signature"), "id").select(
-        "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-        "block", "id", "component", "bands", "signature",
-    )
-    found = rows.groupBy("bucket", "one", "two").applyInArrow(_put_forward(low, high), "a long, b long")
-    return found.distinct()
+    marks = classes.select("id", "bands", "signature")
+    columns = ["bucket", "one", "two", "block", "id", "component"]
+    rows = placed.join(meet, ["bucket", "block"]).join(marks, "id").select(*columns, "bands", "signature")
+    rows = rows.groupBy("bucket", "one", "two").applyInArrow(_with_partner(least), PLACE)
+    rows = cut(rows, "minhash-partners").join(marks, "id").join(texts, "id").select(*columns, "bands", "signature", "text")
+    return rows.groupBy("bucket", "one", "two").applyInArrow(
+        _forest(least, s.shingle, s.threshold), "a long, b long"
+    ).distinct()
 
 
 def groups(
@@ -266,12 +319,12 @@ def groups(
     sets = cut(signatures(docs, s, id_col, text_col), "minhash-sets")
     sets = told_apart(sets, docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), s)
     linkable = sets.filter("n > 0 AND id IS NOT NULL")
-    classes = linkable.groupBy("key").agg(F.min(F.struct("id", "bands", "signature")).alias("first"))
+    classes = linkable.groupBy("key").agg(F.min(F.struct("id", "bands", "signature", "size")).alias("first"))
     classes = cut(classes.select("key", "first.*"), "minhash-classes")
-    banded = classes.select("id", F.explode("bands").alias("bucket"))
+    banded = classes.select("id", "size", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
     members = cut(
-        banded.join(buckets.filter("hub < last"), "bucket").select("bucket", "id", "hub"), "minhash-members"
+        banded.join(buckets.filter("hub < last"), "bucket").select("bucket", "id", "size", "hub"), "minhash-members"
     )
     wanted = members.select("id").distinct()
     texts = cut(
@@ -281,17 +334,11 @@ def groups(
     first = members.filter("id <> hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a"))
     links = cut(confirmed(first.select("a", "b"), texts, s), "minhash-links")
     labels = cut(components(links), "minhash-labels")
-    members = members.select("bucket", "id").distinct()
-    least = s.threshold / 100 - s.margin
-    ends = [2.0, *s.steps, least]
-    for low, high in [(least, None), *zip(ends[1:], ends)]:
-        pairs = next_pairs(members, classes, labels, low, high, s)
-        if pairs is None:
-            break
-        found = cut(confirmed(pairs, texts, s), "minhash-links")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = cut(components(links), "minhash-labels")
+    members = members.select("bucket", "id", "size").distinct()
+    found = further_links(members, classes, labels, texts, s)
+    if found is not None:
+        links = links.unionByName(cut(found, "minhash-links"))
+        labels = cut(components(links), "minhash-labels")
     named = classes.select("key", F.col("id").alias("class_id")).join(
         labels.withColumnRenamed("id", "class_id"), "class_id", "left"
     ).select("key", F.coalesce("component", "class_id").alias("component"))

@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd import empty_docs, odd_docs, odd_rows, prose
 
@@ -89,6 +90,58 @@ def test_minhash_near_the_threshold(spark, seed, block):
     check_groups(minhash.groups(df, minhash.Settings(block=block)), rows, 5)
 
 
+@pytest.mark.parametrize("two_blocks", [False, True])
+def test_minhash_forest_of_one_large_bucket(spark, two_blocks):
+    """A group around the threshold and one stranger in one bucket: fewer links than rows, the same components."""
+    s = minhash.Settings()
+    rows = varied(5, groups=1, copies=120) + [(900, prose(77, 200, 300))]
+    sets = minhash.signatures(spark.createDataFrame(rows, "doc_id long, text string"), s).collect()
+    texts = dict(rows)
+    blocks = [int(two_blocks and r.id % 2) for r in sets]
+    table = pa.table({
+        "bucket": [7] * len(sets), "one": [0] * len(sets), "two": [int(two_blocks)] * len(sets), "block": blocks,
+        "id": [r.id for r in sets], "component": [r.id for r in sets],
+        "bands": pa.array([[7] * s.bands for _ in sets], pa.list_(pa.int64())),
+        "signature": [bytes(r.signature) for r in sets], "text": [texts[r.id] for r in sets],
+    })
+    least = s.threshold / 100 - s.margin
+    some = minhash._with_partner(least)(table)
+    assert some.num_rows <= 120 and 900 not in some.column("id").to_pylist()
+    found = minhash._forest(least, s.shingle, s.threshold)(table)
+    links = list(zip(found.column("a").to_pylist(), found.column("b").to_pylist()))
+    assert 0 < len(links) < len(rows)
+    kept = [(i, t) for i, t in rows]
+    good = [
+        (a, b) for (a, x), (b, y) in combinations(kept, 2)
+        if (not two_blocks or (a + b) % 2) and minhash.same_enough(x, y, 5, 80)
+    ]
+    assert len(good) > len(links)
+    nodes = [i for i, _ in rows]
+    assert least_reachable(nodes, links) == least_reachable(nodes, good)
+
+
+def test_minhash_leaves_blocks_of_one_component_out(spark, monkeypatch):
+    """A stranger in a large bucket is compared with every block; blocks of one component do not meet each other."""
+    n, s = 200, minhash.Settings(block=10)
+    ids = [(7, i, 10) for i in range(n)] + [(7, n, 10)]
+    members = spark.createDataFrame(ids, "bucket long, id long, size long")
+    labels = spark.createDataFrame([(i, 0) for i in range(n)], "id long, component long")
+    classes = spark.createDataFrame(
+        [(i, [7] * s.bands, bytearray(200)) for _, i, _ in ids], "id long, bands array<long>, signature binary"
+    )
+    texts = spark.createDataFrame([(i, "a b c d e f") for i in range(n)] + [(n, "q r s t u v")], "id long, text string")
+    written = {}
+
+    def noted(df, name):
+        written[name] = df.persist()
+        return df
+
+    monkeypatch.setattr(minhash, "cut", noted)
+    assert minhash.further_links(members, classes, labels, texts, s).count() == 0
+    assert written["minhash-meet"].select("one", "two").distinct().count() <= -(-n // 10) + 1
+    assert written["minhash-partners"].count() <= 2 * n + 40
+
+
 def test_minhash_equal_keys_of_different_sets(spark):
     """Documents whose sets have equal keys but differ are told apart by their whole sets."""
     s = minhash.Settings()
