@@ -50,7 +50,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 class Settings:
     """``threshold`` is in hundredths; ``margin`` is how far a signature's estimate may lie below it;
     ``block`` is how many classes of a large bucket a task compares with as many others, and
-    ``block_bytes`` how long their texts are together, about; a longer text is a block of its own."""
+    ``block_chars`` how many characters their texts hold together, about, as a hash deals them to blocks."""
 
     shingle: int = 5
     threshold: int = 80
@@ -58,7 +58,7 @@ class Settings:
     rows: int = 5
     margin: float = 0.15
     block: int = 1_000
-    block_bytes: int = 1 << 24
+    block_chars: int = 1 << 24
     seed: int = 1
 
 
@@ -115,7 +115,7 @@ def _shingles(text: str, k: int) -> set:
 
 
 def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n, key, bands, signature, size`` per document; equal sets have equal keys, ``size`` is in bytes."""
+    """``id, n, key, bands, signature, size`` per document; equal sets have equal keys, ``size`` is in characters."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("n", T.LongType()),
@@ -287,7 +287,7 @@ def further_links(
     several = "least < most"
     ends = F.min("component").alias("least"), F.max("component").alias("most")
     placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    blocks = F.greatest(F.ceil(F.count("*") / s.block), F.ceil(F.sum("size") / s.block_bytes)).alias("blocks")
+    blocks = F.greatest(F.ceil(F.count("*") / s.block), F.ceil(F.sum("size") / s.block_chars)).alias("blocks")
     mixed = placed.groupBy("bucket").agg(*ends, blocks).filter(several).select("bucket", "blocks")
     placed = placed.join(mixed, "bucket").select(
         "bucket", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"), "id", "component"
