@@ -203,7 +203,7 @@ def stream_clip(spark: SparkSession, sf: str) -> DataFrame:
         PT.StructField("vec_id", PT.LongType()),
         PT.StructField("embedding", PT.ArrayType(PT.FloatType())),
     ])
-    arriving = stream_chunks(spark, sf, schema, pattern="embeddings.parquet")
+    arriving = stream_chunks(spark, sf, schema, table="embeddings.parquet")
     v = F.col("vec_id")
     tile = V.div(v, 24)
     blocks = arriving.select(

@@ -119,7 +119,7 @@ def forcing_job_repair(spark: SparkSession, sf: str) -> DataFrame:
 def stream_group_status(spark: SparkSession, sf: str) -> DataFrame:
     """The groups that a stream of arriving hours reports, complete ones and one that an hour never came for."""
     schema = PT.StructType([PT.StructField("vec_id", PT.LongType())])
-    arriving = stream_chunks(spark, sf, schema, pattern="embeddings.parquet").select(
+    arriving = stream_chunks(spark, sf, schema, table="embeddings.parquet").select(
         (ntz(V.BASE_TIME) + V.hours(F.col("vec_id") % 24)).alias("time")
     ).filter(F.hour("time") != 15)
     out = scratch_path(spark, "reports")

@@ -17,14 +17,19 @@ def stream_chunks(
     schema: StructType = schemas.CHUNKS,
     pattern: str | None = None,
     files_per_trigger: int | None = None,
+    table: str | None = None,
 ) -> DataFrame:
-    """New Parquet files of a folder as a stream."""
+    """New Parquet files of a folder as a stream.
+
+    ``table`` names one entry of the folder, which may be a single file or itself a folder of files.
+    """
     reader = spark.readStream.schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    # as a glob: a stream's plain path must be a folder, what a glob finds may be a file too
+    return reader.parquet(f"{folder}/{{{table}}}" if table else folder)
 
 
 def stream_clip(
