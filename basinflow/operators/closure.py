@@ -3,15 +3,15 @@
 Each link holds a pointer down the network. In every round the pointers are followed three times
 over the same table, so the distance covered grows fourfold: a chain of n links takes about log4(n)
 rounds. The joins are equi-joins of fixed-width rows whose right side is unique per key; a pointer
-shared by most links only repeats on the left, where AQE splits it. Every round's state is written to
-the shared folder.
+shared by most links only repeats on the left, where AQE splits it, and links whose way has ended are spread
+over all tasks. Every round's state is written to the shared folder.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basinflow.session import Rounds, cut, scratch_path
@@ -37,12 +37,30 @@ def _single(links: DataFrame) -> tuple[DataFrame, bool]:
 # Lookups per round.
 HOPS = 3
 
+# Keys that links without a pointer are dealt to.
+SPREAD = 1024
+
 
 def _rounds(n: int) -> int:
     """Rounds after which every chain of ``n`` links has been walked."""
     return math.ceil(math.log(max(n, 2), HOPS + 1)) + 1
 
 
+def _looked_up(rows: DataFrame, here: str, ahead: DataFrame) -> DataFrame:
+    """``rows`` next to ``ahead(_at, ...)`` where ``here`` is ``_at``; others keep their place.
+
+    Rows whose way has ended have no pointer. As one key they would all meet in one task, so a second key is
+    taken from the pointer or else from the link. A fixed one would be folded into a filter.
+    """
+
+    def second(value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(SPREAD)).cast("int")
+
+    keyed = rows.withColumn("_k", F.when(F.col(here).isNull(), second(F.col("link"))).otherwise(second(F.col(here))))
+    met = (F.col(here) == F.col("_at")) & (F.col("_k") == F.col("_k_at"))
+    return keyed.join(ahead.withColumn("_k_at", second(F.col("_at"))), met, "left").drop("_k", "_k_at", "_at")
+
+
 def first_start_below(links: DataFrame, starts: DataFrame) -> DataFrame:
     """``(link, first_start)`` of every link that drains to a start.
 
@@ -75,7 +93,7 @@ def _first_start_below(pointers: DataFrame, starts: DataFrame) -> DataFrame:
         )
         for _ in range(HOPS):
             # a link that has met a start has no pointer left and passes through unmatched
-            moved = moved.join(ahead, F.col("jump") == F.col("_at"), "left").select(
+            moved = _looked_up(moved, "jump", ahead).select(
                 "link", F.coalesce("hit", "_hit").alias("hit"), F.col("_jump").alias("jump")
             )
         state = rounds.put(state.filter("jump IS NULL").unionByName(moved))
@@ -110,7 +128,7 @@ def downstream(links: DataFrame, starts: DataFrame) -> DataFrame:
         path = pointers.select("link", F.col("jump").alias(steps[0]))
         for here, there in zip(steps, steps[1:]):
             ahead = pointers.select(F.col("link").alias("_at"), F.col("jump").alias(there))
-            path = path.join(ahead, F.col(here) == F.col("_at"), "left").drop("_at")
+            path = _looked_up(path, here, ahead)
         path = ways.put(path)
         # the fourth step is the first of the next round
         visited = F.array_compact(F.array("link", *steps[:3]))
