@@ -8,6 +8,7 @@ Output follows the public Zarr version 2 and reference-file conventions.
 from __future__ import annotations
 
 import json
+import math
 import re
 import struct
 import sys
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from basinflow.functions.names import last_stem
 from basinflow.functions.timestamps import stamp
-from basinflow.session import cut, qualified
+from basinflow.session import cut, delete, qualified
 from basinflow.sources.manifest import list_folder
 
 # tasks get this module's functions with the job, so executors need not have the package installed
@@ -37,6 +38,9 @@ TYPES = {
 # List tags of the format.
 DIMENSIONS, VARIABLES, ATTRIBUTES = 10, 11, 12
 
+# Reference documents that one task writes, about.
+DOCUMENTS_PER_TASK = 1000
+
 
 class _Header:
     """A cursor over the start of a file that fetches more bytes as it runs out."""
@@ -180,13 +184,18 @@ def _file_bytes(var: str, ny: int, nx: int, data) -> bytes:
     return head + struct.pack(">iii", 5, len(values), len(head) + 12) + values
 
 
+def _open_uri(spark: SparkSession, path: str) -> str:
+    """The path as pyarrow opens it."""
+    return re.sub("^file:/(?!/)", "file:///", qualified(spark, path))
+
+
 def write_blocks(chunks: DataFrame, out: str) -> None:
     """Every block as a small classic NetCDF file ``{hour}.{var}.{y0}.{x0}.nc``.
 
     Files are named by content, so a task that runs again overwrites what it wrote before.
     """
 
-    where = re.sub("^file:/(?!/)", "file:///", qualified(chunks.sparkSession, out))
+    where = _open_uri(chunks.sparkSession, out)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -213,7 +222,8 @@ def scan_headers(spark: SparkSession, folder: str, pattern: str = "*") -> DataFr
     ``inline`` is JSON for metadata keys and NULL for data chunks.
     """
     files = list_folder(spark, folder, pattern).select("path", "length")
-    return files.repartition("path").mapInPandas(_scan, REFERENCES)
+    # opening a file takes longer than its path is long: with a number, the paths are not joined into one small part
+    return files.repartition(spark.sparkContext.defaultParallelism, "path").mapInPandas(_scan, REFERENCES)
 
 
 def reference_lines(refs: DataFrame) -> DataFrame:
@@ -255,8 +265,42 @@ def write_refs(refs: DataFrame, out: str) -> None:
     )
     if clash:
         raise ValueError(f"several inputs share the documents {[r.name for r in clash]}")
-    # rows of a document stay together and are sorted on disk, not in memory
-    (
-        docs.repartition("name").sortWithinPartitions("name", "ord", "key")
-        .select("name", "line").write.mode("overwrite").partitionBy("name").text(out)
-    )
+    # A document is a file: tasks follow their number, not their bytes. Rows of a document stay together and are sorted
+    # on disk, not in memory.
+    spark = refs.sparkSession
+    delete(spark, out)
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(docs.filter("ord = 0").count() / DOCUMENTS_PER_TASK))
+    lines = docs.repartition(tasks, "name").sortWithinPartitions("name", "ord", "key").select("name", "line")
+    lines.mapInPandas(_document_writer(spark, out), "files BIGINT").agg(F.sum("files")).collect()
+
+
+# What Spark escapes in the folder names of a partitioned table.
+ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
+
+def _document_writer(spark: SparkSession, out: str):
+    """Writes sorted lines ``(name, line)``, a file below ``name=...`` each; a task that runs again overwrites it."""
+    where = _open_uri(spark, out)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(where)
+        system.create_dir(root, recursive=True)
+        name, stream = None, None
+        for batch in batches:
+            opened = 0
+            for row in batch.itertuples():
+                if row.name != name:
+                    if stream:
+                        stream.close()
+                    name, opened = row.name, opened + 1
+                    folder = f"{root}/name=" + ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", name)
+                    system.create_dir(folder, recursive=True)
+                    stream = system.open_output_stream(f"{folder}/part-00000.txt")
+                stream.write(f"{row.line}\n".encode())
+            yield pd.DataFrame({"files": [opened]})
+        if stream:
+            stream.close()
+
+    return write
