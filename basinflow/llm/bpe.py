@@ -5,7 +5,8 @@ adjacent pairs stand as leaves of a segment tree by (rank, place): its root is t
 lowest rank. Merging that pair updates three leaves, each in logarithmic time, until the root holds
 no mergeable pair. So a piece of n bytes takes n log n steps, also when it is one very long word.
 The trees of many short pieces stand side by side in arrays and are worked on
-together; their ids are remembered, up to a bound, for pieces recur.
+together; their ids are remembered, up to a bound, for pieces recur. Remembered pieces are numbered and their ids
+lie one after the other in one array, so the ids of many texts are gathered at once from the numbers of their pieces.
 
 Defined results: a null text is encoded as empty, to no ids; null ids decode to null, as do null
 entries' rows; ids outside the vocabulary are skipped in decoding, and bytes that are not UTF-8 become
@@ -19,6 +20,7 @@ import functools
 import gc
 import itertools
 import json
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -50,6 +52,41 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
+def _gather(flat: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen of the pieces that lie in ``flat`` between ``ends``, one after the other, and where each ends."""
+    starts = ends[numbers]
+    sizes = ends[numbers + 1] - starts
+    until = np.cumsum(sizes)
+    return flat[np.repeat(starts - until + sizes, sizes) + np.arange(sizes.sum())], until
+
+
+class _Numbers(dict):
+    """Numbers of pieces; one that is not known gets the next number and is noted as new."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
+@functools.cache
+def _plain_pattern(limit: int) -> re.Pattern:
+    """The pattern for texts whose code points are below ``limit``, with its classes listed for the quicker ``re``."""
+    every = "".join(map(chr, range(limit)))
+    spans = {
+        kind: "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in regex.finditer(kind + "+", every))
+        for kind in (r"\p{L}", r"\p{N}", r"\s")
+    }
+    l, n, s = spans.values()
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{l}]+| ?[{n}]+| ?[^{s}{l}{n}]+|[{s}]+(?![^{s}])|[{s}]+")
+
+
+BEYOND = re.compile("[\U00010000-\U0010ffff]")
+
+
 class Tokenizer:
     """What a vocabulary file says, ready for use in one process."""
 
@@ -86,7 +123,8 @@ class Tokenizer:
         self.ranks = np.array([self.pairs[k] for k in self.keys.tolist()], np.int64)
         self.merged_ids = np.array(self.merged, np.int64)
         self.first_ids = np.array(self.first, np.int64)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.table = pa.array(self.bytes, pa.binary())
+        self._forget()
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece."""
@@ -147,8 +185,8 @@ class Tokenizer:
         at = np.searchsorted(self.keys, pair).clip(max=len(self.keys) - 1)
         return np.where((left >= 0) & (right >= 0) & (self.keys[at] == pair), self.ranks[at] << 32, NONE)
 
-    def _merge_trees(self, pieces: list[bytes], size: int) -> list[list[int]]:
-        """``merge`` for pieces of at most ``size + 1`` bytes, one row of the arrays for each."""
+    def _merge_trees(self, pieces: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` for pieces of at most ``size + 1`` bytes, one row of the arrays for each: all ids and how many of each."""
         m = len(pieces)
         length = np.fromiter(map(len, pieces), np.int64, m)
         symbols = np.full((m, size + 2), -1)
@@ -192,61 +230,104 @@ class Tokenizer:
             value = self._rank_of(symbols[some, left], symbols[some, here])
             put(some, left, np.where(value < NONE, value | left, NONE))
         found = symbols >= 0
-        ends = np.cumsum(found.sum(1)).tolist()
-        flat = symbols[found].tolist()
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Have the ids of all these pieces in memory."""
-        new = pieces.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = pieces
-        by_size: dict[int, list[tuple[str, bytes]]] = {}
-        for piece in new:
-            data = piece.encode("utf-8")
-            if len(data) > SHORT:
-                self.known[piece] = tuple(self.merge(data))
-            else:
-                by_size.setdefault(1 << max(0, len(data) - 2).bit_length(), []).append((piece, data))
-        for size, found in by_size.items():
-            for start in range(0, len(found), 20_000):
-                some = found[start : start + 20_000]
-                ids = self._merge_trees([d for _, d in some], size)
-                self.known.update(zip([t for t, _ in some], map(tuple, ids)))
+        return symbols[found].astype(np.int32), found.sum(1)
+
+    def _forget(self) -> None:
+        """Remember the special tokens only."""
+        self.known = _Numbers()
+        self.flat, self.ends = array("i"), array("q", [0])  # the ids of all pieces remembered, and where each ends
+        for content, i in self.special.items():
+            self.known[content] = len(self.known)
+            self.flat.append(i)
+            self.ends.append(len(self.flat))
+
+    def _learn(self) -> None:
+        """Have the ids of all pieces met in memory."""
+        new, self.known.new = self.known.new, []
+        data = [piece.encode("utf-8") for piece in new]
+        length = np.fromiter(map(len, data), np.int64, len(data))
+        # trees of 1, 2, 4, … leaves for pieces of up to 2, 3, 5, … bytes
+        size = np.where(length > SHORT, 0, 1 << np.ceil(np.log2(np.maximum(length - 1, 1))).astype(np.int64))
+        order = np.argsort(size, kind="stable")
+        ids, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for same in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+            for start in range(0, len(same), 20_000):
+                some = [data[i] for i in same[start : start + 20_000].tolist()]
+                if size[same[0]]:
+                    merged, sizes = self._merge_trees(some, int(size[same[0]]))
+                else:
+                    each = [self.merge(x) for x in some]
+                    merged, sizes = np.array([*itertools.chain.from_iterable(each)], np.int32), [*map(len, each)]
+                ids.append(merged)
+                counts.append(np.asarray(sizes, np.int64))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        merged, until = _gather(np.concatenate(ids), np.cumsum(np.concatenate([[0], *counts])), place)
+        self.ends.frombytes((until + len(self.flat)).tobytes())
+        self.flat.frombytes(merged.tobytes())
+
+    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, and where each piece's end."""
+        return _gather(np.frombuffer(self.flat, np.int32), np.frombuffer(self.ends, np.int64), numbers)
 
     def _parts(self, text: str) -> list[str]:
-        return self.cut.split(text) if self.cut else [text]
+        return self.cut.split(text) if any(mark in text for mark in self.special) else [text]
+
+    def _pattern_for(self, part: str) -> re.Pattern | regex.Pattern:
+        if part.isascii():
+            return _plain_pattern(1 << 7)
+        return self.pattern if BEYOND.search(part) else _plain_pattern(1 << 16)
+
+    def _numbered(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
-    def _encode_long(self, text: str) -> Iterator[tuple[int, ...]]:
+    def _encode_long(self, text: str) -> np.ndarray:
+        ids = []
         for part in self._parts(text):
             if part in self.special:
-                yield (self.special[part],)
+                ids.append(np.array([self.special[part]], np.int32))
                 continue
-            found = (m.group() for m in self.pattern.finditer(part))
+            found = (m.group() for m in self._pattern_for(part).finditer(part))
             while pieces := list(itertools.islice(found, 100_000)):
-                self._learn(set(pieces))
-                yield from map(self.known.__getitem__, pieces)
-
-    def encode(self, texts: list[str]) -> Iterator[Iterable[tuple[int, ...]]]:
-        """Ids of texts, for each in groups of a piece, to be used before the next text's."""
+                if len(self.known) > REMEMBERED:
+                    self._forget()
+                numbers = self._numbered(pieces)
+                self._learn()
+                ids.append(self._gathered(numbers)[0])
+        return np.concatenate([np.empty(0, np.int32), *ids])
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after the other, and where each text's begin, with the end of the last."""
+        flat, sizes = [], []
         for is_long, some in itertools.groupby(texts, lambda t: len(t) >= LONG_TEXT):
             if is_long:
-                yield from map(self._encode_long, some)
+                for text in some:
+                    flat.append(self._encode_long(text))
+                    sizes.append([len(flat[-1])])
                 continue
-            cut = []
+            if len(self.known) > REMEMBERED:
+                self._forget()
+            numbers, counts = [np.empty(0, np.int64)], []
             for text in some:
                 pieces: list[str] = []
                 for part in self._parts(text):
                     if part in self.special:
                         pieces.append(part)
                     else:
-                        pieces += self.pattern.findall(part)
-                cut.append(pieces)
-            self._learn(set(itertools.chain.from_iterable(cut)).difference(self.special))
-            self.known.update((t, (i,)) for t, i in self.special.items())
-            for pieces in cut:
-                yield map(self.known.__getitem__, pieces)
+                        pieces += self._pattern_for(part).findall(part)
+                numbers.append(self._numbered(pieces))
+                counts.append(len(pieces))
+            self._learn()
+            ids, until = self._gathered(np.concatenate(numbers))
+            flat.append(ids)
+            sizes.append(np.diff(np.r_[0, until][np.cumsum([0, *counts])]))
+        return np.concatenate([np.empty(0, np.int32), *flat]), np.cumsum(np.concatenate([[0], *sizes]), dtype=np.int64)
+
+    def encode(self, texts: list[str]) -> Iterator[Iterable[list[int]]]:
+        """Ids of texts, for each in groups."""
+        flat, ends = self.encode_flat(texts)
+        for a, b in itertools.pairwise(ends.tolist()):
+            yield (flat[a:b].tolist(),)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of ids."""
@@ -259,6 +340,22 @@ class Tokenizer:
             data = b"".join(self.bytes[i] for i in ids if 0 <= i < self.width)
         return data.decode("utf-8", "replace")
 
+    def decode_lists(self, lists: pa.Array) -> pa.Array:
+        """Texts of lists of ids, null for null."""
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), np.int64)
+        ends = np.cumsum(np.r_[0, sizes])
+        ids = np.asarray(pc.fill_null(lists.flatten(), -1))
+        good = (ids >= 0) & (ids < self.width)
+        if not good.all():
+            ends, ids = np.cumsum(np.r_[0, good])[ends], ids[good]
+        pieces = self.table.take(pa.array(ids))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces), b"")
+        try:
+            texts = joined.cast(pa.string())  # refuses bytes that are not UTF-8
+        except pa.ArrowInvalid:
+            texts = pa.array([x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
+        return pc.if_else(lists.is_valid(), texts, None) if lists.null_count else texts
+
 
 @functools.lru_cache(maxsize=2)
 def tokenizer(content: str) -> Tokenizer:
@@ -279,16 +376,16 @@ def _file(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast(content)
 
 
-def _slices(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``size`` bytes of text each."""
+def _slices(values: pa.Array, length=pc.binary_length, size: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``size`` bytes of text, or other units of ``length``, each."""
     start = held = 0
-    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+    for i, n in enumerate(length(values).to_pylist()):
         held += n or 0
         if held >= size:
             yield start, i + 1
             start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(values):
+        yield start, len(values)
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -302,13 +399,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             for start, end in _slices(batch.column(1)):
                 part = batch.slice(start, end - start)
-                flat, ends = array("i"), array("i", [0])
-                for groups in bpe.encode([t or "" for t in part.column(1).to_pylist()]):
-                    flat.extend(itertools.chain.from_iterable(groups))
-                    ends.append(len(flat))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(memoryview(ends), pa.int32()), pa.array(memoryview(flat), pa.int32())
-                )
+                flat, ends = bpe.encode_flat([t or "" for t in part.column(1).to_pylist()])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[id_col, "ids"])
 
     ship_package(rows.sparkSession)
@@ -326,12 +418,11 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(file.value)
         for batch in batches:
-            texts = [
-                None if not x.is_valid else bpe.decode(v for v in x.values.to_pylist() if v is not None)
-                for x in batch.column(len(held))
-            ]
-            columns = [batch.column(i) for i in range(len(held))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*held, "text"])
+            for start, end in _slices(batch.column(len(held)), pc.list_value_length, 1 << 19):
+                part = batch.slice(start, end - start)
+                columns = [part.column(i) for i in range(len(held))]
+                texts = bpe.decode_lists(part.column(len(held)))
+                yield pa.RecordBatch.from_arrays([*columns, texts], names=[*held, "text"])
 
     ship_package(rows.sparkSession)
     return rows.mapInArrow(run, schema)

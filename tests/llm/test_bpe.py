@@ -1,7 +1,9 @@
 """BPE against the tokenizers library."""
 
 import random
+import sys
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -83,3 +85,40 @@ def test_other_files_are_refused(tmp_path, spark):
     path.write_text('{"model": {"type": "WordPiece"}, "pre_tokenizer": {"type": "ByteLevel"}}')
     with pytest.raises(ValueError):
         bpe.encode(empty_docs(spark), str(path))
+
+
+def test_lists_are_gathered_at_once():
+    """Ids and texts of many rows come from arrays: the calls of Python code do not grow with the ids."""
+    texts = ["the cat's 12 hats \u00e9t\u00e9 " * n for n in (0, 1, 300, 2)]
+    flat, ends = OWN.encode_flat(texts)
+    want = [REF.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [flat[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        OWN.encode_flat(texts)
+        OWN.decode_lists(pa.array(want, pa.list_(pa.int32())))
+    finally:
+        sys.setprofile(None)
+    assert sum(map(len, want)) > 2_000 > len(calls)
+
+
+def test_lists_with_odd_ids():
+    half = REF.encode("\u6f22", add_special_tokens=False).ids
+    rows = [None, [], [15496, -1, 10**6, None], half[:1], half[1:], half, [15496]]
+    lists = pa.array([[1, 2], *rows], pa.list_(pa.int32()))[1:]
+    want = [None if r is None else REF.decode([i for i in r if i in range(50_257)], skip_special_tokens=False) for r in
+            [None if r is None else [i for i in r if i is not None] for r in rows]]
+    assert OWN.decode_lists(lists).to_pylist() == want
+
+
+@pytest.mark.parametrize("limit", [1 << 7, 1 << 16])
+def test_plain_pattern(limit):
+    rng = random.Random(limit)
+    plain = bpe._plain_pattern(limit)
+    every = [chr(c) for c in range(limit) if not 0xD800 <= c < 0xE000]
+    rng.shuffle(every)
+    texts = ["".join(every), " ".join(every), "a".join(every)]
+    few = ["'", "s", "ll", " ", "  ", "\n", "\x1c", "\x1f", "1", "x", "!", *[c for c in "\u00a0\u00bd\u00e9\u2028\u3000" if ord(c) < limit]]
+    texts += ["".join(rng.choices(few, k=40)) for _ in range(2_000)]
+    assert all(plain.findall(t) == OWN.pattern.findall(t) for t in texts)
