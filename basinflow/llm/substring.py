@@ -39,10 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basinflow.llm.common import word_count, word_line
-from basinflow.llm.minhash import MIX, WORDS
+from basinflow.llm.minhash import MIX
 from basinflow.session import ship_package
 
 NO_ID = 2**63 - 1
+PLACE = 2**32 - 1
 
 
 @dataclasses.dataclass(frozen=True)
@@ -60,8 +61,33 @@ class Settings:
     sample_chars: int = 10_000
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
+def _numbers(n: int, start: int) -> np.ndarray:
+    """Fixed numbers without visible order."""
+    x = np.arange(start, start + n, dtype=np.uint64) * MIX
+    for _ in range(2):
+        x = (x ^ (x >> np.uint64(32))) * MIX
+    return x ^ (x >> np.uint64(29))
+
+
+LETTER, STEP = _numbers(256, 1), _numbers(1 << 10, 1_000)
+SPAN = 1 << 20  # bytes of text whose words are hashed at once
+LETTER[32] = 0  # a space adds nothing to the word in front of it
+
+
+def _word_hashes(line: bytes) -> np.ndarray:
+    """A hash of each word of a line, from its bytes and their places in it; no word is looked up."""
+    letters = np.frombuffer(line, np.uint8)
+    starts = np.r_[0, np.flatnonzero(letters == 32) + 1, len(letters)]
+    cuts = [0, len(starts) - 1]
+    if len(letters) > SPAN:  # of a very long text, some words at a time
+        cuts = np.unique(np.r_[cuts, np.searchsorted(starts, np.arange(SPAN, len(letters), SPAN))]).tolist()
+    found = []
+    for a, b in itertools.pairwise(cuts):
+        here = starts[a : b + 1] - starts[a]
+        place = np.arange(here[-1]) - np.repeat(here[:-1], np.diff(here))
+        values = LETTER[letters[starts[a] : starts[b]]] * STEP[place & (len(STEP) - 1)]
+        found.append(np.add.reduceat(values, here[:-1]))
+    return np.concatenate(found)
 
 
 def _rolled(words: np.ndarray, k: int) -> np.ndarray:
@@ -73,11 +99,12 @@ def _rolled(words: np.ndarray, k: int) -> np.ndarray:
     return total
 
 
-def anchors(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+def anchors(line: bytes, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the anchors that the windows of a text name."""
-    runs = _rolled(_word_hashes(words), s.anchor)
+    runs = _rolled(_word_hashes(line), s.anchor)
     views = np.lib.stride_tricks.sliding_window_view(runs, s.window - s.anchor + 1)
-    places = np.unique(views.argmin(1) + np.arange(len(views)))
+    places = views.argmin(1) + np.arange(len(views))  # never falls
+    places = places[np.r_[True, places[1:] != places[:-1]]]
     return places, runs[places]
 
 
@@ -102,11 +129,12 @@ class Prefixes:
                 continue
             self.divided[prefix] = 1
             todo += [(prefix + (w,), d) for w, d in deeper.items() if len(d) > 2 * most]
+        self.depth = 1 + max(map(len, self.divided))
 
     def group(self, content: bytes) -> int:
         """A number for the group of a suffix, the same for equal suffixes in every task."""
-        words, prefix = content.split(b" "), ()
-        for word in words:
+        prefix = ()
+        for word in content.split(b" ", self.depth)[: self.depth]:
             if self.divided.get(prefix, 0) < 1:
                 break
             prefix += (word,)
@@ -190,7 +218,7 @@ def _send_anchors(s: Settings, parts: int):
 
         for batch in batches:
             for key, line in zip(batch.column("key").to_pylist(), batch.column("line")):
-                at, found = anchors(line.as_py().encode("utf-8").split(b" "), s)
+                at, found = anchors(line.as_py().encode("utf-8"), s)
                 docs.append(np.full(len(at), len(keys)))
                 keys.append(key)
                 places.append(at)
@@ -280,28 +308,31 @@ def _send_suffixes(s: Settings, prefixes: Prefixes):
     """Task side of steps 3 and 4."""
     reach = s.window - s.anchor
 
-    def flush(found: dict[bytes, list], keys: list[bytes], ids: list[int]) -> Iterator[dict]:
+    def flush(found: dict[bytes, list[int]], keys: list[bytes], ids: list[int]) -> Iterator[dict]:
         covered = defaultdict(list)
         grouped = defaultdict(list)
         for content, held in found.items():
-            least = min(ids[doc] for doc, _ in held)
             mine = grouped[prefixes.group(content)]
-            for doc, place in held:
-                if ids[doc] > least:
-                    covered[doc].append(place)
+            if len(held) == 1:
+                mine.append((content, held[0]))
+                continue
+            least = min(ids[spot >> 32] for spot in held)
+            for spot in held:
+                if ids[spot >> 32] > least:
+                    covered[spot >> 32].append(spot & PLACE)
                 else:
-                    mine.append((content, doc, place))
+                    mine.append((content, spot))
         packer = zstandard.ZstdCompressor(level=3)
         for group, rows in grouped.items():
             rows.sort()
-            docs = sorted({doc for _, doc, _ in rows})
-            number = {doc: i for i, doc in enumerate(docs)}
+            spots = np.fromiter((spot for _, spot in rows), np.int64, len(rows))
+            docs, owner = np.unique(spots >> 32, return_inverse=True)
             yield {
                 "group": group,
-                "contents": packer.compress(b"\n".join(c for c, _, _ in rows)),
-                "owner": _pack([number[d] for _, d, _ in rows], np.int32),
-                "keys": b"".join(keys[d] for d in docs), "ids": _pack([ids[d] for d in docs], np.int64),
-                "places": _pack([p for _, _, p in rows], np.int32),
+                "contents": packer.compress(b"\n".join([c for c, _ in rows])),
+                "owner": _pack(owner, np.int32),
+                "keys": b"".join([keys[d] for d in docs]), "ids": _pack([ids[d] for d in docs], np.int64),
+                "places": _pack(spots & PLACE, np.int32),
             }
         for doc, places in covered.items():
             yield {"group": int.from_bytes(keys[doc][:6], "big") % prefixes.groups, "key": keys[doc],
@@ -332,8 +363,9 @@ def _send_suffixes(s: Settings, prefixes: Prefixes):
                 np.add.at(near, np.clip(at + 1, 0, last + 1), -1)
                 windows = np.flatnonzero(np.cumsum(near[:-1]) > 0)
                 ends = (starts[windows + s.window] - 1).tolist()
-                for place, a, b in zip(windows.tolist(), starts[windows].tolist(), ends):
-                    found[data[a:b]].append((len(keys), place))
+                spots = ((len(keys) << 32) + windows).tolist()  # document and place in one number
+                for spot, a, b in zip(spots, starts[windows].tolist(), ends):
+                    found[data[a:b]].append(spot)
                 keys.append(key.as_py())
                 ids.append(NO_ID if not number.is_valid else number.as_py())
                 held += len(windows)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 
 import pytest
 from odd import empty_docs, odd_docs, odd_rows, prose
@@ -107,3 +108,36 @@ def test_digests(spark):
     found = {r.doc_id: r.digest for r in substring.per_document(docs, substring.left_of_texts(docs)).collect()}
     for i, text in rows:
         assert found[i] == hashlib.sha256(b" ".join(text.encode().split())).hexdigest()
+
+
+@pytest.mark.parametrize("span", [1 << 20, 1_000])
+def test_words_are_hashed_from_bytes(monkeypatch, span):
+    """Equal words have equal hashes wherever they stand, other words other ones; no call is made per word."""
+    monkeypatch.setattr(substring, "SPAN", span)
+    rng = random.Random(3)
+    words = list({bytes(rng.choices(b"ab\xc3\xa4z", k=rng.randrange(1, 12))) for _ in range(20_000)})
+    words += [b"x" * n for n in (1_023, 1_024, 1_025, 5_000)]
+    shuffled = rng.sample(words, len(words))
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        one, two = (substring._word_hashes(b" ".join(x)) for x in (words, shuffled))
+    finally:
+        sys.setprofile(None)
+    assert dict(zip(words, one.tolist())) == dict(zip(shuffled, two.tolist()))
+    assert len(set(one.tolist())) == len(words)
+    assert span < 1 << 20 or len(calls) < 1_000
+
+
+def test_equal_windows_name_equal_anchors():
+    s = substring.Settings()
+    passage = prose(5, 40, 200).encode().split()
+    runs = []
+    for front in (prose(6, 30, 200), prose(7, 11, 200)):
+        words = front.encode().split() + passage
+        places, _ = substring.anchors(b" ".join(words), s)
+        begin = len(words) - len(passage)
+        assert (places[1:] > places[:-1]).all()
+        runs.append({tuple(words[p : p + s.anchor]) for p in places if p >= begin + s.window - s.anchor})
+        assert all(any(w <= p <= w + s.window - s.anchor for p in places) for w in range(len(words) - s.window + 1))
+    assert runs[0] == runs[1] and runs[0]
