@@ -4,16 +4,16 @@ Each text, with a space in front, is encoded by a byte-level BPE (A) and a sente
 of both end cut them into groups. Tokens whose byte ranges overlap are linked. A pair's count is the number of
 documents that hold it linked.
 
-1. Documents are packed into chunks of about ``chunk_bytes`` and written.
+1. Documents are dealt into chunks of about ``chunk_bytes`` and written one per row, next to the number of their chunk.
 2. First pass: a task encodes a chunk, aligns it and sends its distinct pairs with their local counts, dealt into parts by the
    A id. Words stand for themselves in both encodings, so each distinct word of a chunk is encoded and aligned once.
 3. Distinct pairs of each part are united along a tree of ``fan`` children and hashed by a minimal perfect function (``mphash``).
    Local counts become dense vectors indexed by the hash, which are summed along the same kind of tree. The keys are
    kept at their numbers, next to the counts and whether a count is its A id's highest.
 4. The pairs of each chunk are looked up: number by hash, then compared with the kept key.
-5. Second pass: each chunk is encoded and aligned anew, now with the counts of its pairs.
+5. Second pass: the documents of each chunk meet the counts of its pairs, and are encoded and aligned anew.
 
-A task holds one chunk, or one part's vectors under one node of a tree; vectors hold the distinct pairs of a part, at
+A task holds one chunk and a batch of rows, or one part's vectors under one node of a tree; vectors hold the distinct pairs of a part, at
 most the size of B's vocabulary for each of its A ids.
 
 Defined results: texts that are null, empty, or whose joined A or B bytes differ from the space and the text have no
@@ -306,35 +306,44 @@ class Chunk:
             yield ";".join([whole[c] for c in codes[cuts[i] : cuts[i + 1]]]) if self.good[i] else ""
 
 
-PACKS = "leaf long, size long, ids array<long>, texts array<string>"
-PACKS_ARROW = pa.schema([
-    ("leaf", pa.int64()), ("size", pa.int64()), ("ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string()))
-])
+PACKS = "leaf long, size long, id long, text string"
 
 
 def _packed(s: Settings):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaf, ids, texts, size = TaskContext.get().partitionId() << 40, [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal leaf, ids, texts, size
-            out = record_batch([{"leaf": leaf, "size": size, "ids": ids, "texts": texts}], PACKS_ARROW)
-            leaf, ids, texts, size = leaf + 1, [], [], 0
-            return out
+    """Documents with the chunk that they start in and their size, row by row: no row and no page holds a chunk."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, at = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids.append(batch.column(0)[i].as_py())
-                texts.append(batch.column(1)[i].as_py())
-                size += len(texts[-1] or "") + 16
-                if size >= s.chunk_bytes:
-                    yield flush()
-        if ids:
-            yield flush()
+            ids, texts = batch.columns
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64) + 16
+            starts = at + np.cumsum(sizes) - sizes
+            at += int(sizes.sum())
+            leaf = first + starts // s.chunk_bytes
+            yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(sizes), ids, texts], ["leaf", "size", "id", "text"])
 
     return run
 
 
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[str | None]]]:
+    """Texts of each run of rows of one chunk. A task that reads a part of a chunk's rows takes it for a chunk of its own:
+    counts add up all the same."""
+    leaf, texts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        leaves = batch.column(0).to_numpy()
+        cuts = np.flatnonzero(np.r_[True, leaves[1:] != leaves[:-1], True])
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if leaves[i] != leaf:
+                if texts:
+                    yield leaf, texts
+                leaf, texts = int(leaves[i]), []
+            texts += batch.column(1).slice(i, j - i).to_pylist()
+    if texts:
+        yield leaf, texts
+
+
 def part_of(pairs: np.ndarray, parts: int) -> np.ndarray:
     """The part that a pair's counts are gathered in; all pairs of an A id go to one."""
     return (mphash.mixed(pairs >> 32, 99) % np.uint64(parts)).astype(np.int64)
@@ -346,11 +355,11 @@ LOCAL_ARROW = pa.schema([("part", pa.int32()), ("leaf", pa.int64()), ("pairs", p
 
 def _first_pass(a: bytes, b: bytes, parts: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            pairs, counts = Chunk(row["texts"], tokenizers(a, b)).pair_counts()
+        for leaf, texts in _chunks(batches):
+            pairs, counts = Chunk(texts, tokenizers(a, b)).pair_counts()
             part = part_of(pairs, parts)
             yield record_batch([
-                {"part": p, "leaf": row["leaf"], "pairs": pairs[part == p].tobytes(),
+                {"part": p, "leaf": leaf, "pairs": pairs[part == p].tobytes(),
                  "counts": counts[part == p].astype(np.int32).tobytes()}
                 for p in np.unique(part).tolist()
             ], LOCAL_ARROW)
@@ -444,35 +453,31 @@ DOCS_ARROW = pa.schema([
 
 
 def _second_pass(a: bytes, b: bytes, with_groups: bool):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            chunk = Chunk(row["texts"], tokenizers(a, b))
-            x = chunk.aligned
-            told = row["told"] or []
-            keys, sums = (
-                np.concatenate([np.frombuffer(r[c], np.int64) for r in told] or [np.zeros(0, np.int64)])
-                for c in ("pairs", "sums")
-            )
-            best = np.concatenate([np.frombuffer(r["best"], bool) for r in told] or [np.zeros(0, bool)])
-            order = np.argsort(keys)
-            keys, sums, best = (np.r_[v[order], 0] for v in (keys, sums, best))
-            at = np.minimum(np.searchsorted(keys[:-1], x.pairs), len(keys) - 1)
-            known = keys[at] == x.pairs  # pairs of documents without tokens were not counted
-            word = np.repeat(np.arange(len(x.n_links)), x.n_links)
-            n = len(x.n_links)
-            per_word = {
-                "n_a": x.n_a, "n_b": x.n_b, "n_groups": x.n_groups, "n_links": x.n_links,
-                "n_best": np.bincount(word, np.where(known, best[at], 0), n).astype(np.int64),
-                "count_sum": _sums(np.where(known, sums[at], 0), x.n_links),
-            }
-            out = {k: chunk.per_doc(v) for k, v in per_word.items()}
-            digests, texts = [], []
-            for text in chunk.groups():
-                digests.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
-                texts.append(text if with_groups else None)
-            columns = [pa.array(row["ids"], pa.int64()), *map(pa.array, out.values()), pa.array(digests, pa.string())]
-            columns.append(pa.array(texts, pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, schema=DOCS_ARROW)
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        chunk = Chunk(docs.column("text").to_pylist(), tokenizers(a, b))
+        x = chunk.aligned
+        keys, sums, best = (
+            np.concatenate([*_numbers(told.column(c), kind), np.zeros(0, kind)])
+            for c, kind in (("pairs", np.int64), ("sums", np.int64), ("best", bool))
+        )
+        order = np.argsort(keys)
+        keys, sums, best = (np.r_[v[order], 0] for v in (keys, sums, best))
+        at = np.minimum(np.searchsorted(keys[:-1], x.pairs), len(keys) - 1)
+        known = keys[at] == x.pairs  # pairs of documents without tokens were not counted
+        word = np.repeat(np.arange(len(x.n_links)), x.n_links)
+        n = len(x.n_links)
+        per_word = {
+            "n_a": x.n_a, "n_b": x.n_b, "n_groups": x.n_groups, "n_links": x.n_links,
+            "n_best": np.bincount(word, np.where(known, best[at], 0), n).astype(np.int64),
+            "count_sum": _sums(np.where(known, sums[at], 0), x.n_links),
+        }
+        out = {k: chunk.per_doc(v) for k, v in per_word.items()}
+        digests, texts = [], []
+        for text in chunk.groups():
+            digests.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+            texts.append(text if with_groups else None)
+        columns = [docs.column("id"), *map(pa.array, out.values()), pa.array(digests, pa.string())]
+        return pa.table([*columns, pa.array(texts, pa.string())], schema=DOCS_ARROW)
 
     return run
 
@@ -485,9 +490,9 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def counted_pairs(packs: DataFrame, a: bytes, b: bytes, s: Settings) -> tuple[DataFrame, DataFrame]:
     """The chunks' local pairs, and per part the hashed pairs with their corpus-wide counts."""
-    leaves, size = packs.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    leaves, size = packs.agg(F.count_distinct("leaf"), F.coalesce(F.sum("size"), F.lit(0))).first()
     parts = max(32, size // s.part_bytes)
-    local = cut(packs.select("leaf", "texts").mapInArrow(_first_pass(a, b, parts), LOCAL), "local-pairs")
+    local = cut(packs.select("leaf", "text").mapInArrow(_first_pass(a, b, parts), LOCAL), "local-pairs")
     nodes = max(1, -(-leaves // s.fan))
     node = F.pmod(F.xxhash64("leaf"), F.lit(nodes)).cast("int")
     local = local.withColumn("node", node)
@@ -568,6 +573,5 @@ def per_document(
     told = local.select("part", "node", "leaf", "pairs").groupBy("part", "node").cogroup(
         spread.groupBy("part", "node")
     ).applyInArrow(lambda key, x, y: _looked_up(key, x, y) if x.num_rows else none, TOLD)
-    each = told.groupBy("leaf").agg(F.collect_list(F.struct("pairs", "sums", "best")).alias("told"))
-    both = packs.select("leaf", "ids", "texts").join(each, "leaf", "left").select("ids", "texts", "told")
-    return both.mapInArrow(_second_pass(a, b, with_groups), DOCS)
+    docs = packs.select("leaf", "id", "text")
+    return docs.groupBy("leaf").cogroup(told.groupBy("leaf")).applyInArrow(_second_pass(a, b, with_groups), DOCS)

@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -165,3 +166,35 @@ def test_no_rows(spark):
     assert alignment.per_document(empty_docs(spark), vocabulary(), piece_vocabulary()).count() == 0
     blank = odd_docs(spark).withColumn("text", F.lit(None).cast("string"))
     assert {r.n_links for r in alignment.per_document(blank, vocabulary(), piece_vocabulary()).collect()} == {0}
+
+
+def test_stored_rows_hold_one_document(spark):
+    """A task's share of chunks must not become a few rows, which Parquet would put into one page."""
+    docs = [(i, "é漢😀 " * 40 + str(i), None, None, 0) for i in range(90)] + [(None, None, None, None, 0)]
+    frame = spark.createDataFrame(docs, DOCS).coalesce(1)
+    packs = alignment._packs(frame, alignment.Settings(chunk_bytes=2_000), "doc_id", "text")
+    stored = packs.collect()
+    assert sorted((r.id is None, r.id, r.text) for r in stored) == sorted((d[0] is None, d[0], d[1]) for d in docs)
+    held = Counter()
+    for r in stored:
+        held[r.leaf] += len((r.text or "").encode())
+    assert len(held) > 10 and max(held.values()) <= 2_000 + 500
+
+
+def test_chunks_read_in_pieces(spark, monkeypatch):
+    """Rows of one chunk may come to several tasks, or not next to each other."""
+    kept = alignment._packs
+    monkeypatch.setattr(alignment, "_packs", lambda *a: kept(*a).repartition(7))
+    docs = [(20 + i, prose(i, 30 + i), None, None, 0) for i in range(30)] + [(70, None, None, None, 0)]
+    got = alignment.per_document(
+        spark.createDataFrame(docs, DOCS).coalesce(1), vocabulary(), piece_vocabulary(), alignment.Settings(chunk_bytes=900)
+    )
+    assert told(got) == brute(docs)[0]
+
+
+def test_runs_of_chunks():
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(t, pa.string())], ["leaf", "text"]) for x, t in (
+        ([], []), ([5, 5, 7], ["a", None, "b"]), ([7, 5], ["c", "d"]), ([], []), ([5], ["e"]),
+    )]
+    assert list(alignment._chunks(batches)) == [(5, ["a", None]), (7, ["b", "c"]), (5, ["d", "e"])]
+    assert list(alignment._chunks([])) == []
